@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthmill.functions import safe_divide_or
-from growthmill.operators.skew import join_key_table
+from growthmill.operators.skew import flag_hot, heaviest_keys, repeat_hot, row_salt
 
 # --- Fixed values: ordered customer stages and the declared event funnels -----
 FUNNEL_STAGES = ("visitor", "lead", "mql", "sql", "opportunity", "customer")
@@ -80,79 +80,76 @@ def funnel_conversion_rates(events: DataFrame) -> DataFrame:
     )
 
 
+def _step_events(events: DataFrame, funnels: Mapping[str, Sequence[str]], step: int) -> DataFrame:
+    """Events that are step ``step`` of a funnel, once per such funnel."""
+    at_step = [(names[step], name) for name, names in funnels.items() if len(names) > step]
+    matches = F.array_compact(F.array(*[F.when(F.col("event_name") == e, F.lit(f)) for e, f in at_step]))
+    wanted = events.filter(F.col("event_name").isin(*{event for event, _ in at_step}))
+    return wanted.select("distinct_id", "_hot", "_salt", "event_timestamp", F.explode(matches).alias("funnel_name"))
+
+
+def _reached_times(events: DataFrame, funnels: Mapping[str, Sequence[str]], depth: int) -> DataFrame:
+    """One row per user and funnel with the time ``t<i>`` each step was reached; null if it was not.
+
+    Every step joins its events once to the times so far and keeps the earliest later one, a
+    minimum with partial results. Events of the busiest users are spread over salts, and their
+    few time rows repeated per salt.
+    """
+    narrow = events.select("distinct_id", "event_name", "event_timestamp")
+    flagged = flag_hot(narrow, heaviest_keys(narrow, ["distinct_id"]), ["distinct_id"])
+    salted = flagged.withColumn("_salt", F.when(F.col("_hot"), row_salt(narrow)).otherwise(F.lit(0)))
+    user = ["distinct_id", "funnel_name"]
+    reached = (
+        _step_events(salted, funnels, 0).groupBy(*user, "_hot").agg(F.min("event_timestamp").alias("t0"))
+    )
+    for i in range(1, depth):
+        later = _step_events(salted, funnels, i).drop("_hot")
+        before = repeat_hot(reached)
+        same_user = [before[c] == later[c] for c in (*user, "_salt")]
+        joined = before.join(later, [*same_user, later["event_timestamp"] > before[f"t{i - 1}"]], "left")
+        times = [F.min(f"t{j}").alias(f"t{j}") for j in range(i)]
+        reached = joined.groupBy(*[before[c] for c in (*user, "_hot")]).agg(
+            *times, F.min("event_timestamp").alias(f"t{i}")
+        )
+    return reached
+
+
 def event_funnel_steps(
     events: DataFrame, funnels: Mapping[str, Sequence[str]] = EVENT_FUNNELS
 ) -> DataFrame:
     """Users per ordered step of each funnel, with rates and mean seconds from the step before.
 
     A user reaches step i with the first such event after the moment step i-1 was reached.
-    Each step is a partial-aggregated minimum over events joined to the reached-step table.
     """
-    steps = [(name, i, event) for name, names in funnels.items() for i, event in enumerate(names)]
-    spark = events.sparkSession
-    definition = F.broadcast(spark.createDataFrame(steps, "funnel_name string, step_index int, event_name string"))
-    wanted = sorted({event for _, _, event in steps})
-    stream = (
-        events.filter(F.col("event_name").isin(*wanted))
-        .select("distinct_id", "event_name", "event_timestamp")
-        .join(definition, "event_name")
-    )
-    user = ["distinct_id", "funnel_name"]
-    reached = (
-        stream.filter(F.col("step_index") == 0)
-        .groupBy(*user)
-        .agg(F.min("event_timestamp").alias("reached_at"))
-        .withColumn("seconds", F.lit(None).cast("double"))
-    )
-    levels = [reached.withColumn("step_index", F.lit(0))]
-    for i in range(1, max(len(names) for names in funnels.values())):
-        candidates = stream.filter(F.col("step_index") == i).select(*user, "event_timestamp")
-        before = reached.select(*user, F.col("reached_at").alias("previous_at"))
-        reached = (
-            join_key_table(candidates, before, user, how="inner")
-            .filter(F.col("event_timestamp") > F.col("previous_at"))
-            .groupBy(*user)
-            .agg(F.min("event_timestamp").alias("reached_at"), F.min("previous_at").alias("previous_at"))
-            .withColumn(
-                "seconds",
-                (F.unix_micros("reached_at") - F.unix_micros("previous_at")).cast("double") / 1_000_000.0,
-            )
-            .drop("previous_at")
+    depth = max(len(names) for names in funnels.values())
+
+    def gap(i: int) -> Column:
+        micros = F.unix_micros(F.col(f"t{i}")) - F.unix_micros(F.col(f"t{i - 1}"))
+        return F.avg(micros.cast("double") / 1_000_000.0)
+
+    totals = (
+        _reached_times(events, funnels, depth)
+        .groupBy("funnel_name")
+        .agg(
+            F.array(*[F.count(f"t{i}") for i in range(depth)]).alias("users_at"),
+            F.array(F.lit(None).cast("double"), *[gap(i) for i in range(1, depth)]).alias("seconds_at"),
         )
-        levels.append(reached.withColumn("step_index", F.lit(i)))
-
-    totals = levels[0]
-    for level in levels[1:]:
-        totals = totals.unionByName(level)
-    totals = totals.groupBy("funnel_name", "step_index").agg(
-        F.count(F.lit(1)).alias("users"), F.avg("seconds").alias("avg_seconds_from_previous")
     )
-    numbered = definition.join(totals, ["funnel_name", "step_index"], "left").select(
-        "funnel_name",
-        "step_index",
-        F.col("event_name").alias("step_label"),
-        F.coalesce("users", F.lit(0).cast("bigint")).alias("users"),
-        "avg_seconds_from_previous",
-    )
-    return _with_rates(numbered)
+    steps = [(name, i, event) for name, names in funnels.items() for i, event in enumerate(names)]
+    declared = events.sparkSession.createDataFrame(steps, "funnel_name string, step_index int, step_label string")
 
+    def users_at(position: Column) -> Column:
+        return F.coalesce(F.get("users_at", position), F.lit(0).cast("bigint"))
 
-def _with_rates(numbered: DataFrame) -> DataFrame:
-    """Rates against the step before and the first step; one row per declared step comes in."""
-    by_funnel = numbered.groupBy("funnel_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("step_index", "users"))).alias("users_at")
-    )
-    joined = numbered.join(by_funnel, "funnel_name")
-    before = F.coalesce(F.try_element_at("users_at", F.col("step_index") - 1), F.col("users"))
-    first = F.try_element_at("users_at", F.lit(0))
-    return joined.select(
+    step = F.col("step_index")
+    return declared.join(totals, "funnel_name", "left").select(
         "funnel_name",
         "step_index",
         "step_label",
-        "users",
-        safe_divide_or(F.col("users"), before).alias("step_conversion_rate"),
-        safe_divide_or(F.col("users"), first).alias("overall_conversion_rate"),
-        "avg_seconds_from_previous",
+        users_at(step).alias("users"),
+        safe_divide_or(users_at(step), users_at(F.greatest(step - 1, F.lit(0)))).alias("step_conversion_rate"),
+        safe_divide_or(users_at(step), users_at(F.lit(0))).alias("overall_conversion_rate"),
+        F.get("seconds_at", step).alias("avg_seconds_from_previous"),
     )
 
 

@@ -36,10 +36,14 @@ def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) ->
     return df.sparkSession.table(name)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path`` with every column any file has; None when there is no table."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, or None when there is none.
+
+    Without a ``schema`` it has every column that any of its files has.
+    """
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -123,11 +127,10 @@ def _partition_values(df: DataFrame, column: str) -> list:
     return [row[0] for row in df.select(column).distinct().collect()]
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition: str, cluster_by: Sequence[str] = ()) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     """Replace exactly the partitions that occur in ``df``."""
     (
-        laid_out(df, partition, cluster_by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
@@ -140,22 +143,24 @@ def merge(
     keys: Sequence[str],
     order: Sequence[str] = (),
     partition_field: str | None = None,
+    schema: T.StructType | None = None,
 ) -> None:
     """Upsert ``source`` into the table at ``path``, which is created on the first run.
 
     Matched rows are replaced, new rows added, all others kept; a second run changes nothing.
     Only partitions that receive or lose a row are rewritten. The new state is written in full
     to the shared work folder before the table is touched, so a lost executor or a failed
-    overwrite leaves a copy to repeat it from.
+    overwrite leaves a copy to repeat it from. With a ``schema`` the table is read without
+    looking at the footers of its files.
     """
     spark = source.sparkSession
     stage = work_dir(spark, "merge")
     rows, partition = day_partition(stringify_complex(source), partition_field)
     latest_per_key(rows, keys, order).write.parquet(f"{stage}/source")
-    updates = spark.read.parquet(f"{stage}/source")
+    updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
     if updates.isEmpty():
         return
-    target = read_table(spark, path)
+    target = read_table(spark, path, schema)
     if target is None:
         write_table(updates, path, "overwrite", partition)
         return
@@ -163,7 +168,7 @@ def merge(
     if partition is None:
         merged = rows_without_match(target, updates, keys).unionByName(updates, allowMissingColumns=True)
         merged.write.parquet(f"{stage}/merged")
-        spark.read.parquet(f"{stage}/merged").write.mode("overwrite").parquet(path)
+        spark.read.schema(merged.schema).parquet(f"{stage}/merged").write.mode("overwrite").parquet(path)
         return
 
     days = _partition_values(updates, partition)
@@ -173,12 +178,13 @@ def merge(
     kept = rows_without_match(target.filter(_in_partitions(partition, days)), updates, keys)
     merged = kept.unionByName(updates, allowMissingColumns=True)
     laid_out(merged, partition).write.partitionBy(partition).parquet(f"{stage}/merged")
-    result = spark.read.parquet(f"{stage}/merged")
+    result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
     overwrite_partitions(result, path, partition)
-    for day in set(days) - set(_partition_values(result, partition)):
-        # Every row of this day moved elsewhere: leave the folder without rows.
-        label = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-        updates.drop(partition).limit(0).write.mode("overwrite").parquet(f"{path}/{partition}={label}")
+    if partition not in keys:
+        for day in set(days) - set(_partition_values(result, partition)):
+            # Every row of this day moved elsewhere: leave the folder without rows.
+            label = "__HIVE_DEFAULT_PARTITION__" if day is None else day
+            updates.drop(partition).limit(0).write.mode("overwrite").parquet(f"{path}/{partition}={label}")
 
 
 def lookback_window(df: DataFrame, column: str, end: date, days: int = 30) -> DataFrame:
@@ -213,7 +219,8 @@ def expire(df: DataFrame, column: str, as_of: date, layer: str) -> DataFrame:
 
 def refresh_partitions(mart: DataFrame, path: str, partition: str, days: Sequence[date], cluster_by=()) -> None:
     """Rebuild only the given days of a stored mart."""
-    overwrite_partitions(mart.filter(F.col(partition).isin(list(days))), path, partition, cluster_by)
+    rows = mart.filter(F.col(partition).isin(list(days)))
+    overwrite_partitions(laid_out(rows, partition, cluster_by), path, partition)
 
 
 RUN_LOG = "source string, rows_extracted bigint, rows_loaded bigint, success boolean, error string"

@@ -134,7 +134,7 @@ def _problem(tables: Mapping[str, DataFrame], check: Check, day: Column, today:
     if check.table not in tables:
         return f"no table {check.table}"
     try:
-        tables[check.table].filter(check.bad(day, today)).select(*check.duplicates_of).schema
+        tables[check.table].select(check.bad(day, today), *check.duplicates_of).schema
     except AnalysisException as failure:
         return str(failure)
     return None

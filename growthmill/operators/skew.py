@@ -17,12 +17,29 @@ def heaviest_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEYS) ->
     return counts.orderBy(F.desc("_rows"), *keys).limit(limit).select(*keys)
 
 
+def salt_count(df: DataFrame) -> int:
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def row_salt(df: DataFrame) -> Column:
+    """A salt from the content of the row, the same on every evaluation."""
+    return F.pmod(F.xxhash64(*df.columns), F.lit(salt_count(df))).cast("int")
+
+
+def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``_hot``: true for the keys in ``hot``, a list of at most ``HOT_KEYS`` keys."""
+    flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
+    return flagged.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+
+
+def repeat_hot(table: DataFrame) -> DataFrame:
+    """Add ``_salt``: a row of a hot key is repeated once per salt, any other row gets salt 0."""
+    every_salt = F.sequence(F.lit(0), F.lit(salt_count(table) - 1))
+    return table.withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
+
+
 def join_key_table(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    hot_keys: int = HOT_KEYS,
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", hot_keys: int = HOT_KEYS
 ) -> DataFrame:
     """Join many ``rows`` per key to a ``table`` with at most one row per key.
 
@@ -31,21 +48,11 @@ def join_key_table(
     left join would otherwise send them all to one task. Every other key joins as usual.
     """
     keys = list(keys)
-    salts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(heaviest_keys(rows, keys, hot_keys).withColumn("_hot", F.lit(True)))
-    row_salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    salted_rows = (
-        rows.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | any_null(keys), row_salt).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_table = (
-        table.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
-    )
-    return salted_rows.join(salted_table, [*keys, "_salt"], how).drop("_salt")
+    hot = heaviest_keys(rows, keys, hot_keys)
+    spread = F.when(F.col("_hot") | any_null(keys), row_salt(rows)).otherwise(F.lit(0))
+    left = flag_hot(rows, hot, keys).withColumn("_salt", spread).drop("_hot")
+    right = repeat_hot(flag_hot(table, hot, keys)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -57,8 +64,6 @@ def any_null(keys: Sequence[str]) -> Column:
 
 def rows_without_match(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``table``. A null key matches nothing, and such rows are spread out."""
-    salts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    row_salt = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-    left = rows.withColumn("_salt", F.when(any_null(keys), row_salt).otherwise(F.lit(0)))
+    left = rows.withColumn("_salt", F.when(any_null(keys), row_salt(rows)).otherwise(F.lit(0)))
     right = table.select(*keys, F.lit(0).alias("_salt"))
     return left.join(right, [*keys, "_salt"], "left_anti").drop("_salt")
