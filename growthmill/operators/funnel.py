@@ -80,12 +80,15 @@ def funnel_conversion_rates(events: DataFrame) -> DataFrame:
     )
 
 
-def _step_events(events: DataFrame, funnels: Mapping[str, Sequence[str]], step: int) -> DataFrame:
-    """Events that are step ``step`` of a funnel, once per such funnel."""
+def _step_events(events: DataFrame, hot: DataFrame, funnels: Mapping[str, Sequence[str]], step: int) -> DataFrame:
+    """Events that are step ``step`` of a funnel, once per such funnel, with the salt of their user."""
     at_step = [(names[step], name) for name, names in funnels.items() if len(names) > step]
     matches = F.array_compact(F.array(*[F.when(F.col("event_name") == e, F.lit(f)) for e, f in at_step]))
     wanted = events.filter(F.col("event_name").isin(*{event for event, _ in at_step}))
-    return wanted.select("distinct_id", "_hot", "_salt", "event_timestamp", F.explode(matches).alias("funnel_name"))
+    salt = F.when(F.col("_hot"), row_salt(wanted)).otherwise(F.lit(0))
+    return flag_hot(wanted, hot, ["distinct_id"]).select(
+        "distinct_id", "_hot", salt.alias("_salt"), "event_timestamp", F.explode(matches).alias("funnel_name")
+    )
 
 
 def _reached_times(events: DataFrame, funnels: Mapping[str, Sequence[str]], depth: int) -> DataFrame:
@@ -96,14 +99,12 @@ def _reached_times(events: DataFrame, funnels: Mapping[str, Sequence[str]], dept
     few time rows repeated per salt.
     """
     narrow = events.select("distinct_id", "event_name", "event_timestamp")
-    flagged = flag_hot(narrow, heaviest_keys(narrow, ["distinct_id"]), ["distinct_id"])
-    salted = flagged.withColumn("_salt", F.when(F.col("_hot"), row_salt(narrow)).otherwise(F.lit(0)))
+    hot = heaviest_keys(narrow, ["distinct_id"])
     user = ["distinct_id", "funnel_name"]
-    reached = (
-        _step_events(salted, funnels, 0).groupBy(*user, "_hot").agg(F.min("event_timestamp").alias("t0"))
-    )
+    first = _step_events(narrow, hot, funnels, 0)
+    reached = first.groupBy(*user, "_hot").agg(F.min("event_timestamp").alias("t0"))
     for i in range(1, depth):
-        later = _step_events(salted, funnels, i).drop("_hot")
+        later = _step_events(narrow, hot, funnels, i).drop("_hot")
         before = repeat_hot(reached)
         same_user = [before[c] == later[c] for c in (*user, "_salt")]
         joined = before.join(later, [*same_user, later["event_timestamp"] > before[f"t{i - 1}"]], "left")

@@ -117,6 +117,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return best.unionByName(df.filter(any_null(keys)))
 
 
+def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int = 256) -> DataFrame:
+    """Add ``key_bucket``, a partition for tables whose keys hold no day.
+
+    Merged on the keys and the bucket, an update rewrites only the buckets its keys fall into.
+    """
+    return df.withColumn("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
 def _in_partitions(column: str, values: list) -> Column:
     condition = F.col(column).isin([v for v in values if v is not None])
     return condition | F.col(column).isNull() if None in values else condition

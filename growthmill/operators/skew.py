@@ -22,8 +22,11 @@ def salt_count(df: DataFrame) -> int:
 
 
 def row_salt(df: DataFrame) -> Column:
-    """A salt from the content of the row, the same on every evaluation."""
-    return F.pmod(F.xxhash64(*df.columns), F.lit(salt_count(df))).cast("int")
+    """A salt from the content of a row and the input partition it came from.
+
+    The partition number spreads copies of one row; it stays the same when a task runs again.
+    """
+    return F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salt_count(df))).cast("int")
 
 
 def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,16 +42,18 @@ def repeat_hot(table: DataFrame) -> DataFrame:
 
 
 def join_key_table(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", hot_keys: int = HOT_KEYS
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None
 ) -> DataFrame:
     """Join many ``rows`` per key to a ``table`` with at most one row per key.
 
-    Rows of the heaviest keys are spread over salts and the few table rows they match are
-    repeated once per salt. Rows with a null key cannot match; they are spread too, since a
-    left join would otherwise send them all to one task. Every other key joins as usual.
+    Rows of the ``hot`` keys (by default the heaviest ones) are spread over salts and the few
+    table rows they match are repeated once per salt. Rows with a null key cannot match; they are
+    spread too, since a left join would otherwise send them all to one task. Every other key
+    joins as usual.
     """
     keys = list(keys)
-    hot = heaviest_keys(rows, keys, hot_keys)
+    if hot is None:
+        hot = heaviest_keys(rows, keys)
     spread = F.when(F.col("_hot") | any_null(keys), row_salt(rows)).otherwise(F.lit(0))
     left = flag_hot(rows, hot, keys).withColumn("_salt", spread).drop("_hot")
     right = repeat_hot(flag_hot(table, hot, keys)).drop("_hot")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthmill.functions import safe_divide
-from growthmill.operators.skew import join_key_table
+from growthmill.operators.skew import heaviest_keys, join_key_table
 
 TOUCH_COLUMNS = ("channel", "source", "medium", "campaign")
 
@@ -52,9 +52,10 @@ def attribution_models(touches: DataFrame) -> DataFrame:
     Duplicates go before the join: the touch columns depend on the customer only, so the
     result is the same and copies never reach the shuffle.
     """
-    conversions = touches.filter(F.col("is_conversion")).dropDuplicates()
+    conversions = touches.filter(F.col("is_conversion"))
     ends = _known_customers(touches).groupBy("customer_id").agg(*_ends(["last", "first"]))
-    return join_key_table(conversions, ends, ["customer_id"])
+    hot = heaviest_keys(conversions, ["customer_id"])
+    return join_key_table(conversions.dropDuplicates(), ends, ["customer_id"], hot=hot)
 
 
 def _channel_totals(touches: DataFrame) -> DataFrame:
@@ -91,7 +92,7 @@ def linear_attribution(touches: DataFrame) -> DataFrame:
 def channel_credit_report(touches: DataFrame) -> DataFrame:
     """Order value per channel under last touch and under linear credit, side by side."""
     customer = Window.partitionBy("customer_id")
-    latest = F.when(F.col("channel").isNotNull(), F.col("latest"))
+    latest = F.when(F.col("channel").isNotNull(), F.struct("latest", "channel"))
     rows = _credits(_channel_totals(touches)).select(
         "channel",
         "linear_attribution_credit",

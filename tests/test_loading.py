@@ -60,6 +60,18 @@ def test_merge_without_partition_and_with_new_column(spark, tmp_path):
     assert got == [(1, "a", None), (2, "z", "x")]
 
 
+def test_bucketed_merge_rewrites_only_the_buckets_of_its_keys(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = loading.with_key_bucket(frame(spark, *[(i, 1, "a", 1) for i in range(1, 10)]), ["id"], 4)
+    loading.merge(rows, str(path), ["id", "key_bucket"], ["n"], "key_bucket")
+    before = {p: p.stat().st_mtime_ns for p in path.glob("key_bucket=*/*.parquet")}
+    update = loading.with_key_bucket(frame(spark, (3, 2, "z", 2)), ["id"], 4)
+    loading.merge(update, str(path), ["id", "key_bucket"], ["n"], "key_bucket")
+    kept = {p.parent for p in before if p.exists() and p.stat().st_mtime_ns == before[p]}
+    assert len({p.parent for p in before} - kept) == 1
+    assert table(spark, str(path)) == [(i, 2 if i == 3 else 1, "z" if i == 3 else "a") for i in range(1, 10)]
+
+
 def test_empty_loads_change_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = frame(spark, (1, 1, "a", 1))
@@ -132,6 +144,6 @@ def test_salted_join_equals_the_plain_join(spark, how, hot_keys):
     data = [(1 if i % 3 else i, i) for i in range(300)] + [(None, 1000 + i) for i in range(30)] + [(-5, 7)]
     left = spark.createDataFrame(data, "k int, v int")
     right = spark.createDataFrame([(i, f"n{i}") for i in range(0, 300, 2)] + [(1, "one"), (None, "null")], "k int, name string")
-    got = skew.join_key_table(left, right, ["k"], how, hot_keys)
+    got = skew.join_key_table(left, right, ["k"], how, skew.heaviest_keys(left, ["k"], hot_keys))
     expected = left.join(right, "k", how)
     assert sorted(map(repr, got.select("k", "v", "name").collect())) == sorted(map(repr, expected.select("k", "v", "name").collect()))

@@ -1,7 +1,7 @@
 """Landed payloads in the shape the platforms deliver them, derived from the given tables.
 
-Nested rows are written as JSON text and parsed with the payload schema, so that a flattener
-reads what it would read from a landing folder.
+Nested rows are written as JSON lines to a landing folder and read with the payload schema, so
+that a flattener reads what it would read from the platform's own files.
 """
 
 from __future__ import annotations
@@ -15,9 +15,11 @@ from verification.adapters import raw, table
 
 
 def as_landed(nested: DataFrame, payload: str) -> DataFrame:
-    """JSON round trip of whole rows through the payload schema."""
-    text = nested.select(F.to_json(F.struct("*")).alias("line"))
-    return text.select(F.from_json("line", payload).alias("r")).select("r.*")
+    """The rows after a trip through JSON files in a landing folder."""
+    spark = nested.sparkSession
+    path = work_dir(spark, "landing")
+    nested.write.json(path)
+    return spark.read.schema(payload).json(path)
 
 
 def google_ads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1455,15 +1455,24 @@ def _(m):
 
 @register(
     "stream_upsert",
-    """SELECT user_id AS distinct_id, max(ts) AS last_seen, arg_max(event_type, (ts, event_id)) AS last_event FROM events GROUP BY 1""",
+    """SELECT event_id AS insert_id, CAST(ts AS DATE) AS event_date, event_type AS event,
+       CASE WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS version FROM events""",
 )
 def _(m):
-    """A table of the latest event per user, kept up to date by micro-batches."""
+    """A bronze table kept up to date by micro-batches; every fourth event arrives in two versions."""
     arriving = _event_stream(m).selectExpr(
-        "user_id AS distinct_id", "CAST(ts AS TIMESTAMP) AS last_seen", "event_id", "event_type AS last_event"
+        "event_id AS insert_id",
+        "CAST(ts AS DATE) AS event_date",
+        "event_type AS event",
+        "explode(CASE WHEN event_id % 4 = 0 THEN array(2, 1) ELSE array(1) END) AS version",
     )
     path = m.work("stream-upsert")
     streams.upsert_into(
-        arriving, f"{path}/table", f"{path}/checkpoint", keys=["distinct_id"], order=["last_seen", "event_id"]
+        arriving,
+        f"{path}/table",
+        f"{path}/checkpoint",
+        keys=["insert_id", "event_date"],
+        order=["version"],
+        partition_field="event_date",
     )
-    return m.spark.read.parquet(f"{path}/table").drop("event_id")
+    return m.spark.read.parquet(f"{path}/table")
