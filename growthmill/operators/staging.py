@@ -26,7 +26,7 @@ CONTACT_TAGS = ("contact", "contacts")
 
 def _whole(df: DataFrame, name: str) -> Column:
     """Cast to bigint, rounding halves away from zero where the landed column is fractional."""
-    column = df[name]
+    column = F.col(name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
         column = F.round(column)
     return column.cast("bigint")

@@ -63,10 +63,11 @@ def performance_tier(roas: Column) -> Column:
 def _campaign_shape(staged: DataFrame, renames: dict[str, str]) -> DataFrame:
     """Project a staged platform onto the shared campaign columns, nulls where it has none."""
     source_of = {new: old for old, new in renames.items()}
+    present = set(staged.columns)
     columns = []
     for name, kind in CAMPAIGN_TYPES.items():
         source = source_of.get(name, name)
-        column = F.col(source) if source in staged.columns else F.lit(None)
+        column = F.col(source) if source in present else F.lit(None)
         columns.append(column.cast(kind).alias(name))
     return staged.select(*columns)
 

@@ -18,6 +18,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings a session can only start with. Call sites of column expressions are not recorded:
+# collecting them takes longer than building the plans.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings to an existing session."""
@@ -30,7 +34,7 @@ def build_session(app: str = "growthmill", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**START_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,12 @@ class SourceSpec:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(f"{self.ddl}, {LOAD_COLUMNS}")
+        return _parsed(f"{self.ddl}, {LOAD_COLUMNS}")
+
+
+@lru_cache
+def _parsed(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
 
 
 def _meta_action_columns() -> str:

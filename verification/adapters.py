@@ -6,6 +6,7 @@ Each text runs unchanged in Spark and in DuckDB; ``{name}`` stands for a given t
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -189,8 +190,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A bronze table shaped from the given tables."""
+def raw(spark: SparkSession, sf_dir: str, name: str, read: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """A bronze table shaped from the given tables, which ``read`` may provide."""
     sql = RAW_SQL[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
+    return spark.sql(sql, **{t: read(t) if read else table(spark, sf_dir, t) for t in used})

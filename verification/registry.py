@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,17 +34,36 @@ NOW = datetime(2024, 1, 31, 13, 0, 0)
 MONEY = 2
 
 
+class OnDemand(Mapping):
+    """Frames by name, each built when it is first looked at."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._builders[name]()
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class Models:
     """Silver and gold models over the adapters of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return raw(self.spark, self.sf_dir, name)
+        return raw(self.spark, self.sf_dir, name, self.table)
 
     def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def work(self, label: str) -> str:
         return work_dir(self.spark, label)
@@ -130,7 +149,7 @@ class Models:
         return revenue.fct_attribution_bridged(self.sessions, self.roi)
 
     @property
-    def bronze(self) -> dict[str, DataFrame]:
+    def bronze(self) -> Mapping[str, DataFrame]:
         names = {
             "google_ads_campaigns": "raw_google_ads",
             "meta_ads_insights": "raw_meta_ads",
@@ -142,40 +161,44 @@ class Models:
             "mixpanel_segmentation": "raw_mixpanel_segmentation",
             "mixpanel_funnel_conversions": "raw_mixpanel_funnels",
         }
-        return {name: self.raw(adapter) for name, adapter in names.items()}
+        return OnDemand({name: partial(self.raw, adapter) for name, adapter in names.items()})
 
     @property
-    def checked(self) -> dict[str, DataFrame]:
+    def checked(self) -> Mapping[str, DataFrame]:
         """Tables the quality checks read."""
-        return {
-            "fct_campaign_performance": self.performance,
-            "fct_funnel_conversion": self.funnel_conversion,
-            "fct_revenue": self.revenue,
-            "google_ads_campaigns": self.raw("raw_google_ads"),
-            "mixpanel_events": self.raw("raw_mixpanel_events"),
-        }
+        return OnDemand(
+            {
+                "fct_campaign_performance": lambda: self.performance,
+                "fct_funnel_conversion": lambda: self.funnel_conversion,
+                "fct_revenue": lambda: self.revenue,
+                "google_ads_campaigns": partial(self.raw, "raw_google_ads"),
+                "mixpanel_events": partial(self.raw, "raw_mixpanel_events"),
+            }
+        )
 
     @property
-    def tested(self) -> dict[str, DataFrame]:
+    def tested(self) -> Mapping[str, DataFrame]:
         """Models the column tests read."""
-        return {
-            "stg_google_ads": self.google,
-            "stg_meta_ads": self.meta,
-            "stg_ga4_sessions": self.sessions,
-            "stg_hubspot_contacts": self.contacts,
-            "stg_shopify_orders": self.orders,
-            "stg_mixpanel_events": self.events,
-            "stg_mixpanel_segmentation": self.segments,
-            "stg_mixpanel_funnels": self.funnels,
-            "fct_campaign_performance": self.performance,
-            "fct_ad_spend_roi": self.roi,
-            "fct_funnel_conversion": self.funnel_conversion,
-            "fct_revenue": self.revenue,
-            "fct_attribution": self.attribution,
-            "fct_mixpanel_events": self.daily_events,
-            "fct_mixpanel_funnel": self.event_funnel,
-            "fct_mixpanel_campaign_attribution": self.event_attribution,
-        }
+        return OnDemand(
+            {
+                "stg_google_ads": lambda: self.google,
+                "stg_meta_ads": lambda: self.meta,
+                "stg_ga4_sessions": lambda: self.sessions,
+                "stg_hubspot_contacts": lambda: self.contacts,
+                "stg_shopify_orders": lambda: self.orders,
+                "stg_mixpanel_events": lambda: self.events,
+                "stg_mixpanel_segmentation": lambda: self.segments,
+                "stg_mixpanel_funnels": lambda: self.funnels,
+                "fct_campaign_performance": lambda: self.performance,
+                "fct_ad_spend_roi": lambda: self.roi,
+                "fct_funnel_conversion": lambda: self.funnel_conversion,
+                "fct_revenue": lambda: self.revenue,
+                "fct_attribution": lambda: self.attribution,
+                "fct_mixpanel_events": lambda: self.daily_events,
+                "fct_mixpanel_funnel": lambda: self.event_funnel,
+                "fct_mixpanel_campaign_attribution": lambda: self.event_attribution,
+            }
+        )
 
 
 @dataclass(frozen=True)
@@ -1126,7 +1149,6 @@ def _(m):
     return monitors.row_count_breaches(m.bronze, date(2024, 1, 1))
 
 
-NULL_RATE_DAY = date(2000, 3, 7)
 WATCHED = {"fct_campaign_performance": ("date", ("campaign_id", "cvr", "roas")), "fct_revenue": ("order_date", ("order_date", "gross_revenue"))}
 
 
