@@ -130,17 +130,52 @@ def null_rates(tables: Mapping[str, DataFrame], day: date, maximums=None) -> Dat
     return _union(frames)
 
 
-def kpi_alerts(roi: DataFrame) -> DataFrame:
-    """Days on which a channel's click rate or return on spend was below its floor."""
+def kpi_alerts(
+    roi: DataFrame,
+    bronze: Mapping[str, DataFrame],
+    marts: Mapping[str, DataFrame],
+    as_of: datetime,
+    day: date,
+    watched=None,
+) -> DataFrame:
+    """Everything beyond an alert threshold, one row each.
+
+    Days on which a channel's click rate or return on spend was below its floor, bronze tables
+    loaded too long before ``as_of``, and mart columns with too many nulls on ``day``.
+    """
     daily = roi.groupBy("date", "channel_source").agg(
         safe_divide(F.sum("total_clicks"), F.sum("total_impressions")).alias("ctr"),
         safe_divide(F.sum("total_conversion_value"), F.sum("total_spend")).alias("roas"),
     )
-    floors = {"ctr": CTR_MIN, "roas": ROAS_MIN}
-    rows = F.array(
+    floors = F.array(
         *[
             F.struct(F.lit(kpi).alias("kpi"), F.col(kpi).alias("value"), F.lit(floor).alias("threshold"))
-            for kpi, floor in floors.items()
+            for kpi, floor in (("ctr", CTR_MIN), ("roas", ROAS_MIN))
         ]
     )
-    return daily.select("date", "channel_source", F.inline(rows)).filter(F.col("value") < F.col("threshold"))
+    below = daily.select("date", F.col("channel_source").alias("subject"), F.inline(floors)).filter(
+        F.col("value") < F.col("threshold")
+    )
+    late = freshness_breaches(bronze, as_of, dict.fromkeys(FRESHNESS_HOURS, DATA_FRESHNESS_HOURS)).select(
+        F.to_date(F.lit(as_of)).alias("date"),
+        F.col("table_name").alias("subject"),
+        F.lit("data_freshness_hours").alias("kpi"),
+        F.col("hours_since_load").cast("double").alias("value"),
+        F.col("max_hours").cast("double").alias("threshold"),
+    )
+    limits = {
+        table: (day_column, dict.fromkeys(columns, NULL_RATE_MAX))
+        for table, (day_column, columns) in (watched or NULL_RATE_MAXIMUMS).items()
+    }
+    sparse = (
+        null_rates(marts, day, limits)
+        .filter("breached")
+        .select(
+            F.lit(day).alias("date"),
+            F.concat_ws(".", "table_name", "column_name").alias("subject"),
+            F.lit("null_rate").alias("kpi"),
+            F.col("null_rate").alias("value"),
+            F.col("max_rate").alias("threshold"),
+        )
+    )
+    return below.unionByName(late).unionByName(sparse)

@@ -1,6 +1,7 @@
 """Bronze tables shaped from the given tables.
 
-Each text runs unchanged in Spark and in DuckDB; ``{name}`` stands for a given table.
+Each text runs in Spark and, with ``explode(sequence(`` spelled ``unnest(generate_series(``, in
+DuckDB; ``{name}`` stands for a given table.
 """
 
 from __future__ import annotations
@@ -165,17 +166,19 @@ SELECT user_id AS customer_id, CAST(ts AS DATE) AS event_date,
        CASE event_id % 3 WHEN 0 THEN 'paid_search' WHEN 1 THEN 'email' ELSE 'direct' END AS channel
 FROM {events}""",
     "raw_mixpanel_funnels": """
-SELECT d.event_date AS date, CAST(101 AS BIGINT) AS funnel_id, 'purchase_funnel' AS funnel_name, s.step_index, s.step_label,
-       count(CASE WHEN d.event_type = s.event_type THEN 1 END) AS count,
-       CAST(1 AS DOUBLE) / CAST(1 + s.step_index AS DOUBLE) AS conversion_rate,
-       CAST(s.step_index * 600 AS DOUBLE) AS avg_time_to_convert_sec,
-       count(CASE WHEN d.event_type = 'purchase' THEN 1 END) AS goal_count,
+SELECT date, CAST(101 AS BIGINT) AS funnel_id, 'purchase_funnel' AS funnel_name, CAST(step AS INT) AS step_index,
+       CASE step WHEN 0 THEN 'Page Viewed' WHEN 1 THEN 'Add to Cart' WHEN 2 THEN 'Checkout Started' ELSE 'Order Completed' END AS step_label,
+       CASE step WHEN 0 THEN views WHEN 1 THEN clicks WHEN 2 THEN errors ELSE purchases END AS count,
+       CAST(1 AS DOUBLE) / CAST(1 + step AS DOUBLE) AS conversion_rate,
+       CAST(step * 600 AS DOUBLE) AS avg_time_to_convert_sec,
+       purchases AS goal_count,
        CAST(0.25 AS DOUBLE) AS goal_conversion_rate,
        TIMESTAMP '2024-01-29 09:00:00' AS _extracted_at
-FROM (SELECT CAST(ts AS DATE) AS event_date, event_type FROM {events}) d
-CROSS JOIN (SELECT 0 AS step_index, 'Page Viewed' AS step_label, 'view' AS event_type UNION ALL SELECT 1, 'Add to Cart', 'click'
-            UNION ALL SELECT 2, 'Checkout Started', 'error' UNION ALL SELECT 3, 'Order Completed', 'purchase') s
-GROUP BY 1, 2, 3, 4, 5""",
+FROM (SELECT d.*, explode(sequence(0, 3)) AS step FROM (
+  SELECT CAST(ts AS DATE) AS date, count(CASE WHEN event_type = 'view' THEN 1 END) AS views,
+         count(CASE WHEN event_type = 'click' THEN 1 END) AS clicks, count(CASE WHEN event_type = 'error' THEN 1 END) AS errors,
+         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchases
+  FROM {events} GROUP BY 1) d) x""",
     "raw_mixpanel_segmentation": """
 SELECT CAST(ts AS DATE) AS date, event_type AS event, CASE WHEN event_type = 'error' THEN 'os' ELSE 'utm_source' END AS segment_property,
        CASE event_id % 5 WHEN 0 THEN 'Google' WHEN 1 THEN 'facebook' WHEN 2 THEN 'email' WHEN 3 THEN '' ELSE 'Partner' END AS segment_value,

@@ -263,7 +263,13 @@ SELECT customer_id, CAST(max(CASE stage WHEN 'visitor' THEN 0 WHEN 'lead' THEN 1
 FROM raw_stage_events WHERE customer_id IS NOT NULL GROUP BY 1""",
 }
 
-ALL_SQL = {**{k: re.sub(r"\{(\w+)\}", r"\1", v) for k, v in RAW_SQL.items()}, **MODELS}
+
+
+def _for_duckdb(sql: str) -> str:
+    return re.sub(r"\{(\w+)\}", r"\1", sql).replace("explode(sequence(", "unnest(generate_series(")
+
+
+ALL_SQL = {**{name: _for_duckdb(sql) for name, sql in RAW_SQL.items()}, **MODELS}
 
 
 def _needed(sql: str, seen: list[str]) -> None:

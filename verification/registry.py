@@ -581,19 +581,19 @@ def _(m):
     return touches.attribution_models(m.raw("raw_touches"))
 
 
-@register(
-    "asof_utm_attribution",
-    """SELECT c.event_id AS conversion_id, c.distinct_id, c.event_name AS conversion_event, c.event_timestamp AS converted_at,
+def _asof_sql(days: int) -> str:
+    return f"""SELECT c.event_id AS conversion_id, c.distinct_id, c.event_name AS conversion_event, c.event_timestamp AS converted_at,
        arg_max(t.event_id, (t.event_timestamp, t.event_id)) AS touch_event_id, max(t.event_timestamp) AS touched_at,
        arg_max(t.utm_source, (t.event_timestamp, t.event_id)) AS utm_source,
        arg_max(t.utm_medium, (t.event_timestamp, t.event_id)) AS utm_medium,
        arg_max(t.utm_campaign, (t.event_timestamp, t.event_id)) AS utm_campaign
        FROM stg_mixpanel_events c LEFT JOIN (SELECT * FROM stg_mixpanel_events WHERE utm_campaign IS NOT NULL) t
-       ON t.distinct_id = c.distinct_id AND t.event_timestamp BETWEEN c.event_timestamp - INTERVAL 3 DAY AND c.event_timestamp
-       WHERE c.event_name = 'Order Completed' GROUP BY 1, 2, 3, 4""",
-)
-def _(m):
-    return touches.asof_utm_attribution(m.events, days=3)
+       ON t.distinct_id = c.distinct_id AND t.event_timestamp BETWEEN c.event_timestamp - INTERVAL {days} DAY AND c.event_timestamp
+       WHERE c.event_name = 'Order Completed' GROUP BY 1, 2, 3, 4"""
+
+
+register("asof_utm_attribution", _asof_sql(30))(lambda m: touches.asof_utm_attribution(m.events))
+register("asof_utm_attribution_one_day", _asof_sql(1))(lambda m: touches.asof_utm_attribution(m.events, days=1))
 
 
 @register(
@@ -1170,14 +1170,24 @@ def _(m):
 
 @register(
     "mon_kpi_alerts",
-    """SELECT date, channel_source, 'ctr' AS kpi, sum(total_clicks) / CAST(sum(total_impressions) AS DOUBLE) AS value, 0.005 AS threshold
+    f"""SELECT date, channel_source AS subject, 'ctr' AS kpi, sum(total_clicks) / CAST(sum(total_impressions) AS DOUBLE) AS value, 0.005 AS threshold
        FROM fct_ad_spend_roi GROUP BY 1, 2 HAVING sum(total_clicks) / CAST(sum(total_impressions) AS DOUBLE) < 0.005
        UNION ALL SELECT date, channel_source, 'roas', sum(total_conversion_value) / sum(total_spend), 1.0
-       FROM fct_ad_spend_roi GROUP BY 1, 2 HAVING sum(total_conversion_value) / nullif(sum(total_spend), 0) < 1.0""",
+       FROM fct_ad_spend_roi GROUP BY 1, 2 HAVING sum(total_conversion_value) / nullif(sum(total_spend), 0) < 1.0
+       UNION ALL SELECT DATE '{NOW.date()}', table_name, 'data_freshness_hours', hours, 4 FROM (
+         SELECT table_name, date_sub('hour', last_loaded, TIMESTAMP '{NOW}') AS hours FROM ({LOADS_SQL}) l WHERE max_hours IS NOT NULL) h WHERE hours > 4
+       UNION ALL SELECT DATE '{DAY}', subject, 'null_rate', rate, 0.05 FROM ("""
+    + " UNION ALL ".join(
+        f"""SELECT '{t}.{c}' AS subject, count(*) FILTER (WHERE {c} IS NULL) / nullif(CAST(count(*) AS DOUBLE), 0) AS rate
+        FROM {t} WHERE {day} = DATE '{DAY}'"""
+        for t, (day, columns) in WATCHED.items()
+        for c in columns
+    )
+    + ") n WHERE rate > 0.05",
     "value threshold",
 )
 def _(m):
-    return monitors.kpi_alerts(m.roi)
+    return monitors.kpi_alerts(m.roi, m.bronze, m.checked, NOW, DAY, WATCHED)
 
 
 def _summary_sql(parts: list[tuple[str, str, str]]) -> str:
