@@ -141,3 +141,42 @@ def with_rank(df: DataFrame, key: str, order: list[str], name: str = "rank") ->
     return numbered.join(offsets, same).withColumn(name, F.col("_up") + F.col("_in")).drop(
         "_bucket", "_key", "_of", "_up", "_in"
     )
+
+
+def join_by_share(
+    rows: DataFrame, groups: DataFrame, keys: list[str], count: str, spread_by: list[str], how: str = "inner"
+) -> DataFrame:
+    """Join many ``rows`` per key to ``groups``, one row per key with its number of rows in ``count``.
+
+    A key is hot when it holds more than one partition's share of the rows, so there are at most as many
+    hot keys as partitions. Their rows are spread over salts and their group is repeated per salt.
+    """
+    spark = rows.sparkSession
+    parts = partitions(spark)
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * parts > total
+    key_hash = F.xxhash64(*keys)
+    # At most ``parts`` numbers.
+    hot = [r[0] for r in groups.where(is_hot).select(key_hash).collect()]
+    flag = key_hash.isin(hot) if hot else F.lit(False)
+    salt = F.pmod(F.xxhash64(*spread_by) + F.spark_partition_id(), F.lit(parts)).cast("int")
+    left = rows.withColumn("_salt", F.when(flag, salt).otherwise(F.lit(0)))
+    salts = F.when(flag, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    right = groups.withColumn("_salt", F.explode(salts))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def labelled_sample(spark: SparkSession, sf_dir: str, label: str, per_class: int, allowed: Column | None = None) -> DataFrame:
+    """At most ``per_class`` document ids of each label value 0 and 1: ``doc_id``, ``label``.
+
+    Ids are taken in the order of a hash, so the sample does not depend on how rows are stored. A document
+    with two labels counts as the smaller one; null ids and labels are left out.
+    """
+    labels = table(spark, sf_dir, "labels").where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
+    if allowed is not None:
+        labels = labels.where(allowed)
+    one = labels.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    return one.where("label = 0").orderBy(*order).limit(per_class).unionAll(
+        one.where("label = 1").orderBy(*order).limit(per_class)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from growthmill.llm import packing, sentence_pieces
+from growthmill.llm import exact_copies, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
 from growthmill.llm.common import table
 
 VOCABULARIES = {"pieces": "piece_bpe_32k.model", "words": "word_bpe_49k.json"}
@@ -15,6 +15,26 @@ def vocabulary(kind: str) -> str:
     return public_tokenizers.path(VOCABULARIES[kind])
 
 
+def op1_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
+
+
+def op3_quality_rules(spark, sf_dir):
+    return quality_rules.quality_of(spark, sf_dir)
+
+
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity_of(spark, sf_dir)
+
+
+def op6_exact_copies(spark, sf_dir):
+    return exact_copies.exact_copies(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark, sf_dir):
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op9_sentence_pieces(spark, sf_dir):
     return sentence_pieces.encode_documents(table(spark, sf_dir, "documents"), vocabulary("pieces"))
 
@@ -24,8 +44,23 @@ def op10_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op3_quality_rules": op3_quality_rules,
+    "op5_toxicity": op5_toxicity,
+    "op6_exact_copies": op6_exact_copies,
+    "op8_simhash": op8_simhash,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Of equal texts the row with the largest doc_id stays; A-Z alone are lower-cased.
+EXACT_COPIES_SQL = """
+WITH n AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body
+    FROM documents
+), g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body)
+SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(n.body) AS text_sha256
+FROM n JOIN g USING (body)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op6_exact_copies": EXACT_COPIES_SQL}
