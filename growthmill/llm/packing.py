@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +24,8 @@ from growthmill.llm.common import WORD, map_texts, staged, with_rank
 
 CAPACITY = 4096
 END_ID = 2
-MEMORY_WORDS = 200_000
+# Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
+MEMORY_WORDS = 400_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -40,10 +41,12 @@ class WordTokenizer:
         self.memory: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.memory]
+        new = words.difference(self.memory)
         if len(self.memory) + len(new) > MEMORY_WORDS:
-            self.memory.clear()
-            new = list(words)
+            for word in list(islice(reversed(self.memory), len(self.memory) // 2)):
+                del self.memory[word]
+            new = words.difference(self.memory)
+        new = list(new)
         for word, coded in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
             self.memory[word] = np.array(coded.ids, "<u4").tobytes()
 
