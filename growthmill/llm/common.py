@@ -53,8 +53,9 @@ def map_texts(
 ) -> DataFrame:
     """Map documents in tasks: ``make()`` runs once per task and gives ``(ids, texts) -> columns``.
 
-    The function sees slices of about ``SLICE_CHARS`` characters and returns lists by column name;
-    it may return more or fewer rows than it got. ``columns`` are the id column and the text column.
+    The function sees slices of about ``SLICE_CHARS`` characters and returns lists by column name, or None;
+    it may return more or fewer rows than it got. If it has a ``finish``, the rows of that come last.
+    ``columns`` are the id column and the text column.
     """
     out = pa.schema(_arrow_fields(docs.sparkSession, schema))
 
@@ -65,7 +66,11 @@ def map_texts(
             for start, stop in slices(texts):
                 part = [t or "" for t in texts.slice(start, stop - start).to_pylist()]
                 got = apply(ids[start:stop], part)
-                yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in out], schema=out)
+                if got is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in out], schema=out)
+        if hasattr(apply, "finish"):
+            got = apply.finish()
+            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in out], schema=out)
 
     return docs.select(*columns).mapInArrow(run, schema)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from growthmill.llm import exact_copies, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
+from growthmill.llm import class_lm, exact_copies, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
 from growthmill.llm.common import table
 
 VOCABULARIES = {"pieces": "piece_bpe_32k.model", "words": "word_bpe_49k.json"}
@@ -23,6 +23,10 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.quality_of(spark, sf_dir)
 
 
+def op4_class_lm(spark, sf_dir):
+    return class_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity_of(spark, sf_dir)
 
@@ -46,6 +50,7 @@ def op10_packing(spark, sf_dir):
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_class_lm": op4_class_lm,
     "op5_toxicity": op5_toxicity,
     "op6_exact_copies": op6_exact_copies,
     "op8_simhash": op8_simhash,
