@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from growthmill.llm import class_lm, exact_copies, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
+from growthmill.llm import class_lm, exact_copies, line_dedup, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
 from growthmill.llm.common import table
+from pyspark.sql import functions as F
 
 VOCABULARIES = {"pieces": "piece_bpe_32k.model", "words": "word_bpe_49k.json"}
 
@@ -19,6 +20,13 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
 
 
+def op2_line_dedup(spark, sf_dir):
+    """One row per document: its lines with a word, those that stay, those near an earlier line, and their links."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), figures=True)
+    figures = [F.col(f"_lines.{k}").alias(f"n_{k}") for k in ("lines", "kept", "near", "links")]
+    return out.select("doc_id", *figures, F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op3_quality_rules(spark, sf_dir):
     return quality_rules.quality_of(spark, sf_dir)
 
@@ -49,6 +57,7 @@ def op10_packing(spark, sf_dir):
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_line_dedup": op2_line_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_class_lm": op4_class_lm,
     "op5_toxicity": op5_toxicity,

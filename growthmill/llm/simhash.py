@@ -188,7 +188,7 @@ def near_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
             F.sequence(F.lit(0), tiles - 1), lambda other: F.least(own, other) * tiles + F.greatest(own, other)
         )
         tile = F.explode(F.when(F.col("key").isin(list(hot)), pairs).otherwise(F.array(F.lit(0))))
-    rows = rows.withColumn("tile", tile.cast("int")).repartition(parts, "key", "tile")
+    rows = rows.withColumn("tile", tile).repartition(parts, "key", "tile")
     rows = rows.sortWithinPartitions("key", "tile", "fp")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
