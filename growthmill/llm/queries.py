@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from growthmill.llm import class_lm, exact_copies, line_dedup, packing, quality_rules, sentence_pieces, sharding, simhash, toxicity
-from growthmill.llm.common import table
 from pyspark.sql import functions as F
 
+from growthmill.llm import class_lm, exact_copies, line_dedup, packing, quality_rules, revisits, sentence_pieces, sharding, simhash, toxicity
+from growthmill.llm.common import table
+
 VOCABULARIES = {"pieces": "piece_bpe_32k.model", "words": "word_bpe_49k.json"}
 
 
@@ -43,6 +44,10 @@ def op6_exact_copies(spark, sf_dir):
     return exact_copies.exact_copies(table(spark, sf_dir, "documents"))
 
 
+def op7_revisits(spark, sf_dir):
+    return revisits.revisits_of(spark, sf_dir)
+
+
 def op8_simhash(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_class_lm": op4_class_lm,
     "op5_toxicity": op5_toxicity,
     "op6_exact_copies": op6_exact_copies,
+    "op7_revisits": op7_revisits,
     "op8_simhash": op8_simhash,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_packing": op10_packing,
@@ -77,4 +83,4 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM n JOIN g USING (body)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_copies": EXACT_COPIES_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_exact_copies": EXACT_COPIES_SQL, "op7_revisits": revisits.REVISITS_SQL}
