@@ -413,10 +413,10 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS,
     decisions = line_decisions(docs.select("doc_id", "text"), edits, min_chars).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "kept", "near", "links"
     )
-    decided = F.struct("kept", "near", "links").alias("_decided")
-    decisions = decisions.select("_id", "_hash", decided)
+    fresh = "_" + max(docs.columns, key=len)
+    decisions = decisions.select("_id", "_hash", F.struct("kept", "near", "links").alias(fresh))
     same = docs["doc_id"].eqNullSafe(decisions["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == decisions["_hash"])
-    joined = docs.join(decisions, same, "left").select(*[docs[c] for c in docs.columns], "_decided")
+    joined = docs.join(decisions, same, "left").select(*[docs[c] for c in docs.columns], decisions[fresh])
     position, names = docs.columns.index("text"), list(docs.columns)
     schema = docs.schema
     if figures:
