@@ -12,16 +12,17 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from itertools import chain
+from itertools import chain, islice
 
 from pyspark.sql import DataFrame
 
 from growthmill.llm.common import map_texts
 
 SPACE = "▁"
+EMPTY = hashlib.sha256(b"").hexdigest()
 
-# Words a task remembers before it starts over.
-MEMORY_WORDS = 200_000
+# Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
+MEMORY_WORDS = 400_000
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
@@ -55,7 +56,7 @@ class PieceCodec:
         self.decimals = [str(i) for i in range(size)]
         self.unknown = self.library.unk_id()
         self.split = self._splitter()
-        self.memory: dict[str, tuple[list[int], bool]] = {}
+        self.memory: dict[str, tuple[int, str, bytes, bool]] = {}
 
     def _splitter(self) -> re.Pattern:
         """Cuts where no piece can reach across."""
@@ -69,29 +70,33 @@ class PieceCodec:
         """Ids of one word, by the agenda of adjacent pairs."""
         symbols: list[str] = list(word)
         count = len(symbols)
-        after = list(range(1, count + 1))
-        before = list(range(-1, count - 1))
-        scores, agenda = self.scores, []
-
-        def offer(left: int, right: int) -> None:
-            joined = symbols[left] + symbols[right]
-            score = scores.get(joined)
-            if score is not None:
-                heapq.heappush(agenda, (-score, left, right, joined))
-
+        scores = self.scores
+        agenda = []
         for i in range(count - 1):
-            offer(i, i + 1)
+            joined = symbols[i] + symbols[i + 1]
+            if joined in scores:
+                agenda.append((-scores[joined], i, i + 1, joined))
+        if agenda:
+            heapq.heapify(agenda)
+            after = list(range(1, count + 1))
+            before = list(range(-1, count - 1))
         while agenda:
             _, left, right, joined = heapq.heappop(agenda)
+            # Stale: one of the symbols has been merged since.
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != len(joined):
                 continue
             symbols[left], symbols[right] = joined, ""
-            after[left] = after[right]
-            if after[left] < count:
-                before[after[left]] = left
-                offer(left, after[left])
-            if before[left] >= 0:
-                offer(before[left], left)
+            following, preceding = after[right], before[left]
+            after[left] = following
+            if following < count:
+                before[following] = left
+                longer = joined + symbols[following]
+                if longer in scores:
+                    heapq.heappush(agenda, (-scores[longer], left, following, longer))
+            if preceding >= 0:
+                longer = symbols[preceding] + joined
+                if longer in scores:
+                    heapq.heappush(agenda, (-scores[longer], preceding, left, longer))
         out: list[int] = []
         for symbol in symbols:
             if symbol:
@@ -106,29 +111,44 @@ class PieceCodec:
 
     def learn(self, words: set[str]) -> None:
         """Encode new words and compare them with the library, all in one call."""
-        new = [w for w in words if w not in self.memory]
+        new = words.difference(self.memory)
         if len(self.memory) + len(new) > MEMORY_WORDS:
-            self.memory.clear()
-            new = list(words)
+            for word in list(islice(reversed(self.memory), len(self.memory) // 2)):
+                del self.memory[word]
+            new = words.difference(self.memory)
+        new = list(new)
         # A line feed before the word keeps the library from putting a space there.
         theirs = self.library.encode(["\n" + w.replace(SPACE, " ") for w in new], num_threads=1)
         for word, expected in zip(new, theirs):
             ids = self.merge(word)
-            self.memory[word] = (ids, ids == expected[2:])
+            decimals = ",".join(map(self.decimals.__getitem__, ids))
+            surface = b"".join(map(self.surfaces.__getitem__, ids))
+            self.memory[word] = (len(ids), decimals, surface, ids == expected[2:])
 
     def words(self, text: str) -> list[str]:
         """The text as the library normalises it for such a vocabulary, cut into words."""
         return self.split.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def digests(self, words: list[str]) -> tuple[int, str, str, bool]:
+        """Number of ids, digest of the ids, digest of the decoded text and agreement, for learnt words.
+
+        The decoded text is the surfaces of all pieces without the space put before the text.
+        """
+        if not words:
+            return 0, EMPTY, EMPTY, True
+        counts, decimals, surfaces, agree = zip(*map(self.memory.__getitem__, words))
+        decoded = b"".join(surfaces)
+        if decoded[:1] == b" ":
+            decoded = decoded[1:]
+        ids_digest = hashlib.sha256(",".join(decimals).encode()).hexdigest()
+        return sum(counts), ids_digest, hashlib.sha256(decoded).hexdigest(), all(agree)
+
     def encode(self, text: str) -> list[int]:
-        words = self.words(text)
-        self.learn(set(words))
-        return list(chain.from_iterable(self.memory[w][0] for w in words))
+        return list(chain.from_iterable(map(self.merge, self.words(text))))
 
-    def decode(self, ids: list[int]) -> bytes:
-        """UTF-8 of the decoded text: surfaces joined, without the space put before the text."""
+    def decode(self, ids: list[int]) -> str:
         joined = b"".join(map(self.surfaces.__getitem__, ids))
-        return joined[1:] if joined[:1] == b" " else joined
+        return (joined[1:] if joined[:1] == b" " else joined).decode("utf-8", "replace")
 
 
 _CODECS: dict[str, PieceCodec] = {}
@@ -155,16 +175,14 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
         def apply(doc_ids, texts):
             words = [model.words(t) for t in texts]
             model.learn(set(chain.from_iterable(words)))
-            memory, decimals = model.memory, model.decimals
-            out = {"doc_id": doc_ids, "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "agrees": []}
-            for of_text in words:
-                known = list(map(memory.__getitem__, of_text))
-                ids = list(chain.from_iterable(k[0] for k in known))
-                out["n_tokens"].append(len(ids))
-                out["ids_sha256"].append(hashlib.sha256(",".join(map(decimals.__getitem__, ids)).encode()).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(model.decode(ids)).hexdigest())
-                out["agrees"].append(all(k[1] for k in known))
-            return out
+            n_tokens, ids_sha256, decoded_sha256, agrees = zip(*map(model.digests, words))
+            return {
+                "doc_id": doc_ids,
+                "n_tokens": n_tokens,
+                "ids_sha256": ids_sha256,
+                "decoded_sha256": decoded_sha256,
+                "agrees": agrees,
+            }
 
         return apply
 
