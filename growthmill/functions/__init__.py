@@ -7,7 +7,7 @@ from growthmill.functions.channels import (
     normalize_channel,
     spend_channel,
 )
-from growthmill.functions.dates import hours_between, month_start, week_of_year_sunday, week_start_sunday
+from growthmill.functions.dates import hours_between, in_days, month_start, week_of_year_sunday, week_start_sunday
 from growthmill.functions.numeric import from_micros, lenient_number, safe_divide, safe_divide_or
 from growthmill.functions.text import lower_or_null, surrogate_key
 
@@ -17,6 +17,7 @@ __all__ = [
     "channel_utm",
     "from_micros",
     "hours_between",
+    "in_days",
     "lenient_number",
     "lower_or_null",
     "month_start",

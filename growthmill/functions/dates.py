@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,3 +24,8 @@ def week_of_year_sunday(day: Column) -> Column:
 def hours_between(start: Column, end: Column) -> Column:
     """Whole elapsed hours from ``start`` to ``end``."""
     return F.timestamp_diff("HOUR", start, end)
+
+
+def in_days(moment: Column, start: date, end: date) -> Column:
+    """From the beginning of day ``start`` to the end of day ``end``, for a date or a timestamp; prunes partitions."""
+    return (moment >= F.lit(start)) & (moment < F.date_add(F.lit(end), 1))

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date
+from contextlib import contextmanager
+from datetime import date, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from growthmill.functions.dates import in_days
 from growthmill.operators.skew import any_null, rows_without_match
-from growthmill.session import work_dir
-from growthmill.sources.specs import RETENTION_DAYS, SourceSpec
+from growthmill.session import remove_folder, work_dir
+from growthmill.sources.product_events import with_event_key
+from growthmill.sources.specs import RETENTION_DAYS, SourceSpec, with_metadata
+
+# A merge or refresh of more partitions than this is refused: the table is partitioned too finely.
+MOST_PARTITIONS = 10_000
 
 
 def run_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
@@ -24,12 +30,21 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
-    """Publish a model under a name: ``view`` keeps the query, ``table`` stores its rows."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    kind: str,
+    path: str | None = None,
+    partition_by: str | None = None,
+    cluster_by: Sequence[str] = (),
+) -> DataFrame:
+    """Publish a model under a name: ``view`` keeps the query, ``table`` stores its rows in the given layout."""
     if kind == "view":
         df.createOrReplaceTempView(name)
     else:
-        writer = df.write.mode("overwrite")
+        writer = laid_out(df, partition_by, cluster_by).write.mode("overwrite")
+        if partition_by is not None:
+            writer = writer.partitionBy(partition_by)
         if path is not None:
             writer = writer.option("path", path)
         writer.saveAsTable(name)
@@ -81,6 +96,18 @@ def day_partition(df: DataFrame, field: str | None) -> tuple[DataFrame, str | No
     return df, field
 
 
+@contextmanager
+def staging(spark: SparkSession, label: str):
+    """A folder for staged rows, removed once they are in place; a failure names it and leaves it."""
+    stage = work_dir(spark, label)
+    try:
+        yield stage
+    except Exception as failure:
+        failure.add_note(f"staged rows, if any, are in {stage}")
+        raise
+    remove_folder(spark, stage)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -88,39 +115,50 @@ def write_table(
     partition_field: str | None = None,
     cluster_by: Sequence[str] = (),
 ) -> bool:
-    """Append to or replace the table at ``path``. An empty frame changes nothing."""
-    if df.isEmpty():
-        return False
+    """Append to or replace the table at ``path``. An empty frame changes nothing.
+
+    Rows are computed once, into the stage, where they are also counted.
+    """
     rows, partition = day_partition(stringify_complex(df), partition_field)
+    spark, seen = df.sparkSession, Observation()
+    with staging(spark, "write") as stage:
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(stage)
+        if seen.get["rows"] == 0:
+            return False
+        _write(spark.read.schema(rows.schema).parquet(stage), path, mode, partition, cluster_by)
+    return True
+
+
+def _write(rows: DataFrame, path: str, mode: str, partition: str | None, cluster_by: Sequence[str] = ()) -> None:
     writer = laid_out(rows, partition, cluster_by).write.mode(mode)
     if partition is not None:
         writer = writer.partitionBy(partition)
     writer.parquet(path)
-    return True
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], null_safe: bool = False) -> DataFrame:
     """One row per key: the greatest by ``order``, remaining ties settled by the other columns.
 
-    A grouped maximum reduces copies of a key before the shuffle. Rows with a null key have
-    no identity and all stay.
+    A grouped maximum reduces copies of a key before the shuffle. Rows with a null key have no identity
+    and all stay, each in a group of its own; with ``null_safe`` a null is a key value like any other.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
     kept = [c for c in order if c not in keys]
-    best = (
-        df.dropna(subset=list(keys))
-        .groupBy(*keys)
+    alone = F.lit(0) if null_safe else F.when(any_null(keys), F.monotonically_increasing_id()).otherwise(F.lit(-1))
+    return (
+        df.withColumn("_alone", alone.cast("bigint"))
+        .groupBy(*keys, "_alone")
         .agg(F.max(F.struct(*kept, *rest)).alias("_best"))
         .select(*keys, "_best.*")
         .select(*df.columns)
     )
-    return best.unionByName(df.filter(any_null(keys)))
 
 
-def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int = 256) -> DataFrame:
+def with_key_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Add ``key_bucket``, a partition for tables whose keys hold no day.
 
-    Merged on the keys and the bucket, an update rewrites only the buckets its keys fall into.
+    Merged on the keys and the bucket, an update rewrites only the buckets its keys fall into. The number of
+    buckets belongs to the stored layout: see ``SourceSpec.buckets``.
     """
     return df.withColumn("key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
@@ -132,7 +170,10 @@ def _in_partitions(column: str, values: list) -> Column:
 
 def _partition_values(df: DataFrame, column: str) -> list:
     """Distinct partition values: as many as the table has folders, not rows."""
-    return [row[0] for row in df.select(column).distinct().collect()]
+    values = [row[0] for row in df.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS:
+        raise ValueError(f"more than {MOST_PARTITIONS} partitions of {column}: use a coarser partition")
+    return values
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
@@ -145,6 +186,17 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str) -> None:
     )
 
 
+def partition_folder(path: str, partition: str, value) -> str:
+    return f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+
+def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & left[key].eqNullSafe(right[key])
+    return condition
+
+
 def merge(
     source: DataFrame,
     path: str,
@@ -152,71 +204,131 @@ def merge(
     order: Sequence[str] = (),
     partition_field: str | None = None,
     schema: T.StructType | None = None,
+    cluster_by: Sequence[str] = (),
+    null_safe: bool = False,
 ) -> None:
     """Upsert ``source`` into the table at ``path``, which is created on the first run.
 
-    Matched rows are replaced, new rows added, all others kept; a second run changes nothing.
-    Only partitions that receive or lose a row are rewritten. The new state is written in full
-    to the shared work folder before the table is touched, so a lost executor or a failed
-    overwrite leaves a copy to repeat it from. With a ``schema`` the table is read without
-    looking at the footers of its files.
+    Matched rows are replaced, new rows added, all others kept; a second run changes nothing. With an
+    ``order`` the greatest of the stored and the new row stays, ties going to the new one, so
+    the result does not depend on how rows are dealt to batches. ``null_safe`` lets nulls in keys match.
+    Only partitions that receive or lose a row are read and rewritten. The new state is written in full to the shared
+    work folder before the table is touched, so a lost executor or a failed overwrite leaves a copy to repeat
+    it from; the folder is named in the error and removed after success. With a ``schema`` of the table no
+    file footers are looked at.
     """
     spark = source.sparkSession
-    stage = work_dir(spark, "merge")
     rows, partition = day_partition(stringify_complex(source), partition_field)
-    latest_per_key(rows, keys, order).write.parquet(f"{stage}/source")
-    updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
-    if updates.isEmpty():
-        return
-    target = read_table(spark, path, schema)
-    if target is None:
-        write_table(updates, path, "overwrite", partition)
-        return
-
-    if partition is None:
-        merged = rows_without_match(target, updates, keys).unionByName(updates, allowMissingColumns=True)
-        merged.write.parquet(f"{stage}/merged")
-        spark.read.schema(merged.schema).parquet(f"{stage}/merged").write.mode("overwrite").parquet(path)
-        return
-
-    days = _partition_values(updates, partition)
-    if partition not in keys:
-        matched = target.join(updates.select(*keys), list(keys), "left_semi")
-        days = list({*days, *_partition_values(matched, partition)})
-    kept = rows_without_match(target.filter(_in_partitions(partition, days)), updates, keys)
-    merged = kept.unionByName(updates, allowMissingColumns=True)
-    laid_out(merged, partition).write.partitionBy(partition).parquet(f"{stage}/merged")
-    result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
-    overwrite_partitions(result, path, partition)
-    if partition not in keys:
-        for day in set(days) - set(_partition_values(result, partition)):
-            # Every row of this day moved elsewhere: leave the folder without rows.
-            label = "__HIVE_DEFAULT_PARTITION__" if day is None else day
-            updates.drop(partition).limit(0).write.mode("overwrite").parquet(f"{path}/{partition}={label}")
+    seen = Observation()
+    with staging(spark, "merge") as stage:
+        latest = latest_per_key(rows, keys, order, null_safe).observe(seen, F.count(F.lit(1)).alias("rows"))
+        latest.write.parquet(f"{stage}/source")
+        if seen.get["rows"] == 0:
+            return
+        updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
+        target = read_table(spark, path, _stored_schema(schema, rows.schema))
+        if target is None:
+            _write(updates, path, "overwrite", partition, cluster_by)
+            return
+        days = None
+        if partition is not None:
+            days = _partition_values(updates, partition)
+            if partition not in keys:
+                if null_safe:
+                    matched = target.join(updates, _same_key(target, updates, keys), "left_semi")
+                else:
+                    matched = target.join(updates.select(*keys), list(keys), "left_semi")
+                days = list({*days, *_partition_values(matched, partition)})
+            target = target.filter(_in_partitions(partition, days))
+        merged = _merged(target, updates, keys, order, null_safe)
+        arranged = laid_out(merged, partition, cluster_by)
+        writer = arranged.write if partition is None else arranged.write.partitionBy(partition)
+        writer.parquet(f"{stage}/merged")
+        result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+        if partition is None:
+            result.write.mode("overwrite").parquet(path)
+            return
+        overwrite_partitions(result, path, partition)
+        if partition not in keys:
+            for day in set(days) - set(_partition_values(result, partition)):
+                # Every row of this day moved elsewhere.
+                remove_folder(spark, partition_folder(path, partition, day))
+
+
+def _merged(target: DataFrame, updates: DataFrame, keys, order, null_safe: bool) -> DataFrame:
+    if order:
+        both = target.withColumn("_new", F.lit(0)).unionByName(
+            updates.withColumn("_new", F.lit(1)), allowMissingColumns=True
+        )
+        return latest_per_key(both, keys, [*order, "_new"], null_safe).drop("_new")
+    if null_safe:
+        kept = target.join(updates, _same_key(target, updates, keys), "left_anti")
+    else:
+        kept = rows_without_match(target, updates, keys)
+    return kept.unionByName(updates, allowMissingColumns=True)
+
+
+def _stored_schema(schema: T.StructType | None, incoming: T.StructType) -> T.StructType | None:
+    """Columns of a stored table: those declared and those that rows bring along."""
+    if schema is None:
+        return None
+    given = {f.name for f in incoming}
+    complex_types = (T.StructType, T.MapType, T.ArrayType)
+    declared = [
+        T.StructField(f.name, T.StringType() if isinstance(f.dataType, complex_types) else f.dataType)
+        for f in schema
+        if f.name not in given
+    ]
+    return T.StructType([*incoming.fields, *declared])
 
 
 def lookback_window(df: DataFrame, column: str, end: date, days: int = 30) -> DataFrame:
-    """Rows from ``days`` days before ``end`` up to ``end``; prunes a table partitioned by the column."""
-    return df.filter(F.col(column).between(F.date_sub(F.lit(end), days), F.lit(end)))
+    """Rows from ``days`` days before ``end`` to the end of day ``end``; prunes a table partitioned by the column."""
+    return df.filter(in_days(F.col(column), end - timedelta(days), end))
 
 
 def date_range_chunks(bounds: DataFrame, days: int = 7) -> DataFrame:
-    """Split each ``start_date``..``end_date`` into inclusive chunks of at most ``days`` days."""
+    """Split each ``start_date``..``end_date`` into inclusive chunks of at most ``days`` days, other columns kept."""
     starts = F.explode(F.sequence("start_date", "end_date", F.make_dt_interval(F.lit(days))))
-    return bounds.select(starts.alias("chunk_start"), "end_date").select(
-        "chunk_start", F.least(F.date_add("chunk_start", days - 1), F.col("end_date")).alias("chunk_end")
+    others = [c for c in bounds.columns if c not in ("start_date", "end_date")]
+    return bounds.select(*others, starts.alias("chunk_start"), "end_date").select(
+        *others, "chunk_start", F.least(F.date_add("chunk_start", days - 1), F.col("end_date")).alias("chunk_end")
     )
 
 
+def changed_between(rows: DataFrame, spec: SourceSpec, start: date, end: date) -> DataFrame:
+    """Rows of a source that last changed from day ``start`` to the end of day ``end``."""
+    kinds = {f.name: f.dataType for f in rows.schema}
+    moments = [
+        F.try_to_timestamp(F.col(c)) if isinstance(kinds[c], T.StringType) else F.col(c)
+        for c in spec.window_columns
+        if c in kinds
+    ]
+    return rows.filter(in_days(moments[0] if len(moments) == 1 else F.coalesce(*moments), start, end))
+
+
+def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[str] = ()) -> None:
+    """Merge flat rows of a source into its bronze table; loading the same rows again changes nothing.
+
+    Rows get their load time and source unless they have them, events their key, and tables without a day
+    their key bucket. Nulls in keys match, so no row is lost or doubled for a missing dimension.
+    """
+    if "_extracted_at" not in rows.columns:
+        rows = with_metadata(rows, spec.table)
+    if "insert_id" in spec.merge_keys:
+        rows = with_event_key(rows)
+    keys, partition = list(spec.merge_keys), spec.partition
+    if spec.buckets is not None:
+        rows = with_key_bucket(rows, keys, spec.buckets)
+        keys, partition = [*keys, "key_bucket"], "key_bucket"
+    merge(rows, path, keys, [*order, "_extracted_at"], partition, spec.schema, null_safe=True)
+
+
 def backfill(
-    rows: DataFrame, path: str, spec: SourceSpec, start: date, end: date, order: Sequence[str] = (), days: int = 7
+    rows: DataFrame, path: str, spec: SourceSpec, start: date, end: date, order: Sequence[str] = ()
 ) -> None:
-    """Merge a date range chunk by chunk; repeating it gives the same table."""
-    spark = rows.sparkSession
-    bounds = spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
-    for chunk in date_range_chunks(bounds, days).orderBy("chunk_start").collect():
-        part = rows.filter(F.col(spec.partition).between(F.lit(chunk.chunk_start), F.lit(chunk.chunk_end)))
-        merge(part, path, spec.merge_keys, order, spec.partition)
+    """Load the rows that changed in a range of days, in one merge; repeating it gives the same table."""
+    load_source(changed_between(rows, spec, start, end), path, spec, order)
 
 
 def expire(df: DataFrame, column: str, as_of: date, layer: str) -> DataFrame:
@@ -225,10 +337,29 @@ def expire(df: DataFrame, column: str, as_of: date, layer: str) -> DataFrame:
     return df if days is None else df.filter(F.col(column) >= F.date_sub(F.lit(as_of), days))
 
 
+def expire_partitions(spark: SparkSession, path: str, partition: str, as_of: date, layer: str) -> list[date]:
+    """Remove the stored days that the layer no longer keeps on ``as_of``; returns them."""
+    keep_days = RETENTION_DAYS[layer]
+    table = read_table(spark, path)
+    if keep_days is None or table is None:
+        return []
+    oldest = as_of - timedelta(keep_days)
+    gone = sorted(d for d in _partition_values(table.filter(F.col(partition) < F.lit(oldest)), partition) if d is not None)
+    for day in gone:
+        remove_folder(spark, partition_folder(path, partition, day))
+    return gone
+
+
 def refresh_partitions(mart: DataFrame, path: str, partition: str, days: Sequence[date], cluster_by=()) -> None:
-    """Rebuild only the given days of a stored mart."""
-    rows = mart.filter(F.col(partition).isin(list(days)))
-    overwrite_partitions(laid_out(rows, partition, cluster_by), path, partition)
+    """Rebuild only the given days of a stored mart; a day without rows any more goes."""
+    spark = mart.sparkSession
+    with staging(spark, "refresh") as stage:
+        rows = mart.filter(F.col(partition).isin(list(days)))
+        laid_out(rows, partition, cluster_by).write.partitionBy(partition).parquet(stage)
+        built = spark.read.schema(mart.schema).parquet(stage)
+        overwrite_partitions(built, path, partition)
+        for day in set(days) - set(_partition_values(built, partition)):
+            remove_folder(spark, partition_folder(path, partition, day))
 
 
 RUN_LOG = "source string, rows_extracted bigint, rows_loaded bigint, success boolean, error string"
@@ -242,7 +373,7 @@ def run_load(
 ) -> DataFrame:
     """Transform and load one source and return its run-log row; a failure is logged, not raised.
 
-    Row counts are observed while the transformed rows are staged, so they cost no extra pass.
+    Row counts are observed while ``load`` writes the rows, so they cost no extra pass; it must run the frame once.
     """
     spark = rows.sparkSession
     seen, kept = Observation(), Observation()
@@ -252,11 +383,8 @@ def run_load(
     try:
         incoming = rows.observe(seen, total)
         outgoing = (transform(incoming) if transform else incoming).observe(kept, total)
-        stage = work_dir(spark, "load")
-        outgoing.write.parquet(stage)
-        extracted = seen.get["rows"]
-        load(spark.read.parquet(stage))
-        loaded = kept.get["rows"]
+        load(outgoing)
+        extracted, loaded = seen.get["rows"], kept.get["rows"]
     except Exception as failure:
         error = str(failure)
     return spark.createDataFrame([(source, extracted, loaded, error is None, error)], RUN_LOG)

@@ -68,21 +68,21 @@ def _last_loads(tables: Mapping[str, DataFrame], limits: Mapping[str, tuple[int,
 def freshness_breaches(
     tables: Mapping[str, DataFrame], as_of: datetime, limits: Mapping[str, int] = FRESHNESS_HOURS
 ) -> DataFrame:
-    """Tables whose last load is more whole hours ago than allowed."""
+    """Tables whose last load is more whole hours ago than allowed, or that were never loaded (null hours)."""
     loads = _last_loads(tables, {t: (h,) for t, h in limits.items()}, ("max_hours",))
     return loads.withColumn("hours_since_load", hours_between(F.col("last_loaded"), F.lit(as_of))).filter(
-        F.col("hours_since_load") > F.col("max_hours")
+        (F.col("hours_since_load") > F.col("max_hours")) | F.col("last_loaded").isNull()
     )
 
 
 def source_freshness(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
-    """Pass, warn or error for every source table with declared limits."""
+    """Pass, warn or error for every source table with declared limits; one never loaded is an error."""
     limits = {
         spec.table: (spec.warn_hours, spec.error_hours) for spec in SOURCES.values() if spec.warn_hours is not None
     }
     age = (F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp("last_loaded")) / 3600
     status = (
-        F.when(age > F.col("error_hours"), "error").when(age > F.col("warn_hours"), "warn").otherwise("pass")
+        F.when(age.isNull() | (age > F.col("error_hours")), "error").when(age > F.col("warn_hours"), "warn").otherwise("pass")
     )
     loads = _last_loads(tables, limits, ("warn_hours", "error_hours"))
     return loads.withColumns(

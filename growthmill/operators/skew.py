@@ -1,4 +1,4 @@
-"""Joins that stay balanced when a few keys, or missing keys, hold much of the data."""
+"""Joins that stay balanced when some keys, or missing keys, hold much of the data."""
 
 from __future__ import annotations
 
@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are salted, so the list of them is always small enough to broadcast.
-HOT_KEYS = 256
 
+def heaviest_keys(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The non-null keys that hold more than one partition's share of the rows.
 
-def heaviest_keys(df: DataFrame, keys: Sequence[str], limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent non-null keys. Ties go by key, so every evaluation agrees."""
+    ``parts`` is the number of partitions, by default that of a shuffle. There are fewer such keys than partitions,
+    so the list is small enough to broadcast; evenly spread keys give an empty list.
+    """
     counts = df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.orderBy(F.desc("_rows"), *keys).limit(limit).select(*keys)
+    names = ", ".join(f"`{key}`" for key in keys)
+    return df.sparkSession.sql(
+        f"SELECT {names} FROM {{counts}} WHERE _rows * {parts or salt_count(df)} > (SELECT sum(_rows) FROM {{counts}})",
+        counts=counts,
+    )
 
 
 def salt_count(df: DataFrame) -> int:
@@ -30,7 +35,7 @@ def row_salt(df: DataFrame) -> Column:
 
 
 def flag_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``_hot``: true for the keys in ``hot``, a list of at most ``HOT_KEYS`` keys."""
+    """Add ``_hot``: true for the keys in ``hot``, a list shorter than the number of partitions."""
     flagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
     return flagged.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
@@ -46,7 +51,7 @@ def join_key_table(
 ) -> DataFrame:
     """Join many ``rows`` per key to a ``table`` with at most one row per key.
 
-    Rows of the ``hot`` keys (by default the heaviest ones) are spread over salts and the few
+    Rows of the ``hot`` keys (by default those above a partition's share) are spread over salts and the few
     table rows they match are repeated once per salt. Rows with a null key cannot match; they are
     spread too, since a left join would otherwise send them all to one task. Every other key
     joins as usual.

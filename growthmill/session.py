@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,6 +15,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join partition even when the stage above then needs a shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state off the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 # Settings a session can only start with. Call sites of column expressions are not recorded:
@@ -39,15 +42,24 @@ def build_session(app: str = "growthmill", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the shared ``spark.checkpoint.dir`` for staged tables.
+def has_shared_folder(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+
 
-    A local session may leave the setting unset; it then gets a temporary folder.
-    A cluster session may not, because executors cannot see the driver's disk.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, or else the checkpoint folder set on the context."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="growthmill-")
-    return f"{base.rstrip('/')}/growthmill/{label}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder for staged tables, under the shared folder."""
+    return f"{shared_folder(spark)}/growthmill/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that is no longer needed, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

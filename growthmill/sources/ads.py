@@ -62,16 +62,26 @@ def flatten_google_ads(df: DataFrame, start: date | None = None, end: date | Non
     )
 
 
-def _action_value(entries: str, action_type: str) -> Column:
-    """Value of the last entry of a type: 0.0 when it has no value, null when it is absent."""
-    match = F.try_element_at(
-        F.filter(entries, lambda e: F.translate(e["action_type"], ".", "_") == action_type), F.lit(-1)
+def action_map(entries: str) -> Column:
+    """Value by action type, dots in types as underscores: the last entry of a type counts, 0.0 when it has no number."""
+    named = F.transform(
+        F.filter(entries, lambda e: e["action_type"].isNotNull()),
+        lambda e: F.struct(
+            F.translate(e["action_type"], ".", "_").alias("key"),
+            F.coalesce(e["value"].try_cast("double"), F.lit(0.0)).alias("value"),
+        ),
     )
-    return F.when(match.isNotNull(), F.coalesce(match["value"].cast("double"), F.lit(0.0)))
+    latest_first = F.reverse(named)
+    types = F.transform(latest_first, lambda e: e["key"])
+    return F.map_from_entries(F.filter(latest_first, lambda e, i: F.array_position(types, e["key"]) == i + 1))
 
 
 def flatten_meta(df: DataFrame, action_types: Sequence[str] = META_ACTION_TYPES) -> DataFrame:
-    """Insight rows with one ``action_<type>`` and ``cpa_<type>`` column per action type."""
+    """Insight rows with all actions and costs as maps, and a column per action type of the fixed list.
+
+    A column is null when its action is absent.
+    """
+    df = df.withColumns({name: action_map(name) for name in ("actions", "cost_per_action_type")})
     plain = [
         "campaign_id",
         "campaign_name",
@@ -87,8 +97,10 @@ def flatten_meta(df: DataFrame, action_types: Sequence[str] = META_ACTION_TYPES)
         F.to_date("date_start").alias("date_start"),
         *[F.col(name).try_cast("double").cast("bigint").alias(name) for name in ("impressions", "clicks", "reach")],
         *[F.col(name).try_cast("double").alias(name) for name in ("spend", "frequency")],
-        *[_action_value("actions", kind).alias(f"action_{kind}") for kind in action_types],
-        *[_action_value("cost_per_action_type", kind).alias(f"cpa_{kind}") for kind in action_types],
+        *[F.try_element_at("actions", F.lit(kind)).alias(f"action_{kind}") for kind in action_types],
+        *[F.try_element_at("cost_per_action_type", F.lit(kind)).alias(f"cpa_{kind}") for kind in action_types],
+        "actions",
+        F.col("cost_per_action_type").alias("cost_per_action"),
     )
 
 
@@ -98,7 +110,7 @@ def meta_action_rows(df: DataFrame) -> DataFrame:
         "ad_id",
         "date_start",
         F.translate("action.action_type", ".", "_").alias("action_type"),
-        F.coalesce(F.col("action.value").cast("double"), F.lit(0.0)).alias("value"),
+        F.coalesce(F.col("action.value").try_cast("double"), F.lit(0.0)).alias("value"),
     )
 
 
@@ -116,7 +128,7 @@ def flatten_linkedin(df: DataFrame) -> DataFrame:
         F.col("e.pivotValue").alias("pivot_value"),
         count("impressions", "impressions"),
         count("clicks", "clicks"),
-        F.coalesce(F.col("e.costInLocalCurrency.amount").cast("double"), F.lit(0.0)).alias("cost"),
+        F.coalesce(F.col("e.costInLocalCurrency.amount").try_cast("double"), F.lit(0.0)).alias("cost"),
         count("oneClickLeads", "one_click_leads"),
         count("conversions", "conversions"),
         count("videoViews", "video_views"),

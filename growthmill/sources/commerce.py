@@ -28,7 +28,7 @@ def flatten_shopify_orders(df: DataFrame) -> DataFrame:
     codes = F.transform("discount_codes", lambda c: F.coalesce(c["code"], F.lit("")))
     return df.select(
         F.col("id").alias("order_id"),
-        F.to_timestamp("created_at").alias("created_at"),
+        F.try_to_timestamp(F.col("created_at")).alias("created_at"),
         "updated_at",
         "email",
         "financial_status",
@@ -46,7 +46,7 @@ def flatten_shopify_orders(df: DataFrame) -> DataFrame:
 
 
 def flatten_shopify_customers(df: DataFrame) -> DataFrame:
-    return df.withColumn("created_at", F.to_timestamp("created_at"))
+    return df.withColumn("created_at", F.try_to_timestamp(F.col("created_at")))
 
 
 def stack_shopify(orders: DataFrame, customers: DataFrame) -> DataFrame:

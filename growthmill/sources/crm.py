@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthmill.functions.dates import in_days
+
 HUBSPOT_PAYLOAD = "id string, properties map<string, string>"
 
 # --- Fixed values: properties read per object type ----------------------------
@@ -41,6 +43,7 @@ DEAL_PROPERTIES = (
     "hs_is_closed_won",
     "hs_is_closed",
     "num_associated_contacts",
+    "hs_lastmodifieddate",
 )
 COMPANY_PROPERTIES = (
     "name",
@@ -51,7 +54,10 @@ COMPANY_PROPERTIES = (
     "lifecyclestage",
     "createdate",
     "hs_lastcontacted",
+    "hs_lastmodifieddate",
 )
+# When an object last changed: contacts have the first property, deals and companies the second.
+CHANGE_PROPERTIES = ("lastmodifieddate", "hs_lastmodifieddate")
 SALESFORCE_DATETIMES = ("CreatedDate", "LastModifiedDate", "CloseDate", "ConvertedDate")
 # ------------------------------------------------------------------------------
 
@@ -68,11 +74,8 @@ def stack(frames: dict[str, DataFrame]) -> DataFrame:
 def _hubspot_objects(df: DataFrame, properties: tuple[str, ...], start: date, end: date) -> DataFrame:
     prop = F.col("properties")
     created = F.try_to_timestamp(prop["createdate"])
-    changed = F.coalesce(F.try_to_timestamp(prop["lastmodifieddate"]), created)
-    in_window = (changed >= F.lit(start).cast("timestamp")) & (
-        changed < F.date_add(F.lit(end), 1).cast("timestamp")
-    )
-    return df.filter(in_window).select(
+    changed = F.coalesce(*[F.try_to_timestamp(prop[name]) for name in CHANGE_PROPERTIES], created)
+    return df.filter(in_days(changed, start, end)).select(
         "id",
         *[(created if name == "createdate" else prop[name]).alias(name) for name in properties],
     )
@@ -94,11 +97,10 @@ def _salesforce_objects(df: DataFrame, start: date, end: date) -> DataFrame:
         name: F.try_to_timestamp(F.col(name).cast("string")) for name in SALESFORCE_DATETIMES if name in df.columns
     }
     changed = F.col("LastModifiedDate")
-    last_second = F.date_add(F.lit(end), 1).cast("timestamp") - F.expr("interval 1 second")
     return (
         df.drop("attributes")
         .withColumns(parsed)
-        .filter(changed.between(F.lit(start).cast("timestamp"), last_second))
+        .filter(in_days(changed, start, end))
     )
 
 

@@ -102,6 +102,15 @@ def read_events(
     return flatten_events(lines, day)
 
 
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Malformed lines per export day, for the run log; ``read_events`` leaves them out. Blank lines are no lines."""
+    lines = spark.read.schema("value string, event_date date").text(path).filter(F.trim("value") != "")
+    # A line is an event if it is one JSON object.
+    parsed = F.try_parse_json("value")
+    broken = parsed.isNull() | ~F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
+    return lines.filter(broken).groupBy("event_date").agg(F.count(F.lit(1)).alias("rejected_lines"))
+
+
 def with_event_key(df: DataFrame) -> DataFrame:
     """Give events without an insert id a key made from user, name and time."""
     key = surrogate_key(F.col("distinct_id"), F.col("event"), F.col("time"))

@@ -15,7 +15,12 @@ LOAD_COLUMNS = "_extracted_at timestamp, _source string"
 
 @dataclass(frozen=True)
 class SourceSpec:
-    """One bronze table. ``fields`` are the payload paths the source is asked for."""
+    """One bronze table. ``fields`` are the payload paths the source is asked for.
+
+    ``window`` names the columns, the first known one counts, that say when a row last changed; by default the
+    partition. ``buckets`` is the number of key buckets of a table whose keys hold no day: part of its layout,
+    so it never changes for a stored table; size it for files of some hundred MB.
+    """
 
     table: str
     ddl: str
@@ -25,6 +30,12 @@ class SourceSpec:
     warn_hours: int | None = None
     error_hours: int | None = None
     fields: tuple[str, ...] = ()
+    window: tuple[str, ...] = ()
+    buckets: int | None = None
+
+    @property
+    def window_columns(self) -> tuple[str, ...]:
+        return self.window or (self.partition,)
 
     @property
     def schema(self) -> T.StructType:
@@ -76,7 +87,7 @@ META_ADS = SourceSpec(
     ddl=f"""campaign_id string not null, campaign_name string, adset_id string, adset_name string,
         ad_id string not null, ad_name string, date_start date not null, impressions bigint, clicks bigint,
         spend double, reach bigint, frequency double, objective string, buying_type string,
-        {_meta_action_columns()}""",
+        {_meta_action_columns()}, actions map<string, double>, cost_per_action map<string, double>""",
     merge_keys=("ad_id", "date_start"),
     partition="date_start",
     lookback_days=2,
@@ -129,7 +140,17 @@ GA4 = SourceSpec(
         sessions bigint, activeUsers bigint, newUsers bigint, screenPageViews bigint, conversions bigint,
         engagedSessions bigint, bounceRate double, averageSessionDuration double, totalRevenue double,
         engagementRate double""",
-    merge_keys=("date", "sessionSource", "sessionMedium", "sessionCampaignName", "deviceCategory"),
+    # A report row differs from another by any of its dimensions.
+    merge_keys=(
+        "date",
+        "sessionSource",
+        "sessionMedium",
+        "sessionCampaignName",
+        "deviceCategory",
+        "country",
+        "landingPage",
+        "sessionDefaultChannelGroup",
+    ),
     partition="date",
     lookback_days=3,
     warn_hours=6,
@@ -157,7 +178,7 @@ HUBSPOT = SourceSpec(
     table="hubspot_objects",
     ddl="""id string, object_type string, email string, firstname string, lastname string, phone string,
         company string, lifecyclestage string, hs_lead_status string, createdate timestamp,
-        lastmodifieddate string, hubspot_owner_id string, hs_analytics_source string,
+        lastmodifieddate string, hs_lastmodifieddate string, hubspot_owner_id string, hs_analytics_source string,
         hs_analytics_source_data_1 string, hs_analytics_first_referrer string, hs_analytics_first_url string,
         num_conversion_events string, recent_conversion_event_name string, hs_email_optout string,
         dealname string, amount string, dealstage string, closedate string, pipeline string,
@@ -167,6 +188,8 @@ HUBSPOT = SourceSpec(
     merge_keys=("id", "object_type"),
     partition=None,
     lookback_days=7,
+    window=("lastmodifieddate", "hs_lastmodifieddate", "createdate"),
+    buckets=256,
     warn_hours=12,
     error_hours=48,
 )
@@ -183,6 +206,8 @@ SALESFORCE = SourceSpec(
     merge_keys=("Id", "object_type"),
     partition=None,
     lookback_days=7,
+    window=("LastModifiedDate", "CreatedDate"),
+    buckets=256,
 )
 
 SHOPIFY = SourceSpec(

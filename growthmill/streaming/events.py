@@ -26,14 +26,30 @@ def read_event_stream(
     return reader.parquet(path)
 
 
+def merge_events(stream: DataFrame, path: str, checkpoint: str, partition_field: str = "event_date") -> None:
+    """Keep one copy of each event in a table, however late it comes: batches merge on the event key.
+
+    Of copies that differ the one with the latest time stays.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        merge(batch, path, ["insert_id", partition_field], ["time"], partition_field)
+
+    _run_batches(with_event_key(stream), checkpoint, load, "append")
+
+
 def deduplicate(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """First copy of each event id; state is dropped once the watermark has passed it."""
+    """First copy of each event id for a stream without a table; state goes once the watermark has passed it.
+
+    Rows later than ``lateness`` are dropped by the watermark; the progress of the query counts them as
+    ``numRowsDroppedByWatermark``, which ``append_to`` returns. Bronze uses ``merge_events``, which drops none.
+    """
     keyed = with_event_key(events.withColumn("time", F.col("time").cast("timestamp")))
     return keyed.withWatermark("time", lateness).dropDuplicatesWithinWatermark(["insert_id"])
 
 
 def daily_counts(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Events per day, name and channel in tumbling one-day windows."""
+    """Events per day, name and channel in tumbling one-day windows; later rows are dropped and counted."""
     return (
         events.withWatermark("event_timestamp", lateness)
         .groupBy(F.window("event_timestamp", "1 day"), "event_name", "channel_normalized")
@@ -48,8 +64,15 @@ def daily_counts(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
-def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Run the stream over everything available and append its output to a parquet table."""
+def late_rows(query) -> int:
+    """Rows that the watermark of a finished query dropped."""
+    return sum(
+        operator.numRowsDroppedByWatermark for progress in query.recentProgress for operator in progress.stateOperators
+    )
+
+
+def append_to(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Run the stream over everything available, append its output to a parquet table, return the rows dropped as too late."""
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
@@ -59,6 +82,7 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start()
     )
     query.awaitTermination()
+    return late_rows(query)
 
 
 def upsert_into(
@@ -69,14 +93,16 @@ def upsert_into(
     order: Sequence[str] = (),
     partition_field: str | None = None,
     output_mode: str = "append",
+    schema=None,
 ) -> None:
     """Run the stream over everything available and merge each micro-batch into a table.
 
-    A batch that is run again after a failure merges to the same rows.
+    A batch that is run again after a failure merges to the same rows. With an ``order`` the result is the same
+    however the rows fall into batches.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        merge(batch, path, keys, order, partition_field)
+        merge(batch, path, keys, order, partition_field, schema)
 
     _run_batches(stream, checkpoint, load, output_mode)
 

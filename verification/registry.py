@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
@@ -21,7 +22,7 @@ from growthmill.functions import (
 )
 from growthmill.operators import campaign, funnel, loading, monitors, quality, schema_tests, staging, touches
 from growthmill.plans import growth, kpi, marketing, questions, revenue
-from growthmill.session import configure, work_dir
+from growthmill.session import configure, has_shared_folder, work_dir
 from growthmill.sources import ads, commerce, crm, product_events, specs, web
 from growthmill.streaming import events as streams
 from verification import landing
@@ -55,6 +56,9 @@ class Models:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        if spark.sparkContext.master.startswith("local") and not has_shared_folder(spark):
+            # A trial run on one machine; a cluster sets spark.checkpoint.dir.
+            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="growthmill-"))
         self._tables: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -293,6 +297,20 @@ def _(m):
     )
 
 
+@register(
+    "src_meta_actions_map",
+    """SELECT l_orderkey || '-' || l_linenumber AS ad_id, a.action_type, CASE a.action_type WHEN 'link_click' THEN CAST(l_partkey % 6 AS DOUBLE)
+       WHEN 'purchase' THEN CASE WHEN l_orderkey % 3 = 0 THEN l_linenumber ELSE 1 END ELSE 0 END AS value
+       FROM lineitem CROSS JOIN (VALUES ('link_click'), ('purchase'), ('add_to_cart')) a(action_type)
+       WHERE l_linestatus = 'F' AND (a.action_type <> 'add_to_cart' OR l_orderkey % 5 = 0)""",
+    "value",
+)
+def _(m):
+    """All actions, whatever their type, from the map column."""
+    flat = ads.flatten_meta(landing.meta_ads(m.spark, m.sf_dir))
+    return flat.select("ad_id", F.explode("actions").alias("action_type", "value"))
+
+
 @register(
     "src_linkedin",
     """SELECT DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS date_start, 'CAMPAIGN' AS pivot,
@@ -426,6 +444,14 @@ def _(m):
     return product_events.read_events(m.spark, path, events=["purchase", "signup"]).select(*EVENT_COLUMNS)
 
 
+@register(
+    "src_rejected_lines",
+    """SELECT CAST(ts AS DATE) AS event_date, count(*) AS rejected_lines FROM events WHERE event_id % 50 IN (0, 1) GROUP BY 1""",
+)
+def _(m):
+    return product_events.rejected_lines(m.spark, landing.event_lines(m.spark, m.sf_dir))
+
+
 @register(
     "src_custom_properties",
     """SELECT CAST(user_id AS VARCHAR) AS distinct_id, event_type AS event,
@@ -915,8 +941,8 @@ def _(m):
 
 MERGE_SQL = """
 SELECT event_id AS insert_id, CAST(ts AS DATE) AS event_date, event_type AS event,
-       CASE WHEN event_id % 2 = 0 THEN 'second' ELSE 'landed' END AS state
-FROM events WHERE event_id % 2 = 0 OR event_id % 3 <> 0"""
+       CASE WHEN event_id % 2 = 0 OR event_id % 3 = 0 THEN 'second' ELSE 'landed' END AS state
+FROM events"""
 
 
 def _merge_frames(m: Models) -> tuple[DataFrame, DataFrame]:
@@ -925,7 +951,7 @@ def _merge_frames(m: Models) -> tuple[DataFrame, DataFrame]:
         "event_id AS insert_id", "CAST(ts AS DATE) AS event_date", "event_type AS event"
     )
     first = rows.filter("insert_id % 3 <> 0").withColumn("state", F.lit("landed"))
-    update = rows.filter("insert_id % 2 = 0").withColumn("state", F.explode(F.array(F.lit("first"), F.lit("second"))))
+    update = rows.filter("insert_id % 2 = 0 OR insert_id % 3 = 0").withColumn("state", F.explode(F.array(F.lit("first"), F.lit("second"))))
     return first, update
 
 
@@ -999,11 +1025,143 @@ def _(m):
             F.min(F.to_date("o_orderdate")).alias("start_date"), F.max(F.to_date("o_orderdate")).alias("end_date")
         )
     )
-    chunks = [
-        loading.date_range_chunks(bounds.filter(F.col("o_orderstatus") == s), 30).withColumn("o_orderstatus", F.lit(s))
-        for s in ("F", "O", "P")
-    ]
-    return chunks[0].unionByName(chunks[1]).unionByName(chunks[2])
+    return loading.date_range_chunks(bounds, 30)
+
+
+@register(
+    "lookback_window_timestamp",
+    """SELECT o_orderkey, o_orderdate + INTERVAL 1 HOUR * (o_orderkey % 24) AS placed_at FROM orders
+       WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1997-03-02' AND DATE '1997-04-01'""",
+)
+def _(m):
+    rows = m.table("orders").selectExpr(
+        "o_orderkey", "o_orderdate + make_dt_interval(0, CAST(o_orderkey % 24 AS INT)) AS placed_at"
+    )
+    return loading.lookback_window(rows, "placed_at", date(1997, 4, 1))
+
+
+# --- One load per source, each run twice ---------------------------------------------------
+
+
+def _loaded_twice(m: Models, flat: DataFrame, spec: specs.SourceSpec, order: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    path = m.work(f"load-{spec.table}")
+    for _ in range(2):
+        loading.load_source(flat, path, spec, order)
+    return m.spark.read.parquet(path)
+
+
+@register(
+    "load_shopify",
+    """SELECT 'order' AS object_type, CAST(o_orderdate AS DATE) AS day, count(*) AS records,
+       sum(CASE WHEN o_orderkey % 19 IN (0, 1) THEN 0 ELSE floor(o_totalprice) + 0.25 END) AS total_price FROM orders GROUP BY 2
+       UNION ALL SELECT 'customer', DATE '2023-03-04', count(*), NULL FROM customer""",
+    money="total_price",
+)
+def _(m):
+    orders = commerce.flatten_shopify_orders(landing.shopify_orders(m.spark, m.sf_dir))
+    customers = commerce.flatten_shopify_customers(landing.shopify_customers(m.spark, m.sf_dir))
+    stored = _loaded_twice(m, commerce.stack_shopify(orders, customers), specs.SHOPIFY)
+    return stored.groupBy("object_type", F.to_date("created_at").alias("day")).agg(
+        F.count(F.lit(1)).alias("records"), F.sum("total_price").alias("total_price")
+    )
+
+
+@register(
+    "load_ga4",
+    """SELECT date, count(*) AS report_rows, CAST(sum(sessions) AS BIGINT) AS sessions FROM (
+       SELECT date, max(sessions) AS sessions FROM raw_ga4 GROUP BY date, sessionSource, sessionMedium, sessionCampaignName,
+       deviceCategory, country, landingPage, sessionDefaultChannelGroup) r GROUP BY 1""",
+)
+def _(m):
+    # The fixture can hold a dimension tuple twice; the larger report counts.
+    stored = _loaded_twice(m, web.flatten_ga4(landing.ga4_reports(m.spark, m.sf_dir)), specs.GA4, ["sessions"])
+    return stored.groupBy("date").agg(
+        F.count(F.lit(1)).alias("report_rows"), F.sum("sessions").alias("sessions")
+    )
+
+
+@register(
+    "load_hubspot",
+    """SELECT 'contacts' AS object_type, c_custkey % 40 AS changed_day, count(*) AS objects
+       FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 40 BETWEEN 4 AND 24 GROUP BY 2
+       UNION ALL SELECT 'deals', o_orderkey % 40, count(*) FROM orders WHERE o_orderkey % 40 BETWEEN 4 AND 24 GROUP BY 2
+       UNION ALL SELECT 'companies', s_suppkey % 40, count(*) FROM supplier WHERE s_suppkey % 40 BETWEEN 4 AND 24 GROUP BY 2""",
+)
+def _(m):
+    flat = crm.flatten_hubspot(**landing.hubspot(m.spark, m.sf_dir), start=date(2024, 1, 5), end=date(2024, 1, 25))
+    path = m.work("load-hubspot")
+    loading.load_source(flat, path, specs.HUBSPOT)
+    loading.backfill(flat, path, specs.HUBSPOT, date(2024, 1, 10), date(2024, 1, 20))
+    changed = F.coalesce(F.try_to_timestamp(F.col("lastmodifieddate")), F.try_to_timestamp(F.col("hs_lastmodifieddate")), "createdate")
+    day = F.date_diff(changed, F.lit(date(2024, 1, 1))).cast("bigint")
+    return m.spark.read.parquet(path).groupBy("object_type", day.alias("changed_day")).agg(F.count(F.lit(1)).alias("objects"))
+
+
+@register(
+    "load_salesforce",
+    """SELECT 'lead' AS object_type, count(*) AS objects, CAST(NULL AS DOUBLE) AS amount FROM customer WHERE c_custkey % 40 BETWEEN 4 AND 24
+       UNION ALL SELECT 'opportunity', count(*), sum(trunc(o_totalprice)) FROM orders WHERE o_orderkey % 40 BETWEEN 4 AND 24""",
+    money="amount",
+)
+def _(m):
+    flat = crm.flatten_salesforce(**landing.salesforce(m.spark, m.sf_dir), start=date(2024, 1, 5), end=date(2024, 1, 25))
+    path = m.work("load-salesforce")
+    loading.load_source(flat, path, specs.SALESFORCE)
+    loading.backfill(flat, path, specs.SALESFORCE, date(2024, 1, 5), date(2024, 1, 25))
+    return m.spark.read.parquet(path).groupBy("object_type").agg(
+        F.count(F.lit(1)).alias("objects"), F.sum("Amount").alias("amount")
+    )
+
+
+@register(
+    "load_mixpanel_events",
+    f"""SELECT event_date, count(*) AS events FROM (
+       SELECT DISTINCT event_date, coalesce(insert_id, distinct_id || '-' || event || '-' || time) AS event_key FROM ({EVENT_SQL}) e) k GROUP BY 1""",
+)
+def _(m):
+    flat = product_events.read_events(m.spark, landing.event_lines(m.spark, m.sf_dir))
+    stored = _loaded_twice(m, flat, specs.MIXPANEL_EVENTS)
+    return stored.groupBy("event_date").agg(F.count(F.lit(1)).alias("events"))
+
+
+@register(
+    "load_meta_ads",
+    """SELECT date_start, count(*) AS ads, CAST(sum(clicks) AS BIGINT) AS clicks FROM (
+       SELECT DATE '2024-01-01' + CAST((l_orderkey + l_partkey) % 30 AS INTEGER) AS date_start, max(CAST(l_quantity AS BIGINT) % 5) AS clicks
+       FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1, l_orderkey, l_linenumber) a GROUP BY 1""",
+)
+def _(m):
+    # The fixture can hold an ad and day twice; the one with more clicks counts.
+    stored = _loaded_twice(m, ads.flatten_meta(landing.meta_ads(m.spark, m.sf_dir)), specs.META_ADS, ["clicks"])
+    return stored.groupBy("date_start").agg(F.count(F.lit(1)).alias("ads"), F.sum("clicks").alias("clicks"))
+
+
+@register(
+    "expire_partitions",
+    "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_day FROM orders WHERE o_orderdate >= DATE '1998-08-01' - 180",
+)
+def _(m):
+    """Days of a stored table beyond the retention of their layer are removed."""
+    path = m.work("expire")
+    rows = m.table("orders").select("o_orderkey", F.to_date("o_orderdate").alias("order_day"))
+    loading.write_table(rows, path, "overwrite", "order_day")
+    loading.expire_partitions(m.spark, path, "order_day", date(1998, 8, 1), "staging")
+    return m.spark.read.schema("o_orderkey bigint, order_day date").parquet(path)
+
+
+@register(
+    "mart_partitioned",
+    "SELECT date, channel_source, count(*) AS campaigns, sum(total_spend) AS total_spend FROM fct_ad_spend_roi GROUP BY 1, 2",
+    money="total_spend",
+)
+def _(m):
+    """A mart stored by day and sorted by channel and campaign."""
+    path = m.work("mart-partitioned")
+    name = f"mart_{path.rsplit('-', 1)[-1]}"
+    stored = loading.materialize(m.roi, name, "table", path, "date", ["channel_source", "campaign_id"])
+    return stored.groupBy("date", "channel_source").agg(
+        F.count(F.lit(1)).alias("campaigns"), F.sum("total_spend").alias("total_spend")
+    )
 
 
 @register(
@@ -1136,6 +1294,16 @@ def _(m):
     return monitors.source_freshness(m.bronze, NOW)
 
 
+@register(
+    "mon_freshness_empty",
+    f"""SELECT table_name, CAST(NULL AS TIMESTAMP) AS last_loaded, warn_hours, error_hours, CAST(NULL AS BIGINT) AS hours_since_load,
+       'error' AS status FROM ({LOADS_SQL}) l""",
+)
+def _(m):
+    """Tables that were never loaded."""
+    return monitors.source_freshness({name: frame.filter("false") for name, frame in m.bronze.items()}, NOW)
+
+
 @register(
     "mon_row_counts",
     """SELECT table_name, row_count, minimum_rows FROM (
@@ -1436,6 +1604,14 @@ def _event_stream(m: Models) -> DataFrame:
     return streams.read_event_stream(m.spark, m.sf_dir, schema, glob="events.parquet")
 
 
+def _event_files(m: Models, *expressions: str) -> DataFrame:
+    """The events as files in shuffled order, one of which makes a batch."""
+    path = m.work("event-files")
+    rows = m.table("events").selectExpr(*expressions)
+    rows.orderBy(F.xxhash64(*rows.columns)).repartition(4).write.parquet(path)
+    return streams.read_event_stream(m.spark, path, rows.schema, files_per_batch=1)
+
+
 @register(
     "stream_event_dedupe",
     """SELECT CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS VARCHAR)
@@ -1443,17 +1619,19 @@ def _event_stream(m: Models) -> DataFrame:
        event_type AS event, CAST(user_id AS VARCHAR) AS distinct_id, ts AS time FROM events""",
 )
 def _(m):
-    """Every event arrives once or twice."""
-    arriving = _event_stream(m).selectExpr(
+    """Every event arrives once or twice, in any order and in several batches."""
+    arriving = _event_files(
+        m,
         "CASE WHEN event_id % 10 <> 0 THEN CAST(event_id AS STRING) END AS insert_id",
         "event_type AS event",
         "CAST(user_id AS STRING) AS distinct_id",
         "ts AS time",
+        "CAST(ts AS DATE) AS event_date",
         "explode(CASE WHEN event_id % 4 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
     )
     path = m.work("stream-dedupe")
-    streams.append_to(streams.deduplicate(arriving.drop("copy")), f"{path}/table", f"{path}/checkpoint")
-    return m.spark.read.parquet(f"{path}/table")
+    streams.merge_events(arriving.drop("copy"), f"{path}/table", f"{path}/checkpoint")
+    return m.spark.read.parquet(f"{path}/table").drop("event_date")
 
 
 @register(
@@ -1491,8 +1669,9 @@ def _(m):
        CASE WHEN event_id % 4 = 0 THEN 2 ELSE 1 END AS version FROM events""",
 )
 def _(m):
-    """A bronze table kept up to date by micro-batches; every fourth event arrives in two versions."""
-    arriving = _event_stream(m).selectExpr(
+    """A bronze table kept up to date by micro-batches; every fourth event arrives in two versions, in any order."""
+    arriving = _event_files(
+        m,
         "event_id AS insert_id",
         "CAST(ts AS DATE) AS event_date",
         "event_type AS event",
