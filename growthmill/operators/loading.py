@@ -387,4 +387,5 @@ def run_load(
         extracted, loaded = seen.get["rows"], kept.get["rows"]
     except Exception as failure:
         error = str(failure)
+        extracted = rows.count()
     return spark.createDataFrame([(source, extracted, loaded, error is None, error)], RUN_LOG)

@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -127,10 +128,70 @@ def test_backfill_twice_gives_one_table(spark, tmp_path):
     spec = specs.SourceSpec("t", ROW, ("id", "day"), "day", 2)
     rows = frame(spark, *[(i, i, "x", 1) for i in range(1, 10)], (3, 3, "y", 2))
     for _ in range(2):
-        loading.backfill(rows, path, spec, DAYS[2], DAYS[8], ["n"], days=3)
+        loading.backfill(rows, path, spec, DAYS[2], DAYS[8], ["n"])
     assert table(spark, path) == [(i, i, "y" if i == 3 else "x") for i in range(2, 9)]
 
 
+def test_late_older_version_does_not_win(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("newest_first", "oldest_first", "together")]
+    versions = [frame(spark, (3, 3, "new", 2)), frame(spark, (3, 3, "old", 1))]
+    for batch in versions:
+        loading.merge(batch, paths[0], ["id", "day"], ["n"], "day")
+    for batch in reversed(versions):
+        loading.merge(batch, paths[1], ["id", "day"], ["n"], "day")
+    loading.merge(versions[1].unionByName(versions[0]), paths[2], ["id", "day"], ["n"], "day")
+    assert [table(spark, p) for p in paths] == [[(3, 3, "new")]] * 3
+
+
+def test_nulls_in_keys_match_when_asked(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(None, "a", 1), ("x", None, 2), (None, None, 3)], "k string, l string, n int")
+    for _ in range(2):
+        loading.merge(rows, path, ["k", "l"], null_safe=True)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_timestamp_window_holds_the_whole_last_day(spark):
+    rows = spark.sql("SELECT timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 6 * id) AS at FROM range(20)")
+    kept = loading.lookback_window(rows, "at", DAYS[3], 2)
+    assert kept.count() == 12 and kept.selectExpr("max(at)").first()[0].hour == 18
+
+
+def test_refresh_empties_days_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = frame(spark, *[(i, i, "x", 1) for i in range(1, 6)])
+    loading.write_table(rows, path, "overwrite", "day")
+    loading.refresh_partitions(rows.filter("id <> 3"), path, "day", [DAYS[2], DAYS[3]])
+    assert [r[0] for r in table(spark, path)] == [1, 2, 4, 5]
+
+
+def test_expired_days_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loading.write_table(frame(spark, *[(i, i, "x", 1) for i in range(1, 6)]), path, "overwrite", "day")
+    gone = loading.expire_partitions(spark, path, "day", DAYS[3] + timedelta(days=180), "staging")
+    assert gone == [DAYS[1], DAYS[2]] and [r[0] for r in table(spark, path)] == [3, 4, 5]
+
+
+def test_stage_is_removed_after_success_and_named_in_a_failure(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(loading, "work_dir", lambda _, label: made.append(str(tmp_path / f"stage{len(made)}")) or made[-1])
+    loading.merge(frame(spark, (1, 1, "a", 1)), str(tmp_path / "t"), ["id"])
+    assert made and not any(os.path.exists(m) for m in made)
+    monkeypatch.setattr(loading, "_merged", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError) as failure:
+        loading.merge(frame(spark, (1, 1, "b", 1)), str(tmp_path / "t"), ["id"])
+    assert made[-1] in failure.value.__notes__[0] and os.path.exists(made[-1])
+
+
+def test_three_hundred_hot_keys_are_all_split(spark):
+    keys = spark.range(300 * 40).selectExpr("id % 300 AS k").unionAll(spark.range(300, 600).selectExpr("id AS k"))
+    assert skew.heaviest_keys(keys, ["k"], 400).count() == 300
+
+
+def test_even_keys_are_not_split(spark):
+    assert skew.heaviest_keys(spark.range(1000).selectExpr("id % 100 AS k"), ["k"], 8).count() == 0
+
+
 def test_view_and_table(spark):
     loading.ensure_database(spark, "silver")
     df = spark.range(3)

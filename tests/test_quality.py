@@ -67,7 +67,7 @@ def test_freshness_levels(spark):
         for name, h in loads.items()
     }
     status = {r.table_name: r.status for r in monitors.source_freshness(frames, now).collect()}
-    assert status == {"google_ads_campaigns": "warn", "meta_ads_insights": "warn", "ga4_sessions": "error", "shopify_raw": "pass"}
+    assert status == {"google_ads_campaigns": "warn", "meta_ads_insights": "warn", "ga4_sessions": "error", "shopify_raw": "error"}
     late = {r.table_name: r.hours_since_load for r in monitors.freshness_breaches(frames, now).collect()}
     assert late == {"meta_ads_insights": 7, "ga4_sessions": 25}
 

@@ -37,3 +37,27 @@ def test_daily_counts_grow_with_late_events(spark, tmp_path):
     run()
     got = sorted((r.event_date.day, r.event_name, r.event_count) for r in spark.read.parquet(sink).collect())
     assert got == [(1, "a", 2), (1, "b", 1), (2, "a", 1)]
+
+
+def test_late_events_are_merged_and_batches_do_not_matter(spark, tmp_path):
+    rows = [("a", "u", str(i % 7), START + timedelta(days=10 * (i % 3))) for i in range(20)] + [("b", "u", None, START)] * 2
+    stored = []
+    for files in (1, 100):
+        source, sink, state = (str(tmp_path / f"{n}{files}") for n in ("in", "out", "state"))
+        for row in reversed(rows):
+            arrive(spark, source, [row])
+        stream = streams.read_event_stream(spark, source, SCHEMA, files_per_batch=files if files > 1 else 6)
+        streams.merge_events(stream.selectExpr("*", "CAST(time AS DATE) AS event_date"), sink, state)
+        stored.append(sorted(map(tuple, spark.read.parquet(sink).select("event", "insert_id", "time").collect())))
+    assert stored[0] == stored[1]
+    assert len(stored[0]) == len({(i % 7, i % 3) for i in range(20)}) + 1
+
+
+def test_dropped_late_rows_are_counted(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    dropped = []
+    for day, name in ((0, "1"), (30, "2"), (31, "3"), (1, "4")):
+        arrive(spark, source, [("a", "u", name, START + timedelta(days=day))])
+        stream = streams.read_event_stream(spark, source, SCHEMA)
+        dropped.append(streams.append_to(streams.deduplicate(stream), sink, state))
+    assert sum(dropped) == 1
