@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from growthmill.session import has_shared_folder, shared_folder
+
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 # Characters of text a task handles at a time, so that its memory does not depend on the batch.
@@ -26,13 +28,9 @@ def shared_dir(spark: SparkSession, label: str) -> str:
 
     A local session that has not set it gets a folder of its own; a cluster must set it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="growthmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/llm/{label}-{uuid.uuid4().hex}"
+    if not has_shared_folder(spark) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="growthmill-"))
+    return f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
