@@ -80,3 +80,10 @@ def campaign_transform(df: DataFrame) -> DataFrame:
 
 def full_row_dedupe(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
+
+
+def dedupe_report(df: DataFrame) -> DataFrame:
+    """Rows before and after ``full_row_dedupe`` and how many were dropped, as one row; copies are counted map-side first."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    rows, kept = F.coalesce(F.sum("_copies"), F.lit(0)), F.count(F.lit(1))
+    return counted.agg(rows.alias("rows_in"), kept.alias("rows_kept"), (rows - kept).alias("rows_dropped"))

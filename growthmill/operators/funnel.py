@@ -19,6 +19,7 @@ EVENT_FUNNELS = {
     "lead_gen_funnel": ("Page Viewed", "Lead Form Submitted", "Demo Requested"),
 }
 
+SEGMENT_PROPERTIES = ("utm_source", "utm_medium", "utm_campaign", "utm_content", "country_code", "city", "operating_system", "browser")
 SEGMENTED_EVENTS = (
     "Signed Up",
     "Logged In",
@@ -168,3 +169,22 @@ def event_segmentation(
         )
         .agg(F.count(F.lit(1)).alias("event_count"))
     )
+
+
+def event_segmentation_all(
+    events: DataFrame, properties: Sequence[str] = SEGMENT_PROPERTIES, event_names: Sequence[str] = SEGMENTED_EVENTS
+) -> DataFrame:
+    """Daily counts of the tracked events by the value of every property, in one scan.
+
+    Rows are counted per event, day and combination of values before they are unfolded by property, so
+    that as few rows as possible are repeated.
+    """
+    day = F.to_date("event_timestamp").alias("date")
+    tracked = events.filter(F.col("event_name").isin(*event_names))
+    combined = tracked.groupBy(F.col("event_name").alias("event"), day, *properties).agg(F.count(F.lit(1)).alias("n"))
+    cells = [F.struct(F.lit(p).alias("segment_property"), F.col(p).cast("string").alias("segment_value")) for p in properties]
+    return (
+        combined.select("event", "date", "n", F.inline(F.array(*cells)))
+        .groupBy("event", "segment_property", "segment_value", "date")
+        .agg(F.sum("n").alias("event_count"))
+    )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthmill.functions import safe_divide, spend_channel
-from growthmill.operators.touches import channel_credit_report
+from growthmill.functions import channel_utm, safe_divide, spend_channel
+from growthmill.operators.touches import asof_utm_attribution, channel_credit_report
 from growthmill.plans.marketing import performance_tier
 
 # --- Fixed values -------------------------------------------------------------
@@ -61,6 +61,15 @@ def channel_revenue(touches: DataFrame, attribution: DataFrame) -> DataFrame:
     return report.join(sessions, "channel", "full")
 
 
+def three_views(touches: DataFrame, attribution: DataFrame, events: DataFrame) -> DataFrame:
+    """Channels side by side: touch models, web sessions, and conversions by their latest tagged event."""
+    tagged = asof_utm_attribution(events).filter(F.col("touch_event_id").isNotNull())
+    by_tag = tagged.groupBy(channel_utm(F.col("utm_source"), F.col("utm_medium")).alias("channel")).agg(
+        F.count(F.lit(1)).alias("tagged_conversions")
+    )
+    return channel_revenue(touches, attribution).join(by_tag, "channel", "full")
+
+
 def campaign_user_actions(daily_events: DataFrame) -> DataFrame:
     """What users of paid campaigns do, by campaign and event."""
     paid = F.col("channel_normalized").isin(*PAID_CHANNELS) & F.col("utm_campaign").isNotNull()

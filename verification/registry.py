@@ -697,6 +697,18 @@ def _(m):
     return funnel.event_segmentation(m.events, "utm_campaign")
 
 
+@register(
+    "event_segmentation_all",
+    " UNION ALL ".join(
+        f"""SELECT event_name AS event, '{p}' AS segment_property, {p} AS segment_value, event_date AS date, count(*) AS event_count
+        FROM stg_mixpanel_events WHERE event_name IN ('Signed Up', 'Page Viewed', 'Add to Cart', 'Checkout Started', 'Order Completed') GROUP BY ALL"""
+        for p in ("utm_source", "utm_medium", "utm_campaign", "utm_content", "country_code", "city", "operating_system", "browser")
+    ),
+)
+def _(m):
+    return funnel.event_segmentation_all(m.events)
+
+
 # --- Campaign rows and functions -----------------------------------------------------
 
 CAMPAIGN_TEXT = """CASE channel_type WHEN 'DISPLAY' THEN 'display' ELSE 'other' END"""
@@ -744,6 +756,17 @@ def _(m):
     return campaign.full_row_dedupe(rows)
 
 
+@register(
+    "dedupe_report",
+    """SELECT count(*) AS rows_in, count(DISTINCT (part, l_linenumber, l_returnflag, l_linestatus)) AS rows_kept,
+       count(*) - count(DISTINCT (part, l_linenumber, l_returnflag, l_linestatus)) AS rows_dropped
+       FROM (SELECT l_partkey % 100 AS part, l_linenumber, l_returnflag, l_linestatus FROM lineitem) l""",
+)
+def _(m):
+    rows = m.table("lineitem").selectExpr("l_partkey % 100 AS part", "l_linenumber", "l_returnflag", "l_linestatus")
+    return campaign.dedupe_report(rows)
+
+
 @register(
     "safe_divide_zero",
     "SELECT o_orderkey, coalesce(o_totalprice / nullif(CAST(o_orderkey % 5 AS DOUBLE), 0), 0) AS ratio FROM orders",
@@ -1536,6 +1559,20 @@ def _(m):
     return questions.channel_revenue(m.raw("raw_touches"), m.attribution_bridged)
 
 
+@register(
+    "attribution_three_views",
+    f"""SELECT coalesce(b.channel, t.channel) AS channel, b.last_touch_value, b.linear_value, b.session_revenue, t.tagged_conversions FROM (
+       SELECT coalesce(r.channel, s.channel) AS channel, r.last_touch_value, r.linear_value, s.session_revenue
+       FROM channel_credit_report r FULL JOIN (SELECT channel, sum(attributed_revenue) AS session_revenue FROM fct_attribution_bridged GROUP BY 1) s
+       ON s.channel = r.channel) b
+       FULL JOIN (SELECT e.channel_normalized AS channel, count(*) AS tagged_conversions FROM ({_asof_sql(30)}) a
+         JOIN stg_mixpanel_events e ON e.event_id = a.touch_event_id GROUP BY 1) t ON t.channel = b.channel""",
+    money="last_touch_value linear_value session_revenue",
+)
+def _(m):
+    return questions.three_views(m.raw("raw_touches"), m.attribution_bridged, m.events)
+
+
 @register(
     "biz_campaign_user_actions",
     """SELECT utm_campaign, event_name, CAST(sum(event_count) AS BIGINT) AS event_count, CAST(sum(unique_users) AS BIGINT) AS user_days
