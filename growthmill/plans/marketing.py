@@ -13,6 +13,7 @@ from growthmill.functions import (
     week_start_sunday,
 )
 
+# Columns of the unified fact and their types.
 CAMPAIGN_TYPES = {
     "date": "date",
     "campaign_id": "string",
@@ -180,17 +181,16 @@ def _conversion_kpis(joined: DataFrame) -> DataFrame:
 
 
 def fct_mixpanel_campaign_attribution(daily_events: DataFrame, roi: DataFrame) -> DataFrame:
-    """Conversions per UTM campaign next to the spend row of the same day, name and channel.
+    """Conversions per UTM campaign next to the spend of the same day, name and channel.
 
-    The channel column is compared with the platform name as it stands, so spend is found only
+    Spend is rolled up to the join key, so no conversion row multiplies. The channel column is compared with the platform name as it stands, so spend is found only
     where a platform is named like a channel; the bridged form maps one to the other.
     """
-    spend = roi.select(
+    spend = roi.groupBy(
         F.col("date").alias("event_date"),
         F.col("campaign_name").alias("utm_campaign"),
         F.col("channel_source").alias("channel_normalized"),
-        "total_spend",
-    )
+    ).agg(F.sum("total_spend").alias("total_spend"))
     keys = ["event_date", "utm_campaign", "channel_normalized"]
     return _conversion_kpis(_campaign_conversions(daily_events).join(spend, keys, "left"))
 

@@ -125,8 +125,11 @@ def _with_spend(channels: DataFrame, spend: DataFrame) -> DataFrame:
 
 
 def fct_attribution(sessions: DataFrame, roi: DataFrame) -> DataFrame:
-    """Session revenue per channel next to spend rows whose platform equals the channel name."""
-    spend = roi.select("date", F.col("channel_source").alias("channel"), "total_spend")
+    """Session revenue per channel next to the day's spend of the platform named like the channel.
+
+    Spend is rolled up to the join key, so no session row multiplies.
+    """
+    spend = roi.groupBy("date", F.col("channel_source").alias("channel")).agg(F.sum("total_spend").alias("total_spend"))
     return _with_spend(_channel_sessions(sessions), spend)
 
 

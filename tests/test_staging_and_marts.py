@@ -156,3 +156,17 @@ def test_bridged_attribution_finds_spend_that_the_literal_join_does_not(spark):
     assert row.total_spend is None and row.orders == 4
 
 
+
+
+def test_spend_of_a_platform_named_like_a_channel_does_not_multiply_rows(spark):
+    roi = spark.createDataFrame(
+        [(date(2024, 1, 1), "email", c, 1.0) for c in ("a", "b", "c")] + [(date(2024, 1, 1), "email", "a", 2.0)],
+        "date date, channel_source string, campaign_name string, total_spend double",
+    )
+    sessions = spark.createDataFrame(
+        [(date(2024, 1, 1), "email", "s", "m", "a", 9.0, 1, 5)],
+        "date date, channel_normalized string, session_source string, session_medium string, campaign_name string, "
+        "revenue_usd double, conversions bigint, sessions bigint",
+    )
+    rows = revenue.fct_attribution(sessions, roi).collect()
+    assert [(r.total_spend, r.attributed_revenue) for r in rows] == [(5.0, 9.0)]

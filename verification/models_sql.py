@@ -163,7 +163,8 @@ SELECT c.*, s.total_spend, s.total_spend / nullif(c.orders, 0) AS cpa_orders, s.
        c.checkout_starts / nullif(CAST(c.add_to_carts AS DOUBLE), 0) AS cart_to_checkout_rate,
        c.orders / nullif(CAST(c.checkout_starts AS DOUBLE), 0) AS checkout_to_order_rate,
        c.orders / nullif(CAST(c.page_views AS DOUBLE), 0) AS page_to_order_rate
-FROM campaign_conversions c LEFT JOIN fct_ad_spend_roi s
+FROM campaign_conversions c LEFT JOIN (
+  SELECT date, campaign_name, channel_source, sum(total_spend) AS total_spend FROM fct_ad_spend_roi GROUP BY 1, 2, 3) s
   ON s.date = c.event_date AND s.campaign_name = c.utm_campaign AND s.channel_source = c.channel_normalized""",
     "fct_mixpanel_campaign_attribution_bridged": """
 SELECT c.*, s.total_spend, s.total_spend / nullif(c.orders, 0) AS cpa_orders, s.total_spend / nullif(c.leads, 0) AS cpa_leads,
@@ -222,7 +223,8 @@ SELECT date, channel_normalized AS channel, session_source AS source, session_me
 FROM stg_ga4_sessions GROUP BY 1, 2, 3, 4, 5""",
     "fct_attribution": """
 SELECT c.*, s.total_spend, c.attributed_revenue / nullif(s.total_spend, 0) AS attributed_roas
-FROM channel_sessions c LEFT JOIN fct_ad_spend_roi s ON s.date = c.date AND s.channel_source = c.channel""",
+FROM channel_sessions c LEFT JOIN (SELECT date, channel_source, sum(total_spend) AS total_spend FROM fct_ad_spend_roi GROUP BY 1, 2) s
+  ON s.date = c.date AND s.channel_source = c.channel""",
     "fct_attribution_bridged": """
 SELECT c.*, s.total_spend, c.attributed_revenue / nullif(s.total_spend, 0) AS attributed_roas
 FROM channel_sessions c LEFT JOIN (SELECT date, channel, sum(total_spend) AS total_spend FROM channel_spend GROUP BY 1, 2) s
