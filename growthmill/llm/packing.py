@@ -12,47 +12,76 @@ Pieces then find their window by their rank within their length.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthmill.llm.common import WORD, map_texts, staged, with_rank
+from growthmill.llm.common import WORD, lower_ascii, map_texts, staged, with_rank
 
 CAPACITY = 4096
 END_ID = 2
 # Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 600_000
+CLOSING = ".,;:!?&%$#*)"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-class WordTokenizer:
-    """Ids per blank-separated word, remembered: this vocabulary drops blanks, so words do not interact."""
+class WordTokenizer(dict):
+    """Little-endian 32-bit ids per blank-separated word, worked out when a word is first met.
+
+    The vocabulary drops blanks and case and ends a run of letters or digits at punctuation, so a word is the ids
+    of its lower-case stem and those of its closing punctuation. A stem of small Latin letters is passed to the
+    library's merges as it is; anything else goes through the library's whole chain.
+    """
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.library = Tokenizer.from_file(tokenizer_file)
-        self.memory: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self.memory)
-        if len(self.memory) + len(new) > MEMORY_WORDS:
-            for word in list(islice(reversed(self.memory), len(self.memory) // 2)):
-                del self.memory[word]
-            new = words.difference(self.memory)
-        new = list(new)
-        for word, coded in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            self.memory[word] = np.array(coded.ids, "<u4").tobytes()
+        self.merges = self.library.model
+        # The printable character that stands for each byte.
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_chars = {b: byte_level.pre_tokenize_str(chr(b))[0][0] for b in range(128)}
+        for code in range(128, 0x250):
+            for b, c in zip(chr(code).encode(), byte_level.pre_tokenize_str(chr(code))[0][0]):
+                self.byte_chars[b] = c
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMORY_WORDS:
+            for old in list(islice(reversed(self), len(self) // 2)):
+                del self[old]
+        ids = self._ids(word)
+        self[word] = ids
+        return ids
+
+    def _ids(self, word: str) -> bytes:
+        if "<|" in word:
+            # May hold a special token, which is matched as it is written.
+            return self._by_library(word)
+        low = lower_ascii(word)
+        stem = low.rstrip(CLOSING)
+        if stem and len(stem) < len(low) and (stem[-1].isalpha() or stem[-1].isdecimal()):
+            return self[stem] + self[low[len(stem) :]]
+        if low != word:
+            return self[low]
+        if word.isalpha() and word.islower() and max(word) < "\u0250":
+            mapped = word.encode().decode("latin-1").translate(self.byte_chars)
+            return array("I", [t.id for t in self.merges.tokenize(mapped)]).tobytes()
+        return self._by_library(word)
+
+    def _by_library(self, word: str) -> bytes:
+        return array("I", self.library.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, words: list[str]) -> bytes:
-        """Little-endian 32-bit ids of a text whose words are known."""
-        return b"".join(map(self.memory.__getitem__, words))
+        return b"".join(map(self.__getitem__, words))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -76,11 +105,9 @@ def cut_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY
         coder = tokenizer(tokenizer_file)
 
         def apply(doc_ids, texts):
-            split = [words_of(t) for t in texts]
-            coder.learn(set(chain.from_iterable(split)))
             out = {"doc_id": [], "start": [], "length": [], "ids_crc32": [], "doc_tokens": []}
-            for doc_id, words in zip(doc_ids, split):
-                ids = coder.ids(words) + end
+            for doc_id, text in zip(doc_ids, texts):
+                ids = coder.ids(words_of(text)) + end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     piece = ids[4 * start : 4 * (start + capacity)]
