@@ -32,8 +32,10 @@ CHAR_BUCKETS = 1 << 15
 DIM = 8
 HIDDEN = 8
 THRESHOLD = 0.3
-# The sample holds as many toxic as clean documents; the tables hold far fewer.
+# Weight of all toxic documents of the sample against all clean ones; the tables hold far fewer toxic ones.
 TOXIC_WEIGHT = 0.3
+# Small samples are gone through more often, to make this many steps.
+LEAST_STEPS = 470
 
 # Windows scored at once, and words a task remembers.
 WINDOWS_AT_ONCE = 1024
@@ -153,7 +155,9 @@ class Network:
     def logits(self, gates: np.ndarray, windows: np.ndarray, real: np.ndarray) -> np.ndarray:
         return self.pool(self.run(gates, windows), real)[0]
 
-    def learn(self, words: list[str], windows: np.ndarray, owner: np.ndarray, labels: np.ndarray) -> tuple[dict, float]:
+    def learn(
+        self, words: list[str], windows: np.ndarray, owner: np.ndarray, labels: np.ndarray, weight: float = TOXIC_WEIGHT
+    ) -> tuple[dict, float]:
         """Gradients for documents: ``windows`` holds rows of ``words`` (0 is the padding), ``owner`` their document."""
         w = self.weights
         numbers, grams, starts = self.inputs.of(words)
@@ -164,9 +168,9 @@ class Network:
         logit, heed, seen, joined, pooled = self.pool(states, windows > 0)
         p = np.clip(sigmoid(logit), 1e-6, 1 - 1e-6)
         clean = np.clip(np.exp(np.bincount(owner, np.log1p(-p), len(labels))), 1e-6, 1 - 1e-6)
-        loss = -np.mean(TOXIC_WEIGHT * labels * np.log(1 - clean) + (1 - labels) * np.log(clean))
+        loss = -np.mean(weight * labels * np.log(1 - clean) + (1 - labels) * np.log(clean))
         # A document is toxic unless all of its windows are clean.
-        share = np.where(labels == 1, -TOXIC_WEIGHT * clean / (1 - clean), 1.0)
+        share = np.where(labels == 1, -weight * clean / (1 - clean), 1.0)
         d_logit = (share[owner] * p / len(labels)).astype(np.float32)
 
         grads = {k: np.zeros_like(v) for k, v in w.items() if k not in ("word", "char")}
@@ -207,7 +211,14 @@ class Network:
 
 
 def train(documents: list[tuple[list[list[str]], int]], epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Network:
-    """Fit the network to documents given as (windows of words, label), with Adam."""
+    """Fit the network to documents given as (windows of words, label), with Adam.
+
+    All documents are gone through ``epochs`` times, and more often where that makes fewer than ``LEAST_STEPS`` steps.
+    """
+    toxic = sum(label for _, label in documents)
+    weight = TOXIC_WEIGHT * (len(documents) - toxic) / max(1, toxic)
+    steps = -(-len(documents) // batch)
+    epochs = max(epochs, -(-LEAST_STEPS // steps)) if documents else 0
     found = Counter(w for windows, _ in documents for w in {w for window in windows for w in window})
     known = sorted((w for w, n in found.items() if n >= MIN_DOCUMENTS), key=lambda w: (-found[w], w))[:VOCABULARY]
     network = Network(WordInputs(known), seed)
@@ -228,10 +239,10 @@ def train(documents: list[tuple[list[list[str]], int]], epochs: int = 5, batch:
             # Unknown words must be met in training too.
             for w in rng.choice(known, min(len(known), 20), replace=False) if known else []:
                 network.inputs.numbers.pop(str(w), None)
-            grads, _ = network.learn(words, rows, owner, np.array([y for _, y in chosen], np.float64))
+            grads, _ = network.learn(words, rows, owner, np.array([y for _, y in chosen], np.float64), weight)
             network.inputs.numbers = {w: i + 2 for i, w in enumerate(known)}
             step += 1
-            slow = rate * (0.3 if epoch >= epochs - 2 else 1.0)
+            slow = rate * (0.3 if epoch >= 0.6 * epochs else 1.0)
             for k, g in grads.items():
                 mean[k] += 0.1 * (g - mean[k])
                 square[k] += 0.01 * (g * g - square[k])

@@ -1,6 +1,5 @@
 import random
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,5 +122,5 @@ def test_pipeline_keeps_clean_documents(spark):
     toxic = [r for r in first if r["toxic"] == 1]
     counts = {r["toxic"]: r["n"] for r in labels.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     assert len(clean) >= 0.98 * counts[0]
-    assert len(toxic) <= 0.5 * counts[1]
-    assert duckdb.__version__
+    # The table labels 51 toxic documents, a quarter of them held out.
+    assert len(toxic) <= 0.2 * counts[1]
