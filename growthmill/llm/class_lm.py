@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from growthmill.llm.common import join_by_share, map_texts, staged
+from growthmill.llm.sharding import size_class
 
 # Bounds of what the driver and the tasks hold: words with a count at hand, of at most so many bytes;
 # words that are units; units of endings; classes.
-DICTIONARY = 200_000
+DICTIONARY = 100_000
 DICTIONARY_BYTES = 64
 WORD_UNITS = 512
 ENDINGS = 255
@@ -236,27 +237,38 @@ def count_words(docs: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
 
 
+def _least_count(counts: DataFrame) -> int:
+    """The count from which words are in the dictionary: as low as its size allows.
+
+    Counts are put into classes of 12 significant bits, so the driver sees 2048 rows per power of two at most.
+    """
+    sizes = counts.groupBy(size_class("n").alias("c")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
+    least, words = 1 << 62, 0
+    for row in sorted(sizes.collect(), key=lambda r: -r["c"]):
+        words += row["words"]
+        if words > DICTIONARY:
+            break
+        least = row["least"]
+    return least
+
+
 def fit(training: DataFrame) -> tuple[ClassModel, DataFrame]:
     """The model of the training documents, and the counts of the words outside its dictionary."""
     counts = staged(count_words(training), "word-counts")
     ends = training.count()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
-    short = counts.where(F.octet_length("word") <= DICTIONARY_BYTES)
-    top = short.orderBy(F.desc("n"), "word").limit(DICTIONARY).collect()
-    known = {bytes(r["word"]): r["n"] for r in top}
-    outside = counts.select("word", "n")
-    if len(top) == DICTIONARY:
-        last = top[-1]
-        after = (F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("word") > F.lit(bytes(last["word"]))))
-        outside = outside.where(after | (F.octet_length("word") > DICTIONARY_BYTES))
-    else:
-        outside = outside.where(F.octet_length("word") > DICTIONARY_BYTES)
+    least = _least_count(counts)
+    in_dictionary = (F.col("n") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)
+    # At most DICTIONARY rows.
+    top = counts.where(in_dictionary).select("word", "n").toArrow()
+    known = dict(sorted(zip(top["word"].to_pylist(), top["n"].to_pylist()), key=lambda item: (-item[1], item[0])))
+    outside = counts.where(~in_dictionary).select("word", "n")
     units = dict(zip(list(known)[:WORD_UNITS], range(WORD_UNITS)))
     # At most one row per pair of units, and one per ending.
     pairs = map_texts(training, ["doc_id", "text"], lambda: CountBigrams(units), "pair long, n long")
+    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     bigrams = np.zeros(UNITS * UNITS)
-    for row in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
-        bigrams[row["pair"]] = row["n"]
+    bigrams[found["pair"].to_numpy()] = found["n"].to_numpy()
     unit_types = np.zeros(UNITS)
     for row in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("types")).collect():
         unit_types[WORD_UNITS + row["ending"]] = row["types"]
