@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from growthmill.llm.common import map_texts
 
 SPACE = "▁"
+CLOSING = ".,;:!?&%$#*)"
 EMPTY = hashlib.sha256(b"").hexdigest()
 
 # Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
@@ -27,6 +28,23 @@ MEMORY_WORDS = 400_000
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
 
+class Words(dict):
+    """Coded words by spelling, worked out when a word is first met, and those not yet checked against the library."""
+
+    def __init__(self, codec: PieceCodec):
+        super().__init__()
+        self.codec = codec
+        self.unchecked: dict[str, list[int]] = {}
+
+    def __missing__(self, word: str) -> tuple[int, str, bytes]:
+        if len(self) >= MEMORY_WORDS:
+            for old in list(islice(reversed(self), len(self) // 2)):
+                del self[old]
+        coded = self.codec.coded(word)
+        self[word] = coded
+        return coded
+
+
 class PieceCodec:
     """One vocabulary: agenda encoder, decoder, and the library it is checked against."""
 
@@ -56,7 +74,10 @@ class PieceCodec:
         self.decimals = [str(i) for i in range(size)]
         self.unknown = self.library.unk_id()
         self.split = self._splitter()
-        self.memory: dict[str, tuple[int, str, bytes, bool]] = {}
+        self.wrong: set[str] = set()
+        # Characters that stand side by side in some piece; no merge reaches over any other pair.
+        self.adjacent = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
+        self.memory = Words(self)
 
     def _splitter(self) -> re.Pattern:
         """Cuts where no piece can reach across."""
@@ -109,39 +130,48 @@ class PieceCodec:
                     out.append(self.unknown)
         return out
 
-    def learn(self, words: set[str]) -> None:
-        """Encode new words and compare them with the library, all in one call."""
-        new = words.difference(self.memory)
-        if len(self.memory) + len(new) > MEMORY_WORDS:
-            for word in list(islice(reversed(self.memory), len(self.memory) // 2)):
-                del self.memory[word]
-            new = words.difference(self.memory)
-        new = list(new)
+    def parts(self, word: str) -> tuple[str, str] | None:
+        """A word cut before its closing punctuation, where no piece reaches across."""
+        stem = word.rstrip(CLOSING)
+        if stem and len(stem) < len(word) and (stem[-1], word[len(stem)]) not in self.adjacent:
+            return stem, word[len(stem) :]
+        return None
+
+    def coded(self, word: str) -> tuple[int, str, bytes]:
+        """Number of ids of a word, the ids in decimals, and the bytes they decode to."""
+        parts = self.parts(word)
+        if parts is not None:
+            (n, ids, surface), (n2, ids2, surface2) = self.memory[parts[0]], self.memory[parts[1]]
+            return n + n2, f"{ids},{ids2}", surface + surface2
+        ids = self.merge(word)
+        self.memory.unchecked[word] = ids
+        return len(ids), ",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.surfaces.__getitem__, ids))
+
+    def disagreeing(self) -> set[str]:
+        """Compare what was encoded since the last call with the library; words that it encodes otherwise."""
+        words, self.memory.unchecked = self.memory.unchecked, {}
         # A line feed before the word keeps the library from putting a space there.
-        theirs = self.library.encode(["\n" + w.replace(SPACE, " ") for w in new], num_threads=1)
-        for word, expected in zip(new, theirs):
-            ids = self.merge(word)
-            decimals = ",".join(map(self.decimals.__getitem__, ids))
-            surface = b"".join(map(self.surfaces.__getitem__, ids))
-            self.memory[word] = (len(ids), decimals, surface, ids == expected[2:])
+        theirs = self.library.encode(["\n" + w.replace(SPACE, " ") for w in words], num_threads=1)
+        self.wrong |= {w for (w, ids), expected in zip(words.items(), theirs) if ids != expected[2:]}
+        return self.wrong
 
     def words(self, text: str) -> list[str]:
         """The text as the library normalises it for such a vocabulary, cut into words."""
         return self.split.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def digests(self, words: list[str]) -> tuple[int, str, str, bool]:
-        """Number of ids, digest of the ids, digest of the decoded text and agreement, for learnt words.
+    def digests(self, words: list[str]) -> tuple[int, str, str]:
+        """Number of ids, digest of the ids, digest of the decoded text.
 
         The decoded text is the surfaces of all pieces without the space put before the text.
         """
         if not words:
-            return 0, EMPTY, EMPTY, True
-        counts, decimals, surfaces, agree = zip(*map(self.memory.__getitem__, words))
+            return 0, EMPTY, EMPTY
+        counts, decimals, surfaces = zip(*map(self.memory.__getitem__, words))
         decoded = b"".join(surfaces)
         if decoded[:1] == b" ":
             decoded = decoded[1:]
         ids_digest = hashlib.sha256(",".join(decimals).encode()).hexdigest()
-        return sum(counts), ids_digest, hashlib.sha256(decoded).hexdigest(), all(agree)
+        return sum(counts), ids_digest, hashlib.sha256(decoded).hexdigest()
 
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable(map(self.merge, self.words(text))))
@@ -174,14 +204,14 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
         def apply(doc_ids, texts):
             words = [model.words(t) for t in texts]
-            model.learn(set(chain.from_iterable(words)))
-            n_tokens, ids_sha256, decoded_sha256, agrees = zip(*map(model.digests, words))
+            n_tokens, ids_sha256, decoded_sha256 = zip(*map(model.digests, words))
+            wrong = model.disagreeing()
             return {
                 "doc_id": doc_ids,
                 "n_tokens": n_tokens,
                 "ids_sha256": ids_sha256,
                 "decoded_sha256": decoded_sha256,
-                "agrees": agrees,
+                "agrees": [not wrong or wrong.isdisjoint(chain.from_iterable((w, *(model.parts(w) or ())) for w in t)) for t in words],
             }
 
         return apply

@@ -209,16 +209,17 @@ def test_training_separates_held_out_texts():
             words[rng.randrange(len(words))] = rng.choice(rude)
         return words
 
-    documents = [(document(i % 2), i % 2) for i in range(500)]
+    documents = [(document(i % 2), i % 2) for i in range(300)]
     windows = [([w[s : s + toxicity.WINDOW] for s in toxicity.window_starts(len(w))], y) for w, y in documents]
-    scorer = toxicity.Scorer(toxicity.train(windows, epochs=8))
+    scorer = toxicity.Scorer(toxicity.train(windows))
     test = [(document(i % 2), i % 2) for i in range(200)]
     scores, _ = scorer.scores([" ".join(w) for w, _ in test])
     right = sum((s >= toxicity.THRESHOLD) == bool(y) for s, (_, y) in zip(scores, test))
     assert right >= 190
 
 
-def test_scores_of_awkward_rows(spark, awkward, awkward_rows):
+def test_scores_of_awkward_rows(spark, awkward, awkward_rows, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 20)
     network = toxicity.train_network(spark, awkward, GIVEN, ~toxicity.held_out())
     rows = toxicity.score_documents(awkward, network).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in awkward_rows)

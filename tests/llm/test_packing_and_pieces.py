@@ -44,10 +44,19 @@ def test_memory_forgets_and_relearns(monkeypatch):
     monkeypatch.setattr(sentence_pieces, "MEMORY_WORDS", 50)
     codec = sentence_pieces.PieceCodec(vocabulary("pieces"))
     for n in range(0, 300, 10):
-        words = [f"▁w{i}" for i in range(n, n + 20)]
-        codec.learn(set(words))
-        assert codec.digests(words)[3]
-        assert len(codec.memory) <= 70
+        text = " ".join(f"w{i}&&, x{i}." for i in range(n, n + 20))
+        ids = codec.library.encode(text)
+        count, digest, _ = codec.digests(codec.words(text))
+        assert (count, digest) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+        assert codec.disagreeing() == set()
+        assert len(codec.memory) <= 52
+
+
+def test_disagreement_is_told():
+    codec = sentence_pieces.PieceCodec(vocabulary("pieces"))
+    codec.digests(codec.words("some words, and others"))
+    codec.memory.unchecked["▁words"] = [5]
+    assert codec.disagreeing() == {"▁words"}
 
 
 def test_word_ids_equal_the_library(library, awkward_rows):

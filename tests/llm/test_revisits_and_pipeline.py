@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from growthmill.llm import queries, revisits
+from growthmill.llm import queries, revisits, toxicity
 from verification.compare import connect, duck_rows, spark_rows
 
 GIVEN = "/root/testdata/sf0.001"
@@ -99,7 +99,8 @@ def test_every_operator_has_one_query():
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
-def test_stages_take_awkward_rows_and_nothing(spark, awkward, nothing, tmp_path):
+def test_stages_take_awkward_rows_and_nothing(spark, awkward, nothing, tmp_path, monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 20)
     docs, empty = awkward, nothing
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         last = name == corpus_pipeline.STAGES[-1][0]
