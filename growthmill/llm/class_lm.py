@@ -1,23 +1,27 @@
 """Class-based bigram language model with exchange clustering.
 
-Words are counted over the whole corpus. The most frequent ones are units of their own; every other word belongs to
-the unit of its ending, also words never seen. Bigrams of units are counted over the whole corpus, and
-the exchange algorithm moves one unit at a time to the class in which the class bigrams become likeliest. A text has
+Words and their bigrams are counted over the whole corpus. The exchange algorithm first moves units, the most frequent
+words and the endings of the others, one at a time to the class in which the class bigrams become likeliest. Then every
+word seen ``MIN_COUNT`` times or more is clustered for itself: in alternating sweeps over one half of these words and the
+other, tasks gather the classes to the left and right of each word and assign it to the class of largest gain against the
+class bigrams of the sweep. Rare words, and words never seen, keep the class of their ending. A text has
 the probability of its class transitions times that of its words within their classes. Words outside a
-bounded dictionary find their counts by a join.
+bounded dictionary find their counts by a join. Clustered words are told apart by a hash of 64 bits.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthmill.llm.common import join_by_share, map_texts, staged
+from growthmill.llm.common import join_by_share, map_texts, partitions, staged
 from growthmill.llm.sharding import size_class
 
 # Bounds of what the driver and the tasks hold: words with a count at hand, of at most so many bytes;
@@ -31,6 +35,18 @@ CLASSES = 64
 ADDED = 0.1
 TRANSITION_PRIOR = 20.0
 SWEEPS = 8
+# Words seen so often are clustered, at most so many (nine bytes each); each round sweeps both halves of them.
+MIN_COUNT = 5
+CLUSTERED = 1 << 24
+ROUNDS = 2
+# One in so many of the moves of a sweep is made.
+PARTS = (1, 2, 4, 8, 16)
+# Bigrams a task holds before it hands them on, bigrams of a row, and words whose gains are worked out at once.
+HELD_PAIRS = 4_000_000
+ROW_PAIRS = 1_000_000
+WORDS_AT_ONCE = 32
+TASK_WORDS = 4096
+SEED = 42
 # Words a task counts before it hands them on.
 COUNTED_WORDS = 400_000
 
@@ -68,32 +84,275 @@ class CountWords:
         return out
 
 
-class Units(dict):
-    """Unit of each word; endings are worked out when a word is first met."""
+class Clusters:
+    """The clustered words, by their hashes in order, with the class of each and of every ending.
 
-    def __missing__(self, word: bytes) -> int:
-        unit = WORD_UNITS + ending(word)
-        if len(self) < COUNTED_WORDS:
-            self[word] = unit
-        return unit
+    The number of a clustered word is its place; the endings and the end follow.
+    """
+
+    def __init__(self, hashes: np.ndarray, endings: np.ndarray):
+        order = np.argsort(hashes)
+        self.hashes, self.endings = hashes[order], endings[order].astype(np.uint8)
+        self.classes = np.zeros(self.end + 1, np.uint8)
+
+    @property
+    def end(self) -> int:
+        return len(self.hashes) + ENDINGS
+
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        from xxhash import xxh64_intdigest
+
+        hashes = np.fromiter((xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words)).view(np.int64)
+        at = np.searchsorted(self.hashes, hashes)
+        missed = np.ones(len(words), bool)
+        inside = at < len(self.hashes)
+        missed[inside] = self.hashes[at[inside]] != hashes[inside]
+        for i in np.flatnonzero(missed):
+            at[i] = len(self.hashes) + ending(words[i])
+        return at
+
+    def units(self, top: np.ndarray) -> np.ndarray:
+        """The unit each number starts from; ``top`` are the numbers of the words that are units."""
+        units = WORD_UNITS + np.r_[self.endings.astype(np.int64), np.arange(ENDINGS), ENDINGS]
+        units[top] = np.arange(len(top))
+        return units
 
 
-class CountBigrams:
-    """Counts the bigrams of units of a task, each text between two ends."""
+class CountPairs:
+    """Counts the bigrams of a task, each text between two ends, as packed rows."""
 
-    def __init__(self, units: dict[bytes, int]):
-        self.units = Units(units)
-        self.counts = np.zeros(UNITS * UNITS, np.int64)
+    def __init__(self, clusters: Clusters):
+        self.clusters, self.known = clusters, {}
+        self.held, self.size = [], 0
 
     def __call__(self, ids, texts):
-        unit_of = self.units.__getitem__
-        for text in texts:
-            units = np.array([END, *map(unit_of, words_of(text)), END], np.int64)
-            np.add.at(self.counts, units[:-1] * UNITS + units[1:], 1)
+        split = [words_of(t) for t in texts]
+        words = [w for of_text in split for w in of_text]
+        new = set(words).difference(self.known)
+        if len(self.known) + len(new) > COUNTED_WORDS:
+            self.known.clear()
+            new = set(words)
+        new = list(new)
+        self.known.update(zip(new, self.clusters.ids(new).tolist()))
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        end = self.clusters.end
+        # Texts that follow each other share an end; that gives the same bigrams.
+        numbers = np.r_[end, np.insert(numbers, np.cumsum([len(w) for w in split]), end)]
+        self.held.append(numbers[:-1] * (end + 1) + numbers[1:])
+        self.size += len(numbers) - 1
+        return self.finish() if self.size >= HELD_PAIRS else None
 
     def finish(self):
-        pairs = np.flatnonzero(self.counts)
-        return {"pair": pairs, "n": self.counts[pairs]}
+        codes, counts = np.unique(np.concatenate(self.held or [np.empty(0, np.int64)]), return_counts=True)
+        self.held, self.size = [], 0
+        cuts = range(0, len(codes), ROW_PAIRS)
+        parts = [(codes[i : i + ROW_PAIRS], counts[i : i + ROW_PAIRS]) for i in cuts]
+        return {"n": [len(c) for c, _ in parts], "packed": [pack(c, n) for c, n in parts]}
+
+
+def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
+    """Codes in order with their counts: steps and counts by byte position, compressed."""
+    steps = np.diff(codes, prepend=0)
+    planes = np.stack([steps, counts.astype(np.int64)]).view(np.uint8).reshape(2, len(codes), 8).transpose(0, 2, 1)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(size: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(packed, size * 16, codec="zstd"), np.uint8).reshape(2, 8, size)
+    steps, counts = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64).reshape(2, size)
+    return np.cumsum(steps), counts
+
+
+def add_up(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order and the sums of their counts."""
+    if not len(codes):
+        return codes, counts
+    order = np.argsort(codes)
+    codes = codes[order]
+    first = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+    return codes[first], np.add.reduceat(counts[order], first)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for size, packed in zip(batch.column("n").to_pylist(), batch.column("packed")):
+            yield unpack(size, packed.as_buffer())
+
+
+def bigrams_of(pairs: DataFrame, of: np.ndarray, size: int) -> np.ndarray:
+    """How often a number of group ``i`` comes before one of group ``j``; ``of`` has the group of each number."""
+    sent = pairs.sparkSession.sparkContext.broadcast(of)
+
+    def run(batches):
+        of, table = sent.value, np.zeros(size * size, np.int64)
+        for codes, counts in _unpacked(batches):
+            left, right = np.divmod(codes, len(of))
+            cell = of[left].astype(np.int64) * size + of[right]
+            table += np.bincount(cell, counts, size * size).astype(np.int64)
+        cells = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(table[cells])], names=["cell", "n"])
+
+    # At most one row per pair of groups.
+    found = pairs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(size * size)
+    table[found["cell"].to_numpy()] = found["n"].to_numpy()
+    return table.reshape(size, size)
+
+
+# Of each word: its right neighbours by class, its left ones, and how often it follows itself.
+SLOTS = 2 * CLASSES + 1
+
+
+def neighbours(codes, counts, classes: np.ndarray, movable: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by movable word and slot of the bigrams ``codes``."""
+    left, right = np.divmod(codes, len(classes))
+    same = left == right
+    a, b = movable[left] & ~same, movable[right] & ~same
+    own = same & movable[left]
+    slots = [left[a] * SLOTS + classes[right[a]], right[b] * SLOTS + CLASSES + classes[left[b]], left[own] * SLOTS + 2 * CLASSES]
+    return add_up(np.concatenate(slots), np.concatenate([counts[a], counts[b], counts[own]]))
+
+
+def weight(x):
+    return x * np.log(np.maximum(x, 1e-12))
+
+
+def gains(table: np.ndarray, old: np.ndarray, right: np.ndarray, left: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Gain in likelihood of each word entering each class, once it has left its ``old`` one: (words, classes).
+
+    ``right`` and ``left`` are the counts of neighbours by class, without the ``own`` of a word beside itself.
+    """
+    at = np.arange(len(old))
+
+    def side(table, right, left):
+        word, c = np.nonzero(right)
+        n = right[word, c]
+        was, each = old[word], np.arange(len(word))
+        # Row g of the table without the word: it has left row and column ``old``.
+        cell = table.T[c]
+        cell[each, was] -= n
+        home = np.flatnonzero(c == was)
+        cell[home] -= left[word[home]]
+        cell[home, was[home]] -= own[word[home]]
+        gain = weight(cell + n[:, None]) - weight(cell)
+        # The corner counts once, below.
+        gain[each, c] = 0
+        out = np.zeros(right.shape)
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]]) if len(word) else word
+        if len(word):
+            out[word[first]] = np.add.reduceat(gain, first, axis=0)
+        return out
+
+    gain = side(table, right, left) + side(table.T, left, right)
+    corner = np.tile(np.diagonal(table), (len(old), 1))
+    corner[at, old] -= right[at, old] + left[at, old] + own
+    gain += weight(corner + right + left + own[:, None]) - weight(corner)
+    for sums, more in ((table.sum(1), right.sum(1) + own), (table.sum(0), left.sum(1) + own)):
+        rest = np.tile(sums, (len(old), 1))
+        rest[at, old] -= more
+        gain -= weight(rest + more[:, None]) - weight(rest)
+    return gain
+
+
+def moves_of(codes, counts, classes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words that change, and their new classes; ties go to the lower class, words without a gain stay.
+
+    What a few words do is seen by those after them, so that they do not all enter one class.
+    """
+    table = table.copy()
+    word, slot = np.divmod(codes, SLOTS)
+    words = np.unique(word)
+    out = []
+    for i in range(0, len(words), WORDS_AT_ONCE):
+        some = words[i : i + WORDS_AT_ONCE]
+        low, high = np.searchsorted(word, [some[0], some[-1] + 1])
+        slots = np.zeros((len(some), SLOTS))
+        slots[np.searchsorted(some, word[low:high]), slot[low:high]] = counts[low:high]
+        old = classes[some].astype(np.int64)
+        size = len(table)
+        gain = gains(table, old, slots[:, :size], slots[:, CLASSES : CLASSES + size], slots[:, -1])
+        new, at = gain.argmax(1), np.arange(len(some))
+        better = gain[at, new] > gain[at, old] + 1e-6
+        out.append((some[better], new[better]))
+        right, left = slots[better, :size], slots[better, CLASSES : CLASSES + size]
+        for sign, of in ((-1, old[better]), (1, new[better])):
+            np.add.at(table, of, sign * right)
+            np.add.at(table.T, of, sign * left)
+            np.add.at(table, (of, of), sign * slots[better, -1])
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (words, words)
+
+
+def sweep(pairs: DataFrame, classes: np.ndarray, movable: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Classes after every movable word has gone to the class of its largest gain against ``table``."""
+    context = pairs.sparkSession.sparkContext
+    # A task sees only what its own words do, so few words are not dealt out thinly.
+    parts = max(1, min(partitions(pairs.sparkSession), len(classes) // TASK_WORDS))
+    sent = context.broadcast((classes, movable, table))
+    # Numbers are in the order of a hash, so ranges of them are even.
+    bounds = np.linspace(0, len(classes), parts + 1).astype(np.int64) * SLOTS
+
+    def deal(batches):
+        classes, movable, _ = sent.value
+
+        def out(held):
+            codes, counts = add_up(*(np.concatenate(x) for x in zip(*held)))
+            cuts = np.searchsorted(codes, bounds)
+            some = [(p, codes[i:j], counts[i:j]) for p, (i, j) in enumerate(zip(cuts, cuts[1:])) if j > i]
+            columns = [p for p, _, _ in some], [len(c) for _, c, _ in some], [pack(c, n) for _, c, n in some]
+            kinds = pa.int32(), pa.int64(), pa.binary()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "n", "packed"])
+
+        held = []
+        for codes, counts in _unpacked(batches):
+            held.append(neighbours(codes, counts, classes, movable))
+            if sum(len(c) for c, _ in held) >= HELD_PAIRS:
+                yield out(held)
+                held = []
+        if held:
+            yield out(held)
+
+    def move(batches):
+        classes, _, table = sent.value
+        held = list(_unpacked(batches))
+        if held:
+            word, new = moves_of(*add_up(*(np.concatenate(x) for x in zip(*held))), classes, table)
+            yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(new, pa.int64())], names=["word", "class"])
+
+    dealt = pairs.mapInArrow(deal, "part int, n long, packed binary").repartitionById(parts, F.col("part"))
+    # At most one row per clustered word.
+    moved = dealt.select("n", "packed").mapInArrow(move, "word long, class long").toArrow()
+    classes = classes.copy()
+    classes[moved["word"].to_numpy()] = moved["class"].to_numpy()
+    return classes
+
+
+def likelihood(table: np.ndarray) -> float:
+    """Log-likelihood of the class bigrams, but for what no class changes."""
+    return float(weight(table).sum() - weight(table.sum(0)).sum() - weight(table.sum(1)).sum())
+
+
+def cluster(pairs: DataFrame, clusters: Clusters, top: np.ndarray, of_unit: np.ndarray) -> np.ndarray:
+    """Give every clustered word its class, from those of the units; returns the class bigrams.
+
+    The words that are units have been exchanged one by one and stay. Many moves at once may lose likelihood though each
+    one gains; of such a sweep only an even part of the moves is made, the largest of ``PARTS`` that gains.
+    """
+    classes = of_unit[clusters.units(top)].astype(np.uint8)
+    size = int(of_unit.max()) + 1
+    table = bigrams_of(pairs, classes, size)
+    number = np.arange(len(classes))
+    free = number < len(clusters.hashes)
+    free[top] = False
+    for half in [0, 1] * ROUNDS if free.any() else []:
+        moved = sweep(pairs, classes, free & (number % 2 == half), table)
+        for part in PARTS if (moved != classes).any() else []:
+            some = np.where(number // 2 % part == 0, moved, classes)
+            after = bigrams_of(pairs, some, size)
+            if likelihood(after) > likelihood(table):
+                classes, table = some, after
+                break
+    clusters.classes = classes
+    return table
 
 
 def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
@@ -112,9 +371,6 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
     table = member.T @ counts @ member
     right_of, left_of = counts @ member, counts.T @ member
 
-    def weight(x):
-        return x * np.log(np.maximum(x, 1e-12))
-
     for _ in range(sweeps):
         moved = False
         for unit in visits:
@@ -160,29 +416,41 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
 
 
 class ClassModel:
-    """What scoring needs; its size is bounded by the dictionary and the classes."""
+    """What scoring needs; its size is bounded by the dictionary, the clustered words and the classes.
+
+    ``bigrams`` are those of units, or with ``clusters`` those of classes; ``unit_types`` are the types of each.
+    """
 
-    def __init__(self, counts: dict[bytes, int], tokens: int, types: int, ends: int, unit_types: np.ndarray, bigrams: np.ndarray):
-        self.tokens, self.types, self.ends = tokens, types, ends
+    def __init__(
+        self, counts: dict[bytes, int], tokens: int, types: int, ends: int, unit_types: np.ndarray, bigrams: np.ndarray,
+        clusters: Clusters | None = None,
+    ):
+        self.tokens, self.types, self.ends, self.clusters = tokens, types, ends, clusters
         self.dictionary = {w: i for i, w in enumerate(counts)}
-        word_units = dict(zip(list(counts)[:WORD_UNITS], range(WORD_UNITS)))
-        units = np.array([word_units.get(w, WORD_UNITS + ending(w)) for w in counts], np.int64)
-        self.class_of_unit = exchange(bigrams, CLASSES)
-        classes = int(self.class_of_unit.max()) + 1
-        member = np.eye(classes)[self.class_of_unit]
-        moves = member.T @ bigrams @ member
+        if clusters is None:
+            word_units = dict(zip(list(counts)[:WORD_UNITS], range(WORD_UNITS)))
+            units = np.array([word_units.get(w, WORD_UNITS + ending(w)) for w in counts], np.int64)
+            of_unit = exchange(bigrams, CLASSES)
+            self.classes, self.end_class = of_unit[units], of_unit[END]
+            member = np.eye(int(of_unit.max()) + 1)[of_unit]
+            moves, kinds = member.T @ bigrams @ member, member.T @ unit_types
+        else:
+            self.classes, self.end_class = self.classes_of(list(counts)), int(clusters.classes[-1])
+            moves, kinds = bigrams, unit_types
+        classes = len(moves)
         entered = moves.sum(0)
         share = (entered + 1) / (entered.sum() + classes)
         smoothed = (moves + TRANSITION_PRIOR * share) / (moves.sum(1, keepdims=True) + TRANSITION_PRIOR)
         self.move = np.log10(smoothed)
         # log10 of what the counts of a class are divided by.
-        self.below = np.log10(entered + ADDED * (member.T @ unit_types + 1))
+        self.below = np.log10(entered + ADDED * (kinds + 1))
         self.base_below = float(np.log10(tokens + ADDED * (types + 1)))
-        self.classes = self.class_of_unit[units]
         self.log_count = np.log10(np.array(list(counts.values()), np.float64) + ADDED)
-        self.end_class = self.class_of_unit[END]
         self.end_log_count = float(np.log10(ends + ADDED))
 
+    def classes_of(self, words: list[bytes]) -> np.ndarray:
+        return self.clusters.classes[self.clusters.ids(words)].astype(np.int64)
+
 
 class Score:
     """Scores texts but for the counts of the words outside the dictionary, which become rows of their own."""
@@ -203,11 +471,10 @@ class Score:
             classes[0] = classes[-1] = model.end_class
             classes[1:-1] = model.classes[codes] if len(model.classes) else 0
             others = Counter(words[i] for i in unknown)
+            new = [w for w in others if w not in rest]
+            rest.update(zip(new, model.classes_of(new).tolist()))
             for i in unknown:
-                word = words[i]
-                if word not in rest:
-                    rest[word] = model.class_of_unit[WORD_UNITS + ending(word)]
-                classes[1 + i] = rest[word]
+                classes[1 + i] = rest[words[i]]
             seen = codes[codes >= 0]
             counted = float(model.log_count[seen].sum()) + model.end_log_count
             score = counted + float(model.move[classes[:-1], classes[1:]].sum() - model.below[classes[1:]].sum())
@@ -237,19 +504,23 @@ def count_words(docs: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
 
 
-def _least_count(counts: DataFrame) -> int:
-    """The count from which words are in the dictionary: as low as its size allows.
+def _least_counts(counts: DataFrame, *limits: int) -> list[int]:
+    """For each limit the count from which words number so many at most: as low as that allows.
 
     Counts are put into classes of 12 significant bits, so the driver sees 2048 rows per power of two at most.
     """
     sizes = counts.groupBy(size_class("n").alias("c")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
-    least, words = 1 << 62, 0
-    for row in sorted(sizes.collect(), key=lambda r: -r["c"]):
-        words += row["words"]
-        if words > DICTIONARY:
-            break
-        least = row["least"]
-    return least
+    rows = sorted(sizes.collect(), key=lambda r: -r["c"])
+    found = []
+    for limit in limits:
+        least, words = 1 << 62, 0
+        for row in rows:
+            words += row["words"]
+            if words > limit:
+                break
+            least = row["least"]
+        found.append(least)
+    return found
 
 
 def fit(training: DataFrame) -> tuple[ClassModel, DataFrame]:
@@ -257,28 +528,31 @@ def fit(training: DataFrame) -> tuple[ClassModel, DataFrame]:
     counts = staged(count_words(training), "word-counts")
     ends = training.count()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
-    least = _least_count(counts)
+    least, clustered = _least_counts(counts, DICTIONARY, CLUSTERED)
     in_dictionary = (F.col("n") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)
     # At most DICTIONARY rows.
     top = counts.where(in_dictionary).select("word", "n").toArrow()
     known = dict(sorted(zip(top["word"].to_pylist(), top["n"].to_pylist()), key=lambda item: (-item[1], item[0])))
     outside = counts.where(~in_dictionary).select("word", "n")
-    units = dict(zip(list(known)[:WORD_UNITS], range(WORD_UNITS)))
-    # At most one row per pair of units, and one per ending.
-    pairs = map_texts(training, ["doc_id", "text"], lambda: CountBigrams(units), "pair long, n long")
-    found = pairs.groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    bigrams = np.zeros(UNITS * UNITS)
-    bigrams[found["pair"].to_numpy()] = found["n"].to_numpy()
-    unit_types = np.zeros(UNITS)
+    units = list(known)[:WORD_UNITS]
+    # The words that are units are clustered however rare they are. At most CLUSTERED rows.
+    often = min([MIN_COUNT, *(known[w] for w in units[-1:])])
+    held = counts.where(F.col("n") >= max(often, clustered)).select(F.xxhash64("word").alias("hash"), "ending").toArrow()
+    clusters = Clusters(held["hash"].to_numpy(), held["ending"].to_numpy())
+    sent = training.sparkSession.sparkContext.broadcast(clusters)
+    pairs = map_texts(training, ["doc_id", "text"], lambda: CountPairs(sent.value), "n long, packed binary")
+    pairs = staged(pairs, "word-bigrams")
+    top = clusters.ids(units)
+    of_unit = exchange(bigrams_of(pairs, clusters.units(top), UNITS), CLASSES)
+    table = cluster(pairs, clusters, top, of_unit)
+    # Types of each number: one of a clustered word, the others of each ending, and the end.
+    of_ending = np.zeros(ENDINGS)
     for row in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("types")).collect():
-        unit_types[WORD_UNITS + row["ending"]] = row["types"]
-    for word, unit in units.items():
-        unit_types[WORD_UNITS + ending(word)] -= 1
-        unit_types[unit] = 1
-    unit_types[END] = ends > 0
+        of_ending[row["ending"]] = row["types"]
+    of_ending -= np.bincount(clusters.endings, minlength=ENDINGS)
+    kinds = np.bincount(clusters.classes, np.r_[np.ones(len(clusters.hashes)), of_ending, ends > 0], len(table))
     types = total["types"] + (ends > 0)
-    model = ClassModel(known, total["n"] + ends, types, ends, unit_types, bigrams.reshape(UNITS, UNITS))
-    return model, outside
+    return ClassModel(known, total["n"] + ends, types, ends, kinds, table, clusters), outside
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:

@@ -134,6 +134,50 @@ def test_exchange_never_loses_likelihood_and_finds_blocks():
     assert math.isclose(max(scores), likelihood(block), rel_tol=1e-9)
 
 
+def test_gains_equal_differences_of_likelihood():
+    rng = np.random.default_rng(4)
+    bigrams, of = rng.integers(0, 4, (12, 12)).astype(float), rng.integers(0, 3, 12)
+
+    def likelihood(of):
+        member = np.eye(3)[of]
+        return class_lm.likelihood(member.T @ bigrams @ member)
+
+    member = np.eye(3)[of]
+    own = np.diagonal(bigrams)
+    right, left = (x @ member - own[:, None] * member for x in (bigrams, bigrams.T))
+    got = class_lm.gains(member.T @ bigrams @ member, of, right, left, own)
+    for word in range(12):
+        moved = [likelihood(np.where(np.arange(12) == word, g, of)) for g in range(3)]
+        assert np.allclose(got[word] - got[word][of[word]], np.array(moved) - likelihood(of), atol=1e-6)
+
+
+def test_words_beside_the_units_are_clustered_by_their_neighbours(spark):
+    # Words of both kinds have the same ending, so that only their neighbours tell them apart.
+    rng = random.Random(1)
+    texts = []
+    for i in range(300):
+        kind, words = "ab"[i % 2], []
+        for _ in range(40):
+            words += [f"{kind}before{rng.randrange(150)}", f"{kind}{rng.randrange(500)}xyz", f"{kind}after{rng.randrange(150)}"]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, _ = class_lm.fit(docs)
+    seen = Counter(w.encode() for t in texts for w in t.split())
+    often = {w for w, n in seen.items() if n >= class_lm.MIN_COUNT}
+    classes = [Counter(model.classes_of([b"%s%dxyz" % (k, i) for i in range(500) if b"%s%dxyz" % (k, i) in often]).tolist()) for k in (b"a", b"b")]
+    mixed = sum(min(of[c] for of in classes) for c in range(class_lm.CLASSES))
+    assert mixed < 0.05 * sum(sum(of.values()) for of in classes)
+    words = [[class_lm.END, *(w.encode() for w in t.split()), class_lm.END] for t in texts]
+    table = np.zeros((model.move.shape[0],) * 2)
+    for line in words:
+        classes = [model.end_class, *model.classes_of(line[1:-1]).tolist(), model.end_class]
+        np.add.at(table, (classes[:-1], classes[1:]), 1)
+    entered = table.sum(0)
+    share = (entered + 1) / (entered.sum() + len(table))
+    prior = class_lm.TRANSITION_PRIOR
+    assert np.allclose(10**model.move, (table + prior * share) / (table.sum(1, keepdims=True) + prior))
+
+
 def test_held_out_texts_gain_on_the_base(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     held = class_lm.score_documents(docs).where("held_out").selectExpr("sum(score)", "sum(base_score)").first()
