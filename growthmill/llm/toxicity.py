@@ -25,7 +25,9 @@ TRAINING_DOCUMENTS = 1500
 TRAINING_WINDOWS = 24
 
 WINDOW = 32
-STRIDE = 24
+# Every window is scored; the training sample takes windows further apart.
+STRIDE = 1
+TRAINING_STRIDE = 24
 VOCABULARY = 8000
 MIN_DOCUMENTS = 5
 CHAR_BUCKETS = 1 << 15
@@ -49,11 +51,11 @@ def words_of(text: str) -> list[str]:
     return LABEL_WORDS.findall(text.lower())
 
 
-def window_starts(count: int) -> list[int]:
+def window_starts(count: int, stride: int = STRIDE) -> list[int]:
     """Starts of overlapping windows that cover all words; the last one ends with the last word."""
     if count <= WINDOW:
         return [0]
-    return [*range(0, count - WINDOW, STRIDE), count - WINDOW]
+    return [*range(0, count - WINDOW, stride), count - WINDOW]
 
 
 def char_grams(word: str) -> list[int]:
@@ -155,6 +157,31 @@ class Network:
     def logits(self, gates: np.ndarray, windows: np.ndarray, real: np.ndarray) -> np.ndarray:
         return self.pool(self.run(gates, windows), real)[0]
 
+    def sliding(self, gates: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Logits of all windows of ``rows``, none of which is padding, the windows side by side in every step."""
+        w, count = self.weights, len(rows) - WINDOW + 1
+        enter = np.ascontiguousarray(gates[rows].transpose(1, 2, 0))
+        # What attention sees of both states, and what they add to the logit.
+        seen = np.zeros((WINDOW, HIDDEN + 1, count), np.float32)
+        two, three = 2 * HIDDEN, 3 * HIDDEN
+        for d, order in ((0, range(WINDOW)), (1, range(WINDOW - 1, -1, -1))):
+            mine = slice(d * HIDDEN, (d + 1) * HIDDEN)
+            step = np.concatenate([w["recur"][d].T, w["look"][mine].T, w["out"][None, mine]])
+            state, before = np.zeros((HIDDEN, count), np.float32), None
+            for t in order:
+                from_state = step @ state
+                if before is not None:
+                    seen[before] += from_state[three:]
+                x = enter[d, :, t : t + count]
+                zr = sigmoid(x[:two] + from_state[:two])
+                new = np.tanh(x[two:] + zr[HIDDEN:] * from_state[two:three])
+                state = new + zr[:HIDDEN] * (state - new)
+                before = t
+            seen[before] += step[three:] @ state
+        heed = np.stack([w["heed"] @ np.tanh(s[:HIDDEN]) for s in seen])
+        heed = np.exp(heed - heed.max(axis=0))
+        return (heed * seen[:, HIDDEN]).sum(axis=0) / heed.sum(axis=0) + w["shift"]
+
     def learn(
         self, words: list[str], windows: np.ndarray, owner: np.ndarray, labels: np.ndarray, weight: float = TOXIC_WEIGHT
     ) -> tuple[dict, float]:
@@ -275,22 +302,26 @@ class Scorer:
             new = sorted(new)
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
             self.gates = np.concatenate([self.gates, self._gates(new)])
-        windows, counts = [], []
-        for words in split:
-            starts = window_starts(len(words))
-            ids = np.zeros(max(WINDOW, len(words)), np.int64)
-            ids[: len(words)] = list(map(self.rows.__getitem__, words))
-            windows.append(np.lib.stride_tricks.sliding_window_view(ids, WINDOW)[starts])
-            counts.append(len(starts))
-        rows = np.concatenate(windows)
-        logits = np.concatenate(
-            [
-                self.network.logits(self.gates, part, part > 0)
-                for part in (rows[i : i + WINDOWS_AT_ONCE] for i in range(0, len(rows), WINDOWS_AT_ONCE))
-            ]
-        )
-        first = np.r_[0, np.cumsum(counts)[:-1]]
-        return sigmoid(np.maximum.reduceat(logits, first).astype(np.float64)), counts
+        counts = [len(window_starts(len(words))) for words in split]
+        ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
+        best = np.empty(len(split))
+        short = [i for i, x in enumerate(ids) if len(x) < WINDOW]
+        for at in range(0, len(short), WINDOWS_AT_ONCE):
+            some = short[at : at + WINDOWS_AT_ONCE]
+            rows = np.stack([np.pad(ids[i], (0, WINDOW - len(ids[i]))) for i in some])
+            best[some] = self.network.logits(self.gates, rows, rows > 0)
+        long = [i for i, x in enumerate(ids) if len(x) >= WINDOW]
+        if long:
+            # One stream of all texts; windows across two of them are left out.
+            stream = np.concatenate([ids[i] for i in long])
+            windows = len(stream) - WINDOW + 1
+            logits = np.concatenate(
+                [self.network.sliding(self.gates, stream[at : at + WINDOWS_AT_ONCE + WINDOW - 1]) for at in range(0, windows, WINDOWS_AT_ONCE)]
+            )
+            first = np.cumsum([0, *(len(ids[i]) for i in long)])
+            for i, start in zip(long, first):
+                best[i] = logits[start : start + counts[i]].max()
+        return sigmoid(best), counts
 
 
 def train_network(spark: SparkSession, docs: DataFrame, sf_dir: str, allowed=None) -> Network:
@@ -307,7 +338,7 @@ def train_network(spark: SparkSession, docs: DataFrame, sf_dir: str, allowed=Non
             out = {"doc_id": ids, "windows": []}
             for text in texts:
                 words = words_of(text)
-                starts = window_starts(len(words))
+                starts = window_starts(len(words), TRAINING_STRIDE)
                 if len(starts) > TRAINING_WINDOWS:
                     starts = [starts[i] for i in np.linspace(0, len(starts) - 1, TRAINING_WINDOWS).astype(int)]
                 out["windows"].append([" ".join(words[s : s + WINDOW]) for s in starts])

@@ -243,6 +243,15 @@ def test_scores_equal_a_plain_network(awkward_rows):
         assert math.isclose(score, 1 / (1 + math.exp(-max(logits))), rel_tol=1e-3)
 
 
+def test_score_does_not_depend_on_where_a_passage_starts():
+    network = toxicity.Network(toxicity.WordInputs(["clean"]))
+    passage = [f"rude{i}" for i in range(toxicity.WINDOW)]
+    alone = toxicity.Scorer(network).scores([" ".join(passage)])[0][0]
+    for shift in range(0, 48, 5):
+        score, counts = toxicity.Scorer(network).scores([" ".join(["clean"] * shift + passage + ["clean"] * 60)])
+        assert counts == [shift + 61] and score[0] >= alone - 1e-5
+
+
 def test_training_separates_held_out_texts():
     rng = random.Random(0)
     plain, rude = [f"w{i}" for i in range(60)], ["rudeword", "vilestuff", "vilething"]
