@@ -195,6 +195,8 @@ def train_field(spark: SparkSession, docs: DataFrame, sf_dir: str) -> LineField:
     sample = labelled_sample(spark, sf_dir, "quality", TRAINING_DOCUMENTS)
     # The sample is limited, so it is small enough to send to every task.
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id")), "doc_id", "left_semi")
+    # One text of each id, however many rows repeat it.
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def make():
         def apply(ids, texts):

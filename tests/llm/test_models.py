@@ -284,6 +284,15 @@ def test_scores_of_awkward_rows(spark, awkward, awkward_rows, monkeypatch):
     )
 
 
+def test_repeated_ids_are_learnt_from_once(spark, monkeypatch):
+    docs = spark.read.parquet(f"{GIVEN}/documents.parquet").select("doc_id", "text")
+    more = docs.unionAll(docs).unionAll(docs.selectExpr("doc_id", "concat(text, ' more') AS text"))
+    monkeypatch.setattr(toxicity, "train", lambda documents: documents)
+    monkeypatch.setattr(quality_rules.LineField, "train", lambda sequences: sequences)
+    assert len(toxicity.train_network(spark, docs, GIVEN)) == len(toxicity.train_network(spark, more, GIVEN)) > 0
+    assert len(quality_rules.train_field(spark, docs, GIVEN)) == len(quality_rules.train_field(spark, more, GIVEN)) > 0
+
+
 def test_nothing(nothing):
     field = quality_rules.LineField.train([])
     network = toxicity.Network(toxicity.WordInputs([]))
