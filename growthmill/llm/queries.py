@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from growthmill.llm import class_lm, exact_copies, line_dedup, packing, quality_rules, revisits, sentence_pieces, sharding, simhash, toxicity
+from growthmill.llm import (
+    class_lm, exact_copies, filter_audit, license_index, line_dedup, packing, periodic_runs, quality_rules, revisits, sentence_pieces,
+    sharding, simhash, toxicity,
+)
 from growthmill.llm.common import table
 
 VOCABULARIES = {"pieces": "piece_bpe_32k.model", "words": "word_bpe_49k.json"}
@@ -60,6 +63,18 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("words"))
 
 
+def op11_license_index(spark, sf_dir):
+    return license_index.license_labels(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"), periodic_runs.planted_repeats)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -71,6 +86,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_sentence_pieces": op9_sentence_pieces,
     "op10_packing": op10_packing,
+    "op11_license_index": op11_license_index,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # Of equal texts the row with the largest doc_id stays; A-Z alone are lower-cased.
@@ -83,4 +101,4 @@ SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id IS NOT DISTINCT FROM g.keep_i
 FROM n JOIN g USING (body)
 """
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_copies": EXACT_COPIES_SQL, "op7_revisits": revisits.REVISITS_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_exact_copies": EXACT_COPIES_SQL, "op7_revisits": revisits.REVISITS_SQL, "op12_filter_audit": filter_audit.AUDIT_SQL}

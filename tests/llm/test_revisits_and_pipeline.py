@@ -95,7 +95,7 @@ def test_query_gives_the_expected_rows(spark, name):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
