@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthmill.functions import safe_divide_or
-from growthmill.operators.skew import flag_hot, heaviest_keys, repeat_hot, row_salt
 
 # --- Fixed values: ordered customer stages and the declared event funnels -----
 FUNNEL_STAGES = ("visitor", "lead", "mql", "sql", "opportunity", "customer")
@@ -81,59 +80,83 @@ def funnel_conversion_rates(events: DataFrame) -> DataFrame:
     )
 
 
-def _step_events(events: DataFrame, hot: DataFrame, funnels: Mapping[str, Sequence[str]], step: int) -> DataFrame:
-    """Events that are step ``step`` of a funnel, once per such funnel, with the salt of their user."""
-    at_step = [(names[step], name) for name, names in funnels.items() if len(names) > step]
-    matches = F.array_compact(F.array(*[F.when(F.col("event_name") == e, F.lit(f)) for e, f in at_step]))
-    wanted = events.filter(F.col("event_name").isin(*{event for event, _ in at_step}))
-    salt = F.when(F.col("_hot"), row_salt(wanted)).otherwise(F.lit(0))
-    return flag_hot(wanted, hot, ["distinct_id"]).select(
-        "distinct_id", "_hot", salt.alias("_salt"), "event_timestamp", F.explode(matches).alias("funnel_name")
-    )
+def _transitions(marks: Column, steps: Sequence[int]) -> Column:
+    """The transition table of one bucket for one funnel: at place s, the times of the steps reached by a user who enters with s.
+
+    ``marks`` are a bucket's (time, event number) pairs in order, ``steps`` the event numbers of the funnel. The next step
+    counts from the first mark later than the step before it; every earlier bucket lies before all marks.
+    """
+
+    def entering(s: int) -> Column:
+        none = F.array().cast("array<timestamp>")
+
+        def follow(times: Column, mark: Column) -> Column:
+            position = F.size(times)
+            wanted = F.get(F.array(*[F.lit(k) for k in steps[s:]]), position)
+            later = (position == 0) | (mark["event_timestamp"] > F.get(times, position - 1))
+            return F.when((mark["event"] == wanted) & later, F.concat(times, F.array(mark["event_timestamp"]))).otherwise(times)
+
+        return F.aggregate(marks, none, follow)
 
+    return F.array(*[entering(s) for s in range(len(steps))])
 
-def _reached_times(events: DataFrame, funnels: Mapping[str, Sequence[str]], depth: int) -> DataFrame:
-    """One row per user and funnel with the time ``t<i>`` each step was reached; null if it was not.
 
-    Every step joins its events once to the times so far and keeps the earliest later one, a
-    minimum with partial results. Events of the busiest users are spread over salts, and their
-    few time rows repeated per salt.
+def _reached_times(events: DataFrame, funnels: Mapping[str, Sequence[str]], bucket: str) -> DataFrame:
+    """One row per user and funnel with ``times``, when each step was reached, up to the last reached one.
+
+    A user's time line is cut into buckets, and each bucket becomes a table of transitions, which needs nothing from other buckets. Tables
+    compose in the order of time: the step one leaves with is the step the next is entered with. So a busy user is
+    worked on in as many tasks as there are buckets, and only the tables of the user come together. A bucket holds each pair of
+    moment and event once, however often it occurs.
     """
-    narrow = events.select("distinct_id", "event_name", "event_timestamp")
-    hot = heaviest_keys(narrow, ["distinct_id"])
-    user = ["distinct_id", "funnel_name"]
-    first = _step_events(narrow, hot, funnels, 0)
-    reached = first.groupBy(*user, "_hot").agg(F.min("event_timestamp").alias("t0"))
-    for i in range(1, depth):
-        later = _step_events(narrow, hot, funnels, i).drop("_hot")
-        before = repeat_hot(reached)
-        same_user = [before[c] == later[c] for c in (*user, "_salt")]
-        joined = before.join(later, [*same_user, later["event_timestamp"] > before[f"t{i - 1}"]], "left")
-        times = [F.min(f"t{j}").alias(f"t{j}") for j in range(i)]
-        reached = joined.groupBy(*[before[c] for c in (*user, "_hot")]).agg(
-            *times, F.min("event_timestamp").alias(f"t{i}")
+    numbers = {event: k for k, event in enumerate(dict.fromkeys(e for names in funnels.values() for e in names))}
+    number = F.create_map(*[F.lit(x) for pair in numbers.items() for x in pair])[F.col("event_name")]
+    marks = F.array_sort(F.collect_set(F.struct("event_timestamp", number.alias("event"))))
+    # A user without an id stays at the first step: rows without an id are not one user.
+    known = F.col("distinct_id").isNotNull()
+    buckets = (
+        events.filter(F.col("event_name").isin(*numbers) & F.col("event_timestamp").isNotNull())
+        .groupBy("distinct_id", F.date_trunc(bucket, "event_timestamp").alias("bucket"))
+        .agg(marks.alias("marks"))
+        .select(
+            "distinct_id",
+            "bucket",
+            F.array(*[_transitions(F.col("marks"), [numbers[e] for e in names]) for names in funnels.values()]).alias("tables"),
         )
-    return reached
+    )
+    lines = buckets.groupBy("distinct_id").agg(F.array_sort(F.collect_list(F.struct("bucket", "tables"))).alias("line"))
+
+    def composed(place: int) -> Column:
+        def after(times: Column, one: Column) -> Column:
+            step = F.get(F.get(one["tables"], F.lit(place)), F.size(times))
+            return F.concat(times, F.coalesce(step, F.array().cast("array<timestamp>")))
+
+        return F.aggregate("line", F.array().cast("array<timestamp>"), after)
+
+    rows = [F.struct(F.lit(name).alias("funnel_name"), composed(k).alias("times")) for k, name in enumerate(funnels)]
+    times = F.when(known, F.col("times")).otherwise(F.slice("times", 1, 1))
+    return lines.select("distinct_id", F.inline(F.array(*rows))).select("distinct_id", "funnel_name", times.alias("times"))
 
 
 def event_funnel_steps(
-    events: DataFrame, funnels: Mapping[str, Sequence[str]] = EVENT_FUNNELS
+    events: DataFrame, funnels: Mapping[str, Sequence[str]] = EVENT_FUNNELS, bucket: str = "hour"
 ) -> DataFrame:
     """Users per ordered step of each funnel, with rates and mean seconds from the step before.
 
-    A user reaches step i with the first such event after the moment step i-1 was reached.
+    A user reaches step i with the first such event after the moment step i-1 was reached. Events are read once and
+    shuffled once, whatever the number of steps; a second shuffle brings the transition tables of a user's buckets together.
     """
     depth = max(len(names) for names in funnels.values())
 
     def gap(i: int) -> Column:
-        micros = F.unix_micros(F.col(f"t{i}")) - F.unix_micros(F.col(f"t{i - 1}"))
+        micros = F.unix_micros(F.get("times", F.lit(i))) - F.unix_micros(F.get("times", F.lit(i - 1)))
         return F.avg(micros.cast("double") / 1_000_000.0)
 
     totals = (
-        _reached_times(events, funnels, depth)
+        _reached_times(events, funnels, bucket)
         .groupBy("funnel_name")
         .agg(
-            F.array(*[F.count(f"t{i}") for i in range(depth)]).alias("users_at"),
+            F.array(*[F.count(F.get("times", F.lit(i))) for i in range(depth)]).alias("users_at"),
             F.array(F.lit(None).cast("double"), *[gap(i) for i in range(1, depth)]).alias("seconds_at"),
         )
     )

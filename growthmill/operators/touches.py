@@ -112,43 +112,64 @@ def channel_credit_report(touches: DataFrame) -> DataFrame:
     )
 
 
+def _latest_tags(events: DataFrame, is_conversion: Column, coarse: str, fine: str) -> DataFrame:
+    """``distinct_id``, ``event_timestamp`` and ``touch``, the latest tag up to then, for all moments with a conversion.
+
+    An index of prefix maxima on three levels. Events are first reduced, with partial results, to the greatest tag of each
+    user and moment. Then every moment finds the greatest tag up to it in its ``fine`` bucket, every fine bucket
+    the greatest before it in its ``coarse`` bucket, and every coarse bucket the greatest before it. A window so holds the
+    moments of a second, the seconds of an hour or the hours of a user, never the events of one.
+    """
+    user = "distinct_id"
+    tag = F.when(
+        F.col("utm_campaign").isNotNull(), F.struct("event_timestamp", "event_id", "utm_source", "utm_medium", "utm_campaign")
+    )
+    keys = [user, "coarse", "fine", "event_timestamp"]
+    # The last condition holds for every moment; with it all three levels need the same columns and share one shuffle.
+    moments = (
+        events.withColumns({"coarse": F.date_trunc(coarse, "event_timestamp"), "fine": F.date_trunc(fine, "event_timestamp")})
+        .dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(F.max(tag).alias("tag"), F.max(is_conversion).alias("converts"))
+        .filter(F.col("tag").isNotNull() | F.col("converts"))
+    )
+    fine_rows = moments.groupBy(user, "coarse", "fine").agg(F.max("tag").alias("tag"))
+    coarse_rows = fine_rows.groupBy(user, "coarse").agg(F.max("tag").alias("tag"))
+
+    def before(*keys: str, order: str) -> Column:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.max("tag").over(earlier)
+
+    so_far = Window.partitionBy(user, "coarse", "fine").orderBy("event_timestamp")
+    within = moments.withColumn("near", F.max("tag").over(so_far)).filter("converts")
+    in_coarse = fine_rows.select(user, "coarse", "fine", before(user, "coarse", order="fine").alias("carried"))
+    in_user = coarse_rows.select(user, "coarse", before(user, order="coarse").alias("brought"))
+    return (
+        within.join(in_coarse, [user, "coarse", "fine"], "left")
+        .join(in_user, [user, "coarse"], "left")
+        .select(user, "event_timestamp", F.coalesce("near", "carried", "brought").alias("touch"))
+    )
+
+
 def asof_utm_attribution(
     events: DataFrame,
     conversion_events: Sequence[str] = ("Order Completed",),
     days: int = 30,
     bucket: str = "hour",
+    fine_bucket: str = "second",
 ) -> DataFrame:
     """Latest UTM-tagged event at or before each conversion, not older than ``days`` days.
 
-    The time line of a user is cut into buckets. The latest tag inside a bucket comes from a
-    window over that bucket only; the latest tag before it comes from one summary row per
-    bucket. No task holds all the events of a user, however busy the user is.
+    Tags are looked up per user and moment (see ``_latest_tags``) and joined to the conversions. Tags of one
+    moment are settled by the greatest event id. A conversion without a user or time has no touch.
     """
-    tag = F.when(
-        F.col("utm_campaign").isNotNull(),
-        F.struct("event_timestamp", "event_id", "utm_source", "utm_medium", "utm_campaign"),
-    )
     is_conversion = F.col("event_name").isin(*conversion_events)
-    relevant = events.filter(is_conversion | F.col("utm_campaign").isNotNull()).select(
-        "distinct_id",
-        "event_id",
-        "event_name",
-        "event_timestamp",
-        F.date_trunc(bucket, "event_timestamp").alias("bucket"),
-        tag.alias("tag"),
-    )
-    so_far = Window.partitionBy("distinct_id", "bucket").orderBy("event_timestamp")
-    conversions = relevant.withColumn("near", F.max("tag").over(so_far)).filter(is_conversion)
-
-    earlier = Window.partitionBy("distinct_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        relevant.groupBy("distinct_id", "bucket")
-        .agg(F.max("tag").alias("last_tag"))
-        .select("distinct_id", "bucket", F.max("last_tag").over(earlier).alias("carried"))
-    )
-    touch = F.coalesce("near", "carried")
+    columns = ["distinct_id", "event_id", "event_name", "event_timestamp", "utm_source", "utm_medium", "utm_campaign"]
+    relevant = events.filter(is_conversion | F.col("utm_campaign").isNotNull()).select(*columns)
+    conversions = relevant.filter(is_conversion).select("distinct_id", "event_id", "event_name", "event_timestamp")
+    touches = _latest_tags(relevant, is_conversion, bucket, fine_bucket)
+    joined = conversions.join(touches, ["distinct_id", "event_timestamp"], "left")
     in_time = F.col("event_timestamp") <= F.col("touch.event_timestamp") + F.make_dt_interval(F.lit(days))
-    joined = conversions.join(carried, ["distinct_id", "bucket"], "left").withColumn("touch", touch)
 
     def touched(field: str) -> Column:
         return F.when(in_time, F.col(f"touch.{field}"))

@@ -1,6 +1,8 @@
 """Touch models and event funnels against plain Python on small random frames."""
 
+import itertools
 import random
+import re
 from collections import defaultdict
 from datetime import datetime, timedelta
 
@@ -152,12 +154,11 @@ def test_asof_attribution(spark, event_rows, bucket):
     assert got == expected
 
 
-@pytest.mark.parametrize("hot_keys", [10**6, 1])
-def test_event_funnels(spark, event_rows, hot_keys, monkeypatch):
-    monkeypatch.setattr(funnel, "heaviest_keys", lambda df, keys: __import__("growthmill.operators.skew", fromlist=["x"]).heaviest_keys(df, keys, hot_keys))
+@pytest.mark.parametrize("bucket", ["minute", "hour", "month"])
+def test_event_funnels(spark, event_rows, bucket):
     got = {
         (r.funnel_name, r.step_index): (r.users, r.avg_seconds_from_previous)
-        for r in funnel.event_funnel_steps(spark.createDataFrame(event_rows, EVENT)).collect()
+        for r in funnel.event_funnel_steps(spark.createDataFrame(event_rows, EVENT), bucket=bucket).collect()
     }
     per_user = defaultdict(list)
     for user, _, name, at, _ in event_rows:
@@ -178,6 +179,59 @@ def test_event_funnels(spark, event_rows, hot_keys, monkeypatch):
             reached = now
 
 
+def test_event_funnels_without_ids_or_times(spark):
+    at = datetime(2024, 1, 1)
+    rows = [(None, "e1", "Page Viewed", at, None), (None, "e2", "Signed Up", at + timedelta(hours=1), None), ("u", "e3", "Page Viewed", None, None)]
+    got = {(r.funnel_name, r.step_index): r.users for r in funnel.event_funnel_steps(spark.createDataFrame(rows, EVENT)).collect()}
+    assert got["acquisition_funnel", 0] == 1 and got["acquisition_funnel", 1] == 0
+    none = funnel.event_funnel_steps(spark.createDataFrame([], EVENT)).collect()
+    assert {r.users for r in none} == {0}
+
+
+def test_event_funnels_shuffle_twice(spark, event_rows, tmp_path):
+    spark.createDataFrame(event_rows, EVENT).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    text = funnel.event_funnel_steps(events)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and "Window" not in text
+    shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning(distinct_id" in line]
+    assert len(shuffles) == 2
+    # The rest: totals per funnel, and the list of declared steps.
+    assert text.count("Exchange hashpartitioning") == 3
+
+
+def test_asof_of_one_user_and_one_second(spark, tmp_path):
+    """A user holds two thirds of all rows, most in one second; others share a second at different moments."""
+    second = datetime(2024, 1, 1, 10, 0, 5)
+    draw = random.Random(3)
+    rows = [("hot", f"h{i:04d}", draw.choice(["Order Completed", "Page Viewed"]), second, draw.choice(["x", None])) for i in range(600)]
+    for i in range(300):
+        at = second.replace(microsecond=draw.randrange(5)) + timedelta(seconds=draw.randrange(3) - 1, hours=draw.choice([0, 0, 1]))
+        rows.append((draw.choice(["a", "b", "hot", None]), f"o{i:04d}", draw.choice(["Order Completed", "Page Viewed"]), at, draw.choice(["y", None])))
+    rows.append(("a", "late", "Order Completed", None, None))
+    spark.createDataFrame(rows, EVENT).withColumns({"utm_source": F.lit("s"), "utm_medium": F.lit("m")}).write.parquet(str(tmp_path / "e"))
+    df = touches.asof_utm_attribution(spark.read.parquet(str(tmp_path / "e")))
+    expected = {}
+    for user, event_id, name, at, _ in rows:
+        if name == "Order Completed":
+            tags = [(t, e) for u, e, _, t, c in rows if None not in (user, at, t, c) and u == user and t <= at]
+            expected[event_id] = max(tags)[1] if tags else None
+    assert {r.conversion_id: r.touch_event_id for r in df.collect()} == expected
+    assert len(set(expected.values())) > 5
+
+
+def test_asof_windows_hold_no_raw_events(spark, tmp_path):
+    spark.createDataFrame([], EVENT).withColumns({"utm_source": F.lit("s"), "utm_medium": F.lit("m")}).write.parquet(str(tmp_path / "e"))
+    events = spark.read.parquet(str(tmp_path / "e"))
+    text = touches.asof_utm_attribution(events)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-*|")) for line in text]
+    windows = [k for k, line in enumerate(text) if re.search(r"\bWindow \[", line)]
+    assert len(windows) == 3
+    for k in windows:
+        # Below every window, before the scan, the events are aggregated.
+        below = list(itertools.takewhile(lambda j: depth[j] > depth[k], range(k + 1, len(text))))
+        assert any(re.search(r"Aggregate\(keys?=\[distinct_id", text[j]) for j in below)
+
+
 def test_stage_funnel_edges(spark):
     df = spark.createDataFrame(
         [(1, "visitor"), (1, "mql"), (2, "customer"), (3, "mystery"), (4, None), (None, "lead"), (5, "lead")],
