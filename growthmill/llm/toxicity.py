@@ -3,8 +3,9 @@
 Every word enters as the embedding of the word, where the training sample knows it, beside the mean embedding of
 its character sequences. A forward and a backward recurrent network read windows of words that overlap; attention
 pools their states into the logit of the window. A document is as toxic as its most toxic window. Trained in
-numpy on windows of a bounded sample of labelled documents: a document's probability is that of
-any of its windows being toxic.
+numpy on whole texts of a bounded sample of labelled documents: in every round the network scores all their windows and learns
+from the most toxic ones of each document beside some drawn at random. A document's probability
+is that of any of these windows being toxic.
 """
 
 from __future__ import annotations
@@ -20,14 +21,15 @@ from pyspark.sql import functions as F
 
 from growthmill.llm.common import keep_rows, labelled_sample, map_texts, table
 
-# Bounds of the training sample: labelled documents of each class, and evenly spaced windows of each document.
+# Bound of the training sample: labelled documents of each class, with their whole texts.
 TRAINING_DOCUMENTS = 1500
-TRAINING_WINDOWS = 24
+# Windows of a document that a round learns from: the most toxic of all its windows so far, and some at random.
+HARD_WINDOWS = 2
+RANDOM_WINDOWS = 40
 
-WINDOW = 32
-# Every window is scored; the training sample takes windows further apart.
+WINDOW = 8
+# Every window is scored.
 STRIDE = 1
-TRAINING_STRIDE = 24
 VOCABULARY = 8000
 MIN_DOCUMENTS = 5
 CHAR_BUCKETS = 1 << 15
@@ -237,16 +239,26 @@ class Network:
         return grads, float(loss)
 
 
-def train(documents: list[tuple[list[list[str]], int]], epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Network:
-    """Fit the network to documents given as (windows of words, label), with Adam.
+def chosen_windows(rng: np.random.Generator, logits: np.ndarray | None, count: int) -> np.ndarray:
+    """Windows, out of ``count``, to learn from: those of greatest logit, once there are logits, and random ones."""
+    some = rng.choice(count, min(count, RANDOM_WINDOWS if logits is not None else RANDOM_WINDOWS + HARD_WINDOWS), replace=False)
+    if logits is None:
+        return some
+    hard = np.argpartition(-logits, HARD_WINDOWS)[:HARD_WINDOWS] if count > HARD_WINDOWS else np.arange(count)
+    return np.union1d(some, hard)
 
-    All documents are gone through ``epochs`` times, and more often where that makes fewer than ``LEAST_STEPS`` steps.
+
+def train(documents: list[tuple[list[str], int]], epochs: int = 5, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Network:
+    """Fit the network to documents given as (words, label), with Adam.
+
+    All documents are gone through ``epochs`` times, and more often where that makes fewer than ``LEAST_STEPS`` steps. Before
+    each round but the first all windows of all of them are scored, to find the ones to learn from.
     """
     toxic = sum(label for _, label in documents)
     weight = TOXIC_WEIGHT * (len(documents) - toxic) / max(1, toxic)
     steps = -(-len(documents) // batch)
     epochs = max(epochs, -(-LEAST_STEPS // steps)) if documents else 0
-    found = Counter(w for windows, _ in documents for w in {w for window in windows for w in window})
+    found = Counter(w for words, _ in documents for w in set(words))
     known = sorted((w for w, n in found.items() if n >= MIN_DOCUMENTS), key=lambda w: (-found[w], w))[:VOCABULARY]
     network = Network(WordInputs(known), seed)
     rng = np.random.default_rng(seed)
@@ -255,8 +267,14 @@ def train(documents: list[tuple[list[list[str]], int]], epochs: int = 5, batch:
     step = 0
     for epoch in range(epochs):
         order = rng.permutation(len(documents))
+        logits = Scorer(network).logits([words for words, _ in documents]) if epoch else [None] * len(documents)
         for at in range(0, len(order), batch):
-            chosen = [documents[i] for i in order[at : at + batch]]
+            chosen = []
+            for i in order[at : at + batch]:
+                text, label = documents[i]
+                starts = window_starts(len(text))
+                picked = chosen_windows(rng, logits[i], len(starts))
+                chosen.append(([text[starts[k] : starts[k] + WINDOW] for k in picked], label))
             words = ["", *sorted({w for windows, _ in chosen for window in windows for w in window})]
             row = {w: i for i, w in enumerate(words)}
             owner = np.repeat(np.arange(len(chosen)), [len(windows) for windows, _ in chosen])
@@ -293,7 +311,11 @@ class Scorer:
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """Score and number of windows of each text."""
-        split = [words_of(t) for t in texts]
+        logits = self.logits([words_of(t) for t in texts])
+        return sigmoid(np.array([of.max() for of in logits])), [len(of) for of in logits]
+
+    def logits(self, split: list[list[str]]) -> list[np.ndarray]:
+        """Logits of all windows of each text, given as its words."""
         new = set(chain.from_iterable(split)).difference(self.rows)
         if len(self.rows) + len(new) > MEMORY_WORDS:
             self.forget()
@@ -304,12 +326,13 @@ class Scorer:
             self.gates = np.concatenate([self.gates, self._gates(new)])
         counts = [len(window_starts(len(words))) for words in split]
         ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
-        best = np.empty(len(split))
+        out: list = [None] * len(split)
         short = [i for i, x in enumerate(ids) if len(x) < WINDOW]
         for at in range(0, len(short), WINDOWS_AT_ONCE):
             some = short[at : at + WINDOWS_AT_ONCE]
             rows = np.stack([np.pad(ids[i], (0, WINDOW - len(ids[i]))) for i in some])
-            best[some] = self.network.logits(self.gates, rows, rows > 0)
+            for i, logit in zip(some, self.network.logits(self.gates, rows, rows > 0)):
+                out[i] = np.array([logit])
         long = [i for i, x in enumerate(ids) if len(x) >= WINDOW]
         if long:
             # One stream of all texts; windows across two of them are left out.
@@ -320,12 +343,12 @@ class Scorer:
             )
             first = np.cumsum([0, *(len(ids[i]) for i in long)])
             for i, start in zip(long, first):
-                best[i] = logits[start : start + counts[i]].max()
-        return sigmoid(best), counts
+                out[i] = logits[start : start + counts[i]]
+        return out
 
 
 def train_network(spark: SparkSession, docs: DataFrame, sf_dir: str, allowed=None) -> Network:
-    """Fit to ``TRAINING_DOCUMENTS`` labelled documents of each class at most, ``TRAINING_WINDOWS`` windows of each.
+    """Fit to the whole texts of ``TRAINING_DOCUMENTS`` labelled documents of each class at most.
 
     ``allowed`` limits the labelled ids. Without labelled documents the network stays as initialised, near a score of 0.27.
     """
@@ -336,22 +359,11 @@ def train_network(spark: SparkSession, docs: DataFrame, sf_dir: str, allowed=Non
     chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def make():
-        def apply(ids, texts):
-            out = {"doc_id": ids, "windows": []}
-            for text in texts:
-                words = words_of(text)
-                starts = window_starts(len(words), TRAINING_STRIDE)
-                if len(starts) > TRAINING_WINDOWS:
-                    starts = [starts[i] for i in np.linspace(0, len(starts) - 1, TRAINING_WINDOWS).astype(int)]
-                out["windows"].append([" ".join(words[s : s + WINDOW]) for s in starts])
-            return out
-
-        return apply
+        return lambda ids, texts: {"doc_id": ids, "words": [words_of(text) for text in texts]}
 
-    rows = map_texts(chosen, ["doc_id", "text"], make, "doc_id long, windows array<string>").collect()
+    rows = map_texts(chosen, ["doc_id", "text"], make, "doc_id long, words array<string>").collect()
     label = {r["doc_id"]: r["label"] for r in sample.collect()}
-    rows = sorted((r["doc_id"], r["windows"]) for r in rows)
-    return train([([w.split() for w in windows], label[doc_id]) for doc_id, windows in rows])
+    return train([(r["words"], label[r["doc_id"]]) for r in sorted(rows, key=lambda r: r["doc_id"])])
 
 
 def score_documents(docs: DataFrame, network: Network) -> DataFrame:

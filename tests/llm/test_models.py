@@ -263,14 +263,25 @@ def test_training_separates_held_out_texts():
         return words
 
     documents = [(document(i % 2), i % 2) for i in range(300)]
-    windows = [([w[s : s + toxicity.WINDOW] for s in toxicity.window_starts(len(w))], y) for w, y in documents]
-    scorer = toxicity.Scorer(toxicity.train(windows))
+    scorer = toxicity.Scorer(toxicity.train(documents))
     test = [(document(i % 2), i % 2) for i in range(200)]
     scores, _ = scorer.scores([" ".join(w) for w, _ in test])
     right = sum((s >= toxicity.THRESHOLD) == bool(y) for s, (_, y) in zip(scores, test))
     assert right >= 190
 
 
+def test_windows_to_learn_from_are_the_most_toxic_and_random_ones():
+    rng = np.random.default_rng(3)
+    few = toxicity.HARD_WINDOWS + toxicity.RANDOM_WINDOWS
+    assert sorted(toxicity.chosen_windows(rng, None, 3)) == [0, 1, 2]
+    assert len(toxicity.chosen_windows(rng, None, 1000)) == few
+    logits = np.zeros(1000)
+    logits[[17, 998]] = 5.0
+    picked = toxicity.chosen_windows(rng, logits, 1000)
+    assert {17, 998} <= set(picked) and len(picked) <= few
+    assert sorted(toxicity.chosen_windows(rng, logits[:2], 2)) == [0, 1]
+
+
 def test_scores_of_awkward_rows(spark, awkward, awkward_rows, monkeypatch):
     monkeypatch.setattr(toxicity, "LEAST_STEPS", 20)
     network = toxicity.train_network(spark, awkward, GIVEN, ~toxicity.held_out())
