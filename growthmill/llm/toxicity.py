@@ -166,18 +166,33 @@ class Network:
         # What attention sees of both states, and what they add to the logit.
         seen = np.zeros((WINDOW, HIDDEN + 1, count), np.float32)
         two, three = 2 * HIDDEN, 3 * HIDDEN
+        # sigmoid(x) is half of tanh(x / 2), moved up by a half; the first halving is done once for all windows.
+        enter[:, :two] *= 0.5
         for d, order in ((0, range(WINDOW)), (1, range(WINDOW - 1, -1, -1))):
             mine = slice(d * HIDDEN, (d + 1) * HIDDEN)
             step = np.concatenate([w["recur"][d].T, w["look"][mine].T, w["out"][None, mine]])
-            state, before = np.zeros((HIDDEN, count), np.float32), None
+            step[:two] *= 0.5
+            state, before = None, None
             for t in order:
-                from_state = step @ state
-                if before is not None:
-                    seen[before] += from_state[three:]
                 x = enter[d, :, t : t + count]
-                zr = sigmoid(x[:two] + from_state[:two])
-                new = np.tanh(x[two:] + zr[HIDDEN:] * from_state[two:three])
-                state = new + zr[:HIDDEN] * (state - new)
+                if state is None:
+                    # From a state of zeros only the word counts.
+                    keep = 0.5 - 0.5 * np.tanh(x[:HIDDEN])
+                    state = keep * np.tanh(x[two:])
+                else:
+                    from_state = step @ state
+                    seen[before] += from_state[three:]
+                    zr = x[:two] + from_state[:two]
+                    np.tanh(zr, out=zr)
+                    zr *= 0.5
+                    zr += 0.5
+                    new = from_state[two:three]
+                    new *= zr[HIDDEN:]
+                    new += x[two:]
+                    np.tanh(new, out=new)
+                    state -= new
+                    state *= zr[:HIDDEN]
+                    state += new
                 before = t
             seen[before] += step[three:] @ state
         heed = np.stack([w["heed"] @ np.tanh(s[:HIDDEN]) for s in seen])
