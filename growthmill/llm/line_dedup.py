@@ -28,6 +28,8 @@ FILTER_BITS = 26
 # Lines of a key compared in one task; beyond it a key is dealt out in pairs of tiles.
 TILE = 2048
 HELD_ROWS = 1_000_000
+# Line lengths whose cuts a task remembers.
+KNOWN_LENGTHS = 4096
 PAIRS_AT_ONCE = 1 << 18
 SEED = 42
 
@@ -137,8 +139,9 @@ class LineKeys:
     def __init__(self, min_chars: int, edits: int):
         from xxhash import xxh64_intdigest
 
-        self.digest, self.key_of = xxh64_intdigest, hasher()
+        self.digest = xxh64_intdigest
         self.min_chars, self.edits, self.seen = min_chars, edits, set()
+        self.known: dict[int, tuple[list, list]] = {}
 
     def __call__(self, ids, texts):
         keys, lines = [], []
@@ -158,15 +161,26 @@ class LineKeys:
         return {"key": np.array(keys, np.uint64).view(np.int64), "line": np.array(lines, np.uint64).view(np.int64)}
 
     def keys(self, line: str) -> tuple[set[int], set[int]]:
-        mine, key_of, edits = len(line), self.key_of, self.edits
-        index = {key_of(mine, i, line[s : s + n]) for i, (s, n) in enumerate(segments(mine, edits))}
-        probe = {
-            key_of(length, i, line[at : at + n])
-            for length in range(max(self.min_chars, mine - edits), mine + 1)
-            for i, (s, n) in enumerate(segments(length, edits))
-            for at in probe_starts(i, s, n, length, mine, edits)
-        }
-        return index, probe
+        digest = self.digest
+        return tuple(
+            {digest((prefix + line[start:end]).encode("utf-8", "replace"), SEED) for prefix, start, end in of}
+            for of in self.cuts(len(line))
+        )
+
+    def cuts(self, mine: int) -> tuple[list, list]:
+        """Index and probe cuts of a line of ``mine`` characters as (key prefix, start, end), remembered per length."""
+        if mine not in self.known:
+            if len(self.known) >= KNOWN_LENGTHS:
+                self.known.clear()
+            index = [(f"{mine} {i} ", s, s + n) for i, (s, n) in enumerate(segments(mine, self.edits))]
+            probe = [
+                (f"{length} {i} ", at, at + n)
+                for length in range(max(self.min_chars, mine - self.edits), mine + 1)
+                for i, (s, n) in enumerate(segments(length, self.edits))
+                for at in probe_starts(i, s, n, length, mine, self.edits)
+            ]
+            self.known[mine] = index, probe
+        return self.known[mine]
 
 
 def met_keys(rows: DataFrame, parts: int) -> DataFrame:
