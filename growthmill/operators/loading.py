@@ -373,7 +373,8 @@ def run_load(
 ) -> DataFrame:
     """Transform and load one source and return its run-log row; a failure is logged, not raised.
 
-    Row counts are observed while ``load`` writes the rows, so they cost no extra pass; it must run the frame once.
+    Row counts are observed while ``load`` writes the rows, so they cost no extra pass; it must run the frame once. After a
+    failure the source is counted by itself; the count is null if the source cannot be read.
     """
     spark = rows.sparkSession
     seen, kept = Observation(), Observation()
@@ -387,5 +388,13 @@ def run_load(
         extracted, loaded = seen.get["rows"], kept.get["rows"]
     except Exception as failure:
         error = str(failure)
-        extracted = rows.count()
+        extracted = _readable_rows(rows)
     return spark.createDataFrame([(source, extracted, loaded, error is None, error)], RUN_LOG)
+
+
+def _readable_rows(rows: DataFrame) -> int | None:
+    """Rows of a source whose load failed; null if the source cannot be read either."""
+    try:
+        return rows.count()
+    except Exception:
+        return None

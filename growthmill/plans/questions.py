@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthmill.functions import channel_utm, safe_divide, spend_channel
+from growthmill.operators.skew import join_key_table
 from growthmill.operators.touches import asof_utm_attribution, channel_credit_report
 from growthmill.plans.marketing import performance_tier
 
@@ -81,14 +82,31 @@ def campaign_user_actions(daily_events: DataFrame) -> DataFrame:
 
 
 def purchase_predictors(events: DataFrame) -> DataFrame:
-    """How often users who did, and did not do, an action went on the list of buyers."""
+    """How often users who did, and did not do, an action before their first purchase went on the list of buyers.
+
+    Only actions earlier than the user's first purchase count; without a purchase all do. Actions are counted per user and
+    moment before they meet the purchases. Rows without a user are never matched to a purchase.
+    """
+    user = "distinct_id"
+    purchase = F.col("event_name") == PURCHASE
+    marks = events.groupBy(user).agg(F.count_if(purchase).alias("bought"))
+    first = events.filter(purchase & F.col(user).isNotNull()).groupBy(user).agg(F.min("event_timestamp").alias("first_purchase"))
+    actions = (
+        events.filter(F.col("event_name").isin(*PREDICTORS)).groupBy(user, "event_name", "event_timestamp").agg(F.count(F.lit(1)).alias("n"))
+    )
+    before = join_key_table(actions, first, [user]).filter(
+        F.col("first_purchase").isNull() | (F.col("event_timestamp") < F.col("first_purchase"))
+    )
 
-    def happened(name: str):
-        return F.count_if(F.col("event_name") == name)
+    def acted(name: str) -> Column:
+        return F.when(F.col("event_name") == name, F.col("n")).otherwise(F.lit(0).cast("bigint"))
 
-    per_user = events.groupBy("distinct_id").agg(
-        happened(PURCHASE).alias("bought"), *[happened(p).alias(f"p{i}") for i, p in enumerate(PREDICTORS)]
+    names = [f"p{i}" for i in range(len(PREDICTORS))]
+    none = F.lit(0).cast("bigint")
+    parts = marks.select(user, "bought", *[none.alias(n) for n in names]).unionAll(
+        before.select(user, none.alias("bought"), *[acted(p).alias(n) for n, p in zip(names, PREDICTORS)])
     )
+    per_user = parts.groupBy(user).agg(*[F.sum(c).alias(c) for c in ("bought", *names)])
     buyer = F.col("bought") > 0
     totals = []
     for i in range(len(PREDICTORS)):

@@ -208,3 +208,9 @@ def test_salted_join_equals_the_plain_join(spark, how, hot_keys):
     got = skew.join_key_table(left, right, ["k"], how, skew.heaviest_keys(left, ["k"], hot_keys))
     expected = left.join(right, "k", how)
     assert sorted(map(repr, got.select("k", "v", "name").collect())) == sorted(map(repr, expected.select("k", "v", "name").collect()))
+
+
+def test_a_source_that_cannot_be_read_is_logged(spark):
+    unreadable = spark.createDataFrame([("x",), ("1",)], "v string").filter("cast(v AS int) > 0")
+    log = loading.run_load("stub", unreadable, lambda df: df.collect()).first()
+    assert (log.rows_extracted, log.rows_loaded, log.success) == (None, 0, False) and log.error

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from growthmill.operators import funnel, touches
+from growthmill.plans import questions
 
 TOUCH = (
     "customer_id bigint, touch_id bigint, session_date timestamp, channel string, source string, medium string, "
@@ -232,6 +233,23 @@ def test_asof_windows_hold_no_raw_events(spark, tmp_path):
         assert any(re.search(r"Aggregate\(keys?=\[distinct_id", text[j]) for j in below)
 
 
+def test_predictors_count_only_actions_before_the_first_purchase(spark):
+    at = datetime(2024, 1, 1)
+    rows = [
+        (user, f"e{i}", name, at + timedelta(hours=hour), None)
+        for i, (user, name, hour) in enumerate(
+            [
+                ("a", "Add to Cart", 1), ("a", "Order Completed", 2), ("a", "Add to Cart", 3), ("b", "Order Completed", 1),
+                ("b", "Add to Cart", 2), ("c", "Add to Cart", 1), ("c", "Add to Cart", 1), ("d", "Order Completed", 4), ("d", "Add to Cart", 4),
+                (None, "Order Completed", 1), (None, "Add to Cart", 9),
+            ]
+        )
+    ]
+    got = {r.action: r for r in questions.purchase_predictors(spark.createDataFrame(rows, EVENT)).collect()}
+    cart = got["Add to Cart"]
+    assert (cart.event_count, cart.users_did, cart.users_did_bought, cart.users_did_not, cart.users_did_not_bought) == (4, 3, 2, 2, 2)
+
+
 def test_stage_funnel_edges(spark):
     df = spark.createDataFrame(
         [(1, "visitor"), (1, "mql"), (2, "customer"), (3, "mystery"), (4, None), (None, "lead"), (5, "lead")],

@@ -1202,6 +1202,18 @@ def _(m):
     )
 
 
+@register(
+    "run_metrics_failed",
+    """SELECT 'google_ads' AS source, CAST(NULL AS BIGINT) AS rows_extracted, CAST(0 AS BIGINT) AS rows_loaded, false AS success,
+       count(*) > 0 AS has_error FROM raw_google_ads""",
+)
+def _(m):
+    path = m.work("failed-run")
+    unreadable = m.raw("raw_google_ads").filter(F.concat(F.lit("x"), F.col("campaign_id").cast("string")).cast("int") > 0)
+    log = loading.run_load("google_ads", unreadable, lambda rows: loading.write_table(rows, path, "overwrite", "date"))
+    return log.withColumn("has_error", F.col("error").isNotNull()).drop("error")
+
+
 # --- Quality checks, monitors and column tests --------------------------------------------
 
 CHECK_SQL = {
@@ -1590,8 +1602,14 @@ def _(m):
        count(*) FILTER (WHERE n = 0 AND bought) AS users_did_not_bought,
        count(*) FILTER (WHERE n > 0 AND bought) / nullif(CAST(count(*) FILTER (WHERE n > 0) AS DOUBLE), 0) AS buy_rate_did,
        count(*) FILTER (WHERE n = 0 AND bought) / nullif(CAST(count(*) FILTER (WHERE n = 0) AS DOUBLE), 0) AS buy_rate_did_not
-       FROM (SELECT e.distinct_id, p.action, count(*) FILTER (WHERE e.event_name = p.action) AS n, bool_or(e.event_name = 'Order Completed') AS bought
-         FROM stg_mixpanel_events e CROSS JOIN (SELECT 'Add to Cart' AS action UNION ALL SELECT 'Checkout Started') p GROUP BY 1, 2) a
+       FROM (SELECT u.distinct_id, u.bought, p.action, coalesce(b.n, 0) AS n
+         FROM (SELECT distinct_id, bool_or(event_name = 'Order Completed') AS bought FROM stg_mixpanel_events GROUP BY 1) u
+         CROSS JOIN (SELECT 'Add to Cart' AS action UNION ALL SELECT 'Checkout Started') p
+         LEFT JOIN (SELECT e.distinct_id, e.event_name AS action, count(*) AS n FROM stg_mixpanel_events e
+           LEFT JOIN (SELECT distinct_id, min(event_timestamp) AS first_purchase FROM stg_mixpanel_events
+             WHERE event_name = 'Order Completed' GROUP BY 1) f ON f.distinct_id = e.distinct_id
+           WHERE f.first_purchase IS NULL OR e.event_timestamp < f.first_purchase GROUP BY 1, 2) b
+         ON b.distinct_id IS NOT DISTINCT FROM u.distinct_id AND b.action = p.action) a
        GROUP BY 1""",
     "buy_rate_did buy_rate_did_not",
 )
