@@ -68,7 +68,9 @@ class WordTokenizer(dict):
             return self._by_library(word)
         low = lower_ascii(word)
         stem = low.rstrip(CLOSING)
-        if stem and len(stem) < len(low) and (stem[-1].isalpha() or stem[-1].isdecimal()):
+        # The library lower-cases all letters; some then end in a mark, which it keeps with the punctuation.
+        last = stem[-1:].lower()[-1:]
+        if len(stem) < len(low) and (last.isalpha() or last.isdecimal()):
             return self[stem] + self[low[len(stem) :]]
         if low != word:
             return self[low]

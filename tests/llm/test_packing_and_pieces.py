@@ -133,3 +133,12 @@ def test_number_of_windows_plans_does_not_follow_the_counts():
 def test_nothing(nothing):
     assert packing.pack_documents(nothing, vocabulary("words")).collect() == []
     assert sentence_pieces.encode_documents(nothing, vocabulary("pieces")).collect() == []
+
+
+def test_word_ids_of_odd_texts_equal_the_library(library):
+    coder, rng = packing.WordTokenizer(vocabulary("words")), random.Random(12)
+    letters = "aAbzİıßÉéñ9٣字ㄅŉǰΐẖ’'\u0301\u0307" + packing.CLOSING + "([-_/<|> \n\t"
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 14)))
+        ids = np.frombuffer(coder.ids(packing.WORD.findall(text)), "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
