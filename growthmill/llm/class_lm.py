@@ -5,8 +5,9 @@ words and the endings of the others, one at a time to the class in which the cla
 word seen ``MIN_COUNT`` times or more is clustered for itself: in alternating sweeps over one half of these words and the
 other, tasks gather the classes to the left and right of each word and assign it to the class of largest gain against the
 class bigrams of the sweep. Rare words, and words never seen, keep the class of their ending. A text has
-the probability of its class transitions times that of its words within their classes. Words outside a
-bounded dictionary find their counts by a join. Clustered words are told apart by a hash of 64 bits.
+the probability of its class transitions times that of its words within their classes. Clustered words have their counts at
+hand; the others find theirs by a join. Clustered words are told apart by a hash of 64 bits. Texts are split into words twice, to
+count them and to write each text as the numbers of its words, from which bigrams are counted and texts are scored.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -21,10 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthmill.llm.common import join_by_share, map_texts, partitions, staged
+from growthmill.llm.common import join_by_share, map_texts, slices, staged
 from growthmill.llm.sharding import size_class
 
-# Bounds of what the driver and the tasks hold: words with a count at hand, of at most so many bytes;
+# Bounds of what the driver holds: words among which it chooses the units, of at most so many bytes;
 # words that are units; units of endings; classes.
 DICTIONARY = 100_000
 DICTIONARY_BYTES = 64
@@ -35,7 +37,7 @@ CLASSES = 64
 ADDED = 0.1
 TRANSITION_PRIOR = 20.0
 SWEEPS = 8
-# Words seen so often are clustered, at most so many (nine bytes each); each round sweeps both halves of them.
+# Words seen so often are clustered, at most so many (about 14 bytes each); each round sweeps both halves of them.
 MIN_COUNT = 5
 CLUSTERED = 1 << 24
 ROUNDS = 2
@@ -45,10 +47,12 @@ PARTS = (1, 2, 4, 8, 16)
 HELD_PAIRS = 4_000_000
 ROW_PAIRS = 1_000_000
 WORDS_AT_ONCE = 32
-TASK_WORDS = 4096
+# Clustered words a task of a sweep moves; it depends on the words alone, so a corpus gives the same classes on any cluster.
+TASK_WORDS = 8192
 SEED = 42
-# Words a task counts before it hands them on.
+# Words a task counts before it hands them on, and their bytes.
 COUNTED_WORDS = 400_000
+COUNTED_BYTES = 32_000_000
 
 END = WORD_UNITS + ENDINGS
 UNITS = END + 1
@@ -71,28 +75,32 @@ class CountWords:
 
     def __init__(self):
         self.counts: Counter = Counter()
+        self.bytes = 0
 
     def __call__(self, ids, texts):
         for text in texts:
             self.counts.update(words_of(text))
-        return self.finish() if len(self.counts) > COUNTED_WORDS else None
+            # Nearly all of a text that is long for its words may be held now.
+            self.bytes += len(text) if len(text) > COUNTED_BYTES // 64 else 0
+        return self.finish() if len(self.counts) > COUNTED_WORDS or self.bytes > COUNTED_BYTES else None
 
     def finish(self):
-        words = list(self.counts)
-        out = {"word": words, "n": list(self.counts.values()), "ending": list(map(ending, words))}
+        out = {"word": list(self.counts), "n": list(self.counts.values())}
         self.counts.clear()
+        self.bytes = 0
         return out
 
 
 class Clusters:
-    """The clustered words, by their hashes in order, with the class of each and of every ending.
+    """The clustered words, by their hashes in order, with their counts and the class of each and of every ending.
 
     The number of a clustered word is its place; the endings and the end follow.
     """
 
-    def __init__(self, hashes: np.ndarray, endings: np.ndarray):
+    def __init__(self, hashes: np.ndarray, endings: np.ndarray, counts: np.ndarray):
         order = np.argsort(hashes)
         self.hashes, self.endings = hashes[order], endings[order].astype(np.uint8)
+        self.counts = counts[order].astype(np.min_scalar_type(counts.max(initial=0)))
         self.classes = np.zeros(self.end + 1, np.uint8)
 
     @property
@@ -118,36 +126,76 @@ class Clusters:
         return units
 
 
-class CountPairs:
-    """Counts the bigrams of a task, each text between two ends, as packed rows."""
+class CodeTexts:
+    """Writes texts as the numbers of their words; words that are not clustered are listed with how often they occur."""
 
     def __init__(self, clusters: Clusters):
-        self.clusters, self.known = clusters, {}
-        self.held, self.size = [], 0
+        self.clusters, self.known, self.bytes = clusters, {}, 0
 
     def __call__(self, ids, texts):
         split = [words_of(t) for t in texts]
-        words = [w for of_text in split for w in of_text]
+        words = list(chain.from_iterable(split))
         new = set(words).difference(self.known)
-        if len(self.known) + len(new) > COUNTED_WORDS:
-            self.known.clear()
+        size = sum(map(len, new))
+        if len(self.known) + len(new) > COUNTED_WORDS or self.bytes + size > COUNTED_BYTES:
+            self.known, self.bytes = {}, 0
             new = set(words)
+            size = sum(map(len, new))
         new = list(new)
         self.known.update(zip(new, self.clusters.ids(new).tolist()))
-        numbers = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        end = self.clusters.end
-        # Texts that follow each other share an end; that gives the same bigrams.
-        numbers = np.r_[end, np.insert(numbers, np.cumsum([len(w) for w in split]), end)]
-        self.held.append(numbers[:-1] * (end + 1) + numbers[1:])
-        self.size += len(numbers) - 1
-        return self.finish() if self.size >= HELD_PAIRS else None
+        self.bytes += size
+        numbers = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+        ends = np.cumsum([0, *map(len, split)])
+        rare = np.flatnonzero(numbers >= len(self.clusters.hashes))
+        cuts = np.searchsorted(rare, ends)
+        others = [Counter(words[i] for i in rare[a:b].tolist()) for a, b in zip(cuts, cuts[1:])]
+        return {
+            "doc_id": ids, "codes": [numbers[a:b].tobytes() for a, b in zip(ends, ends[1:])],
+            "words": [list(o) for o in others], "counts": [list(o.values()) for o in others],
+        }
 
-    def finish(self):
-        codes, counts = np.unique(np.concatenate(self.held or [np.empty(0, np.int64)]), return_counts=True)
-        self.held, self.size = [], 0
+
+CODED = "doc_id long, codes binary, words array<binary>, counts array<long>"
+
+
+def coded_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Parts of the batches with the numbers of their words one after the other, and the words of each text."""
+    for batch in batches:
+        codes = batch.column("codes")
+        for start, stop in slices(codes):
+            raw = codes.slice(start, stop - start).to_pylist()
+            sizes = np.array([len(x) // 4 for x in raw], np.int64)
+            yield batch.slice(start, stop - start), np.frombuffer(b"".join(raw), np.int32).astype(np.int64), sizes
+
+
+def between_ends(numbers: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
+    """The numbers with an end before the first text and after each one: texts that follow each other share one."""
+    return np.r_[end, np.insert(numbers, np.cumsum(sizes), end)]
+
+
+def count_pairs(coded: DataFrame, end: int) -> DataFrame:
+    """The bigrams of all texts, each between two ends, as packed rows."""
+
+    def run(batches):
+        held, size = [], 0
+        for _, numbers, sizes in coded_slices(batches):
+            numbers = between_ends(numbers, sizes, end)
+            held.append(numbers[:-1] * (end + 1) + numbers[1:])
+            size += len(numbers) - 1
+            if size >= HELD_PAIRS:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
+
+    def out(held):
+        codes, counts = np.unique(np.concatenate(held), return_counts=True)
         cuts = range(0, len(codes), ROW_PAIRS)
         parts = [(codes[i : i + ROW_PAIRS], counts[i : i + ROW_PAIRS]) for i in cuts]
-        return {"n": [len(c) for c, _ in parts], "packed": [pack(c, n) for c, n in parts]}
+        rows = [pa.array([len(c) for c, _ in parts], pa.int64()), pa.array([pack(c, n) for c, n in parts], pa.binary())]
+        return pa.RecordBatch.from_arrays(rows, names=["n", "packed"])
+
+    return coded.select("codes").mapInArrow(run, "n long, packed binary")
 
 
 def pack(codes: np.ndarray, counts: np.ndarray) -> bytes:
@@ -286,7 +334,7 @@ def sweep(pairs: DataFrame, classes: np.ndarray, movable: np.ndarray, table: np.
     """Classes after every movable word has gone to the class of its largest gain against ``table``."""
     context = pairs.sparkSession.sparkContext
     # A task sees only what its own words do, so few words are not dealt out thinly.
-    parts = max(1, min(partitions(pairs.sparkSession), len(classes) // TASK_WORDS))
+    parts = max(1, len(classes) // TASK_WORDS)
     sent = context.broadcast((classes, movable, table))
     # Numbers are in the order of a hash, so ranges of them are even.
     bounds = np.linspace(0, len(classes), parts + 1).astype(np.int64) * SLOTS
@@ -419,6 +467,7 @@ class ClassModel:
     """What scoring needs; its size is bounded by the dictionary, the clustered words and the classes.
 
     ``bigrams`` are those of units, or with ``clusters`` those of classes; ``unit_types`` are the types of each.
+    ``counts`` are those of the words among which the units were chosen.
     """
 
     def __init__(
@@ -426,7 +475,6 @@ class ClassModel:
         clusters: Clusters | None = None,
     ):
         self.tokens, self.types, self.ends, self.clusters = tokens, types, ends, clusters
-        self.dictionary = {w: i for i, w in enumerate(counts)}
         if clusters is None:
             word_units = dict(zip(list(counts)[:WORD_UNITS], range(WORD_UNITS)))
             units = np.array([word_units.get(w, WORD_UNITS + ending(w)) for w in counts], np.int64)
@@ -451,57 +499,59 @@ class ClassModel:
     def classes_of(self, words: list[bytes]) -> np.ndarray:
         return self.clusters.classes[self.clusters.ids(words)].astype(np.int64)
 
+    def for_tasks(self) -> tuple:
+        """What tasks need to score numbered texts."""
+        return self.clusters.counts, self.clusters.classes, self.move, self.below, self.ends, self.end_log_count, self.base_below
 
-class Score:
-    """Scores texts but for the counts of the words outside the dictionary, which become rows of their own."""
 
-    def __init__(self, model: ClassModel, partition: int):
-        self.model = model
-        self.row = partition << 40
+def score_texts(coded: DataFrame, model: ClassModel) -> DataFrame:
+    """``SCORED``: texts scored but for the counts of the words that are not clustered, which are passed on."""
+    sent = coded.sparkSession.sparkContext.broadcast(model.for_tasks())
 
-    def __call__(self, ids, texts):
-        model, get = self.model, self.model.dictionary.get
-        rest: dict[bytes, int] = {}
-        out = {"uid": [], "word": [], "n": [], "sums": []}
-        for doc_id, text in zip(ids, texts):
-            words = words_of(text)
-            codes = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-            unknown = np.flatnonzero(codes < 0)
-            classes = np.empty(len(words) + 2, np.int64)
-            classes[0] = classes[-1] = model.end_class
-            classes[1:-1] = model.classes[codes] if len(model.classes) else 0
-            others = Counter(words[i] for i in unknown)
-            new = [w for w in others if w not in rest]
-            rest.update(zip(new, model.classes_of(new).tolist()))
-            for i in unknown:
-                classes[1 + i] = rest[words[i]]
-            seen = codes[codes >= 0]
-            counted = float(model.log_count[seen].sum()) + model.end_log_count
-            score = counted + float(model.move[classes[:-1], classes[1:]].sum() - model.below[classes[1:]].sum())
-            base = counted - (len(words) + 1) * model.base_below
-            self.row += 1
-            out["uid"].extend([self.row] * (len(others) + 1))
-            # A blank is in no word, so this row finds no count; the number keeps such rows apart.
-            out["word"].append(b" %d" % self.row)
-            out["word"].extend(others)
-            out["n"].append(0)
-            out["n"].extend(others.values())
-            known = len(seen) + (model.ends > 0)
-            out["sums"].append({"doc_id": doc_id, "n_tokens": len(words) + 1, "known": known, "base": base, "score": score})
-            out["sums"].extend([None] * len(others))
-        return out
+    def run(batches):
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 40
+        counts, classes, move, below, ends, end_log_count, base_below = sent.value
+        end = len(classes) - 1
+        for part, numbers, sizes in coded_slices(batches):
+            seq = between_ends(numbers, sizes, end)
+            of, token = classes[seq].astype(np.int64), seq[1:]
+            clustered = token < len(counts)
+            logs = np.zeros(len(token))
+            logs[clustered] = np.log10(counts[token[clustered]] + ADDED)
+            logs[token == end] = end_log_count
+            first = np.r_[0, np.cumsum(sizes + 1)[:-1]]
+            counted = np.add.reduceat(logs, first)
+            moved = np.add.reduceat(move[of[:-1], of[1:]] - below[of[1:]], first)
+            known = np.add.reduceat(clustered.astype(np.int64), first) + (ends > 0)
+            columns = {
+                "uid": pa.array(np.arange(row, row + len(sizes))), "doc_id": part.column("doc_id"), "n_tokens": pa.array(sizes + 1),
+                "known": pa.array(known), "base": pa.array(counted - (sizes + 1) * base_below), "score": pa.array(counted + moved),
+                "words": part.column("words"), "counts": part.column("counts"),
+            }
+            row += len(sizes)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    return coded.mapInArrow(run, SCORED)
 
 
 SCORED = (
-    "uid long, word binary, n long, "
-    "sums struct<doc_id: long, n_tokens: long, known: long, base: double, score: double>"
+    "uid long, doc_id long, n_tokens long, known long, base double, score double, words array<binary>, counts array<long>"
 )
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """``word`` (UTF-8, A-Z lower-cased), its count ``n`` and its ``ending``, over whole texts."""
-    words = map_texts(docs, ["doc_id", "text"], CountWords, "word binary, n long, ending int")
-    return words.groupBy("word").agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
+    """``word`` (UTF-8, A-Z lower-cased) and its count ``n``, over whole texts."""
+    words = map_texts(docs, ["doc_id", "text"], CountWords, "word binary, n long")
+    return words.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def ending_of(word: str) -> F.Column:
+    """``ending`` of a column of words."""
+    bare = F.rtrim(F.col(word).cast("string"), F.lit(PUNCTUATION.decode()))
+    tail = F.when(bare != "", bare).otherwise(F.col(word).cast("string"))
+    return (F.crc32(F.substring(tail.cast("binary"), -3, 3)) % ENDINGS).cast("short")
 
 
 def _least_counts(counts: DataFrame, *limits: int) -> list[int]:
@@ -524,35 +574,43 @@ def _least_counts(counts: DataFrame, *limits: int) -> list[int]:
 
 
 def fit(training: DataFrame) -> tuple[ClassModel, DataFrame]:
-    """The model of the training documents, and the counts of the words outside its dictionary."""
+    """The model of the training documents, and the counts of the words that are not clustered."""
+    return fit_and_code(training, F.lit(True))[:2]
+
+
+def fit_and_code(docs: DataFrame, learnt: F.Column) -> tuple[ClassModel, DataFrame, DataFrame]:
+    """As ``fit`` for the documents that are ``learnt`` (a condition on ``doc_id``), and all documents in numbers (``CODED``)."""
+    training = docs.where(learnt)
     counts = staged(count_words(training), "word-counts")
     ends = training.count()
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types")).first()
+    total = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("types"), F.coalesce(F.max("n"), F.lit(0)).alias("most")
+    ).first()
     least, clustered = _least_counts(counts, DICTIONARY, CLUSTERED)
-    in_dictionary = (F.col("n") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)
     # At most DICTIONARY rows.
-    top = counts.where(in_dictionary).select("word", "n").toArrow()
+    top = counts.where((F.col("n") >= least) & (F.octet_length("word") <= DICTIONARY_BYTES)).toArrow()
     known = dict(sorted(zip(top["word"].to_pylist(), top["n"].to_pylist()), key=lambda item: (-item[1], item[0])))
-    outside = counts.where(~in_dictionary).select("word", "n")
     units = list(known)[:WORD_UNITS]
     # The words that are units are clustered however rare they are. At most CLUSTERED rows.
-    often = min([MIN_COUNT, *(known[w] for w in units[-1:])])
-    held = counts.where(F.col("n") >= max(often, clustered)).select(F.xxhash64("word").alias("hash"), "ending").toArrow()
-    clusters = Clusters(held["hash"].to_numpy(), held["ending"].to_numpy())
-    sent = training.sparkSession.sparkContext.broadcast(clusters)
-    pairs = map_texts(training, ["doc_id", "text"], lambda: CountPairs(sent.value), "n long, packed binary")
-    pairs = staged(pairs, "word-bigrams")
+    often = max(min([MIN_COUNT, *(known[w] for w in units[-1:])]), clustered)
+    n = F.col("n").cast("int" if total["most"] < 1 << 31 else "long")
+    held = counts.where(F.col("n") >= often).select(F.xxhash64("word").alias("hash"), ending_of("word").alias("ending"), n.alias("n")).toArrow()
+    clusters = Clusters(held["hash"].to_numpy(), held["ending"].to_numpy(), held["n"].to_numpy())
+    sent = docs.sparkSession.sparkContext.broadcast(clusters)
+    coded = staged(map_texts(docs, ["doc_id", "text"], lambda: CodeTexts(sent.value), CODED), "coded-texts")
+    pairs = staged(count_pairs(coded.where(learnt), clusters.end), "word-bigrams")
     top = clusters.ids(units)
     of_unit = exchange(bigrams_of(pairs, clusters.units(top), UNITS), CLASSES)
     table = cluster(pairs, clusters, top, of_unit)
     # Types of each number: one of a clustered word, the others of each ending, and the end.
     of_ending = np.zeros(ENDINGS)
-    for row in counts.groupBy("ending").agg(F.count(F.lit(1)).alias("types")).collect():
+    for row in counts.groupBy(ending_of("word").alias("ending")).agg(F.count(F.lit(1)).alias("types")).collect():
         of_ending[row["ending"]] = row["types"]
     of_ending -= np.bincount(clusters.endings, minlength=ENDINGS)
     kinds = np.bincount(clusters.classes, np.r_[np.ones(len(clusters.hashes)), of_ending, ends > 0], len(table))
     types = total["types"] + (ends > 0)
-    return ClassModel(known, total["n"] + ends, types, ends, kinds, table, clusters), outside
+    model = ClassModel(known, total["n"] + ends, types, ends, kinds, table, clusters)
+    return model, counts.where(F.col("n") < often), coded
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -567,15 +625,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
     each; an empty table gives no rows, and with nothing to learn from all words are unknown. Other
     columns are ignored.
     """
-    model, outside = fit(docs.where(~held_out()))
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def make():
-        from pyspark import TaskContext
-
-        return Score(sent.value, TaskContext.get().partitionId())
-
-    rows = map_texts(docs, ["doc_id", "text"], make, SCORED)
+    model, outside, coded = fit_and_code(docs, ~held_out())
+    scored = score_texts(coded, model)
+    # A blank is in no word, so the first row of a text finds no count; the number keeps such rows apart.
+    first = F.concat(F.lit(" "), F.col("uid").cast("string")).cast("binary")
+    words = F.arrays_zip(F.concat(F.array(first), "words").alias("word"), F.concat(F.array(F.lit(0).cast("long")), "counts").alias("n"))
+    rows = scored.select("uid", F.struct("doc_id", "n_tokens", "known", "base", "score").alias("sums"), F.posexplode(words).alias("at", "of"))
+    rows = rows.select("uid", "of.word", "of.n", F.when(F.col("at") == 0, F.col("sums")).alias("sums"))
     counted = join_by_share(rows, outside.withColumnRenamed("n", "c"), ["word"], "c", ["uid"], "left")
     of_word = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + ADDED)
     sums = counted.groupBy("uid").agg(
