@@ -127,6 +127,27 @@ def linked(groups: np.ndarray, values: np.ndarray, radius: int = RADIUS) -> np.n
     return forest.low
 
 
+def close_pairs(values: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (a, b), a < b, of all values within the radius, each pair once, some at a time."""
+    position = np.arange(len(values))
+    size = -(-len(values) // 64)
+    planes = np.zeros((BITS, size), np.uint64)
+    column = np.zeros(64 * size, bool)
+    column[: len(values)] = True
+    filled = np.packbits(column, bitorder="little").view("<u8")
+    for bit in range(BITS):
+        column[: len(values)] = (values >> np.uint64(bit)) & np.uint64(1)
+        planes[bit] = np.packbits(column, bitorder="little").view("<u8")
+    rows = max(1, COMPARED_AT_ONCE // max(1, size))
+    for first in range(0, len(values), rows):
+        some = position[first : first + rows]
+        # Each value meets the words from its own word on.
+        todo = size - some // 64
+        asking = np.repeat(some, todo)
+        nth = np.arange(len(asking)) - np.repeat(np.cumsum(todo) - todo, todo)
+        yield from _close(values, planes, filled, position, asking, asking // 64 + nth, radius)
+
+
 def _close(values, planes, filled, slot, asking, words, radius) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (position, slot) within the radius, each pair once."""
     levels = max(1, radius.bit_length())
