@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growthmill.llm import line_dedup, packing, quality_rules, simhash, toxicity
+from growthmill.llm import line_dedup, near_copies, packing, quality_rules, toxicity
 from growthmill.llm.common import staged, table
 from growthmill.llm.queries import vocabulary
 
@@ -33,8 +33,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component."""
-    return simhash.one_of_each(docs)
+    """One document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    return near_copies.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,15 +73,17 @@ def stringify_complex(df: DataFrame) -> DataFrame:
 
 
 def laid_out(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str] = ()) -> DataFrame:
-    """Arrange rows for a write: one set of files per partition value, sorted by the cluster keys.
+    """Arrange rows for a write: one set of files per partition value, clustered by the cluster keys.
 
-    Rebalancing lets the adaptive planner split a partition value that is much larger than the
-    others over several tasks and join small ones.
+    Without cluster keys rebalancing lets the adaptive planner split a partition value that is much larger than the
+    others over several tasks and join small ones. With them rows are dealt out by sampled ranges of partition value and
+    cluster keys, so the files of a partition value hold ranges that do not overlap and scans can skip files. Only
+    rows with equal partition value and cluster keys must be in one task.
     """
-    if partition_by is None:
-        return df.sortWithinPartitions(*cluster_by) if cluster_by else df
-    arranged = df.hint("rebalance", partition_by)
-    return arranged.sortWithinPartitions(partition_by, *cluster_by) if cluster_by else arranged
+    if not cluster_by:
+        return df if partition_by is None else df.hint("rebalance", partition_by)
+    keys = [*([partition_by] if partition_by is not None else []), *cluster_by]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
 def day_partition(df: DataFrame, field: str | None) -> tuple[DataFrame, str | None]:
@@ -206,8 +208,8 @@ def merge(
     schema: T.StructType | None = None,
     cluster_by: Sequence[str] = (),
     null_safe: bool = False,
-) -> None:
-    """Upsert ``source`` into the table at ``path``, which is created on the first run.
+) -> list:
+    """Upsert ``source`` into the table at ``path``, which is created on the first run; returns the partitions it rewrote.
 
     Matched rows are replaced, new rows added, all others kept; a second run changes nothing. With an
     ``order`` the greatest of the stored and the new row stays, ties going to the new one, so
@@ -215,7 +217,7 @@ def merge(
     Only partitions that receive or lose a row are read and rewritten. The new state is written in full to the shared
     work folder before the table is touched, so a lost executor or a failed overwrite leaves a copy to repeat
     it from; the folder is named in the error and removed after success. With a ``schema`` of the table no
-    file footers are looked at.
+    file footers are looked at. An unpartitioned table has no partitions to return.
     """
     spark = source.sparkSession
     rows, partition = day_partition(stringify_complex(source), partition_field)
@@ -224,12 +226,12 @@ def merge(
         latest = latest_per_key(rows, keys, order, null_safe).observe(seen, F.count(F.lit(1)).alias("rows"))
         latest.write.parquet(f"{stage}/source")
         if seen.get["rows"] == 0:
-            return
+            return []
         updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
         target = read_table(spark, path, _stored_schema(schema, rows.schema))
         if target is None:
             _write(updates, path, "overwrite", partition, cluster_by)
-            return
+            return [] if partition is None else _partition_values(updates, partition)
         days = None
         if partition is not None:
             days = _partition_values(updates, partition)
@@ -247,12 +249,13 @@ def merge(
         result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
         if partition is None:
             result.write.mode("overwrite").parquet(path)
-            return
+            return []
         overwrite_partitions(result, path, partition)
         if partition not in keys:
             for day in set(days) - set(_partition_values(result, partition)):
                 # Every row of this day moved elsewhere.
                 remove_folder(spark, partition_folder(path, partition, day))
+        return days
 
 
 def _merged(target: DataFrame, updates: DataFrame, keys, order, null_safe: bool) -> DataFrame:
@@ -307,11 +310,12 @@ def changed_between(rows: DataFrame, spec: SourceSpec, start: date, end: date) -
     return rows.filter(in_days(moments[0] if len(moments) == 1 else F.coalesce(*moments), start, end))
 
 
-def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[str] = ()) -> None:
-    """Merge flat rows of a source into its bronze table; loading the same rows again changes nothing.
+def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[str] = ()) -> list:
+    """Merge flat rows of a source into its bronze table; loading the same rows again changes nothing. Returns the partitions it rewrote.
 
     Rows get their load time and source unless they have them, events their key, and tables without a day
-    their key bucket. Nulls in keys match, so no row is lost or doubled for a missing dimension.
+    their key bucket. Nulls in keys match, so no row is lost or doubled for a missing dimension. Without an ``order``
+    the row that says it changed last stays, so loading an older export later takes nothing back.
     """
     if "_extracted_at" not in rows.columns:
         rows = with_metadata(rows, spec.table)
@@ -321,7 +325,8 @@ def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[st
     if spec.buckets is not None:
         rows = with_key_bucket(rows, keys, spec.buckets)
         keys, partition = [*keys, "key_bucket"], "key_bucket"
-    merge(rows, path, keys, [*order, "_extracted_at"], partition, spec.schema, null_safe=True)
+    order = order or [c for c in spec.versions if c in rows.columns]
+    return merge(rows, path, keys, [*order, "_extracted_at"], partition, spec.schema, null_safe=True)
 
 
 def backfill(
@@ -354,7 +359,7 @@ def refresh_partitions(mart: DataFrame, path: str, partition: str, days: Sequenc
     """Rebuild only the given days of a stored mart; a day without rows any more goes."""
     spark = mart.sparkSession
     with staging(spark, "refresh") as stage:
-        rows = mart.filter(F.col(partition).isin(list(days)))
+        rows = mart.filter(_in_partitions(partition, list(days)))
         laid_out(rows, partition, cluster_by).write.partitionBy(partition).parquet(stage)
         built = spark.read.schema(mart.schema).parquet(stage)
         overwrite_partitions(built, path, partition)
@@ -362,6 +367,29 @@ def refresh_partitions(mart: DataFrame, path: str, partition: str, days: Sequenc
             remove_folder(spark, partition_folder(path, partition, day))
 
 
+def days_to_refresh(touched: Sequence[date | None], before: int = 0, after: int = 0) -> list[date | None]:
+    """Output days that read one of the ``touched`` input days.
+
+    A mart declares what its rows read: an output day reads the input days from ``before`` days earlier to ``after`` days
+    later. Rows without a day are read by the output without a day.
+    """
+    known = {d + timedelta(n) for d in touched if d is not None for n in range(-after, before + 1)}
+    return [*sorted(known), *([None] if None in touched else [])]
+
+
+def refresh_touched(
+    mart: DataFrame, path: str, partition: str, touched: Sequence[date | None], before: int = 0, after: int = 0, cluster_by=()
+) -> list[date | None]:
+    """Rebuild the days of a stored mart that read one of the partitions ``merge`` rewrote; returns them.
+
+    The touched days of several inputs are joined by the caller. Nothing touched leaves the mart as it is.
+    """
+    days = days_to_refresh(touched, before, after)
+    if days:
+        refresh_partitions(mart, path, partition, days, cluster_by)
+    return days
+
+
 RUN_LOG = "source string, rows_extracted bigint, rows_loaded bigint, success boolean, error string"
 
 

@@ -19,7 +19,8 @@ class SourceSpec:
 
     ``window`` names the columns, the first known one counts, that say when a row last changed; by default the
     partition. ``buckets`` is the number of key buckets of a table whose keys hold no day: part of its layout,
-    so it never changes for a stored table; size it for files of some hundred MB.
+    so it never changes for a stored table; size it for files of some hundred MB. ``versions`` are the columns
+    by which a row is newer than another of its key, the first one first.
     """
 
     table: str
@@ -32,6 +33,7 @@ class SourceSpec:
     fields: tuple[str, ...] = ()
     window: tuple[str, ...] = ()
     buckets: int | None = None
+    versions: tuple[str, ...] = ()
 
     @property
     def window_columns(self) -> tuple[str, ...]:
@@ -189,6 +191,7 @@ HUBSPOT = SourceSpec(
     partition=None,
     lookback_days=7,
     window=("lastmodifieddate", "hs_lastmodifieddate", "createdate"),
+    versions=("lastmodifieddate", "hs_lastmodifieddate"),
     buckets=256,
     warn_hours=12,
     error_hours=48,
@@ -207,6 +210,7 @@ SALESFORCE = SourceSpec(
     partition=None,
     lookback_days=7,
     window=("LastModifiedDate", "CreatedDate"),
+    versions=("LastModifiedDate",),
     buckets=256,
 )
 

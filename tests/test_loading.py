@@ -214,3 +214,42 @@ def test_a_source_that_cannot_be_read_is_logged(spark):
     unreadable = spark.createDataFrame([("x",), ("1",)], "v string").filter("cast(v AS int) > 0")
     log = loading.run_load("stub", unreadable, lambda df: df.collect()).first()
     assert (log.rows_extracted, log.rows_loaded, log.success) == (None, 0, False) and log.error
+
+
+def test_files_of_a_day_hold_ranges_that_do_not_overlap(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = tmp_path / "t"
+    # One day holds nearly all rows.
+    rows = spark.range(40_000).selectExpr(
+        "id", "date_add(DATE '2024-01-01', CAST(IF(id % 50 = 0, id % 7, 0) AS INT)) AS day", "CAST(hash(id) % 5000 AS STRING) AS v", "1 AS n"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        loading.write_table(rows, str(path), "overwrite", "day", cluster_by=["v"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    several = 0
+    for folder in path.glob("day=*"):
+        files = [pq.read_table(f, columns=["v"], partitioning=None)["v"].to_pylist() for f in folder.glob("*.parquet")]
+        ranges = sorted((min(v), max(v)) for v in files)
+        assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+        several += len(ranges) > 1
+    assert several and spark.read.parquet(str(path)).count() == 40_000
+
+
+def test_merge_returns_what_it_rewrote_and_marts_follow(spark, tmp_path):
+    path, mart = str(tmp_path / "t"), str(tmp_path / "mart")
+    first = loading.merge(frame(spark, (1, 1, "a", 1), (2, 2, "b", 1), (3, None, "c", 1)), path, ["id"], ["n"], "day")
+    assert set(first) == {DAYS[1], DAYS[2], None}
+
+    def counts():
+        return loading.read_table(spark, path).groupBy("day").agg(F.count("*").alias("n"))
+
+    loading.write_table(counts(), mart, "overwrite", "day")
+    touched = loading.merge(frame(spark, (2, 5, "moved", 2), (4, None, "d", 1)), path, ["id"], ["n"], "day")
+    assert set(touched) == {DAYS[2], DAYS[5], None}
+    loading.refresh_touched(counts(), mart, "day", touched)
+    assert sorted(map(tuple, spark.read.parquet(mart).select("day", "n").collect()), key=repr) == sorted(map(tuple, counts().collect()), key=repr)
+    assert loading.days_to_refresh([DAYS[5], None], before=2, after=1) == [DAYS[4], DAYS[5], DAYS[6], DAYS[7], None]
+    assert loading.merge(frame(spark), path, ["id"], ["n"], "day") == [] and loading.refresh_touched(counts(), mart, "day", []) == []

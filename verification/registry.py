@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime
 from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from growthmill.functions import (
@@ -1023,6 +1023,35 @@ def _(m):
     return m.spark.read.parquet(path)
 
 
+@register(
+    "incremental_mart_from_merge",
+    "SELECT date, channel_source, campaign_id, campaign_name, total_spend, roas FROM fct_ad_spend_roi",
+    "total_spend roas",
+)
+def _(m):
+    """A stored input gains late rows by a merge; the mart is refreshed for the days that the merge rewrote."""
+    path = m.work("mart-from-merge")
+    late = F.coalesce((F.dayofmonth("date") == 11) & (F.length("campaign_id") > 0), F.lit(False))
+    rows = loading.stringify_complex(m.performance)
+    # Rows of the input have no key of their own.
+    keyed = rows.withColumn("row_key", F.sha2(F.to_json(F.struct(*rows.columns)), 256))
+    copies = Window.partitionBy("date", "row_key").orderBy(F.lit(1))
+    keyed = keyed.withColumn("copy", F.row_number().over(copies))
+
+    def mart(performance):
+        columns = ("date", "channel_source", "campaign_id", "campaign_name", "total_spend", "roas")
+        return marketing.fct_ad_spend_roi(performance).select(*columns)
+
+    keys, touched = ["row_key", "copy", "date"], []
+    for part in (keyed.filter(~late), keyed.filter(late)):
+        touched.append(loading.merge(part, f"{path}/input", keys, [], "date", null_safe=True))
+        stored = mart(loading.read_table(m.spark, f"{path}/input", keyed.schema))
+        if len(touched) == 1:
+            loading.write_table(stored, f"{path}/mart", "overwrite", "date")
+    loading.refresh_touched(stored, f"{path}/mart", "date", touched[-1])
+    return m.spark.read.parquet(f"{path}/mart")
+
+
 @register("retention_filter", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= DATE '2001-08-01' - 180")
 def _(m):
     rows = m.table("orders").select("o_orderkey", "o_orderdate")
@@ -1120,6 +1149,26 @@ def _(m):
     return m.spark.read.parquet(path).groupBy("object_type", day.alias("changed_day")).agg(F.count(F.lit(1)).alias("objects"))
 
 
+@register(
+    "load_hubspot_old_export",
+    """SELECT 'deals' AS object_type, count(*) AS objects, count(*) AS newest
+       FROM orders WHERE o_orderkey % 40 BETWEEN 4 AND 24""",
+)
+def _(m):
+    """An export of the same deals that says they changed a year earlier is loaded after the current one."""
+    flat = crm.flatten_hubspot(**landing.hubspot(m.spark, m.sf_dir), start=date(2024, 1, 5), end=date(2024, 1, 25))
+    # Landed deals say only when they were made.
+    changed = F.date_format("createdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    deals = flat.filter("object_type = 'deals'").withColumns({"hs_lastmodifieddate": changed, "dealstage": F.lit("newest")})
+    earlier = F.regexp_replace("hs_lastmodifieddate", "^2024", "2023")
+    old = deals.withColumns({"hs_lastmodifieddate": earlier, "dealstage": F.lit("old")})
+    path = m.work("load-hubspot-old")
+    for export in (deals, old):
+        loading.load_source(export, path, specs.HUBSPOT)
+    newest = F.sum((F.col("dealstage") == "newest").cast("bigint"))
+    return m.spark.read.parquet(path).groupBy("object_type").agg(F.count(F.lit(1)).alias("objects"), newest.alias("newest"))
+
+
 @register(
     "load_salesforce",
     """SELECT 'lead' AS object_type, count(*) AS objects, CAST(NULL AS DOUBLE) AS amount FROM customer WHERE c_custkey % 40 BETWEEN 4 AND 24
