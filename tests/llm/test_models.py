@@ -184,6 +184,20 @@ def test_held_out_texts_gain_on_the_base(spark):
     assert held[0] > held[1]
 
 
+def test_scores_do_not_depend_on_the_number_of_partitions(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "TASK_WORDS", 500)
+    docs = spark.read.parquet(f"{GIVEN}/documents.parquet")
+    before, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in ("3", "8"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got.append({r["doc_id"]: r["score"] for r in class_lm.score_documents(docs.repartition(int(parts))).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0].keys() == got[1].keys()
+    assert all(math.isclose(s, got[1][d], rel_tol=1e-9) for d, s in got[0].items())
+
+
 # Toxicity
 
 
