@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from growthmill.functions.dates import in_days
 from growthmill.operators.skew import any_null, rows_without_match
 from growthmill.session import remove_folder, work_dir
+from growthmill.sources import product_events
 from growthmill.sources.product_events import with_event_key
 from growthmill.sources.specs import RETENTION_DAYS, SourceSpec, with_metadata
 
@@ -310,12 +311,15 @@ def changed_between(rows: DataFrame, spec: SourceSpec, start: date, end: date) -
     return rows.filter(in_days(moments[0] if len(moments) == 1 else F.coalesce(*moments), start, end))
 
 
-def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[str] = ()) -> list:
+def load_source(
+    rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[str] = (), ledger: str | None = None
+) -> list:
     """Merge flat rows of a source into its bronze table; loading the same rows again changes nothing. Returns the partitions it rewrote.
 
     Rows get their load time and source unless they have them, events their key, and tables without a day
     their key bucket. Nulls in keys match, so no row is lost or doubled for a missing dimension. Without an ``order``
-    the row that says it changed last stays, so loading an older export later takes nothing back.
+    the row that says it changed last stays, so loading an older export later takes nothing back. With a ``ledger`` the load
+    is recorded there, for monitors that then need not read the table.
     """
     if "_extracted_at" not in rows.columns:
         rows = with_metadata(rows, spec.table)
@@ -326,7 +330,86 @@ def load_source(rows: DataFrame, path: str, spec: SourceSpec, order: Sequence[st
         rows = with_key_bucket(rows, keys, spec.buckets)
         keys, partition = [*keys, "key_bucket"], "key_bucket"
     order = order or [c for c in spec.versions if c in rows.columns]
-    return merge(rows, path, keys, [*order, "_extracted_at"], partition, spec.schema, null_safe=True)
+    touched = merge(rows, path, keys, [*order, "_extracted_at"], partition, spec.schema, null_safe=True)
+    if ledger is not None:
+        record_load(rows, path, spec.table, partition, touched, ledger)
+    return touched
+
+
+# One row per table, partition and day of loading: rows stored now and the time of the last load among them.
+LEDGER = "partition_value string, load_day date, row_count bigint, last_loaded timestamp, table_name string"
+
+
+def record_load(
+    rows: DataFrame, path: str, table: str, partition_field: str | None, touched: Sequence, ledger: str
+) -> None:
+    """Bring the ledger entries of the partitions that a load rewrote up to date; repeating it changes nothing.
+
+    Only these partitions are read, and of them only the load time. An unpartitioned table is counted whole.
+    """
+    spark = rows.sparkSession
+    shaped, partition = day_partition(rows, partition_field)
+    fields = [shaped.schema[c] for c in ("_extracted_at", partition) if c is not None]
+    stored = spark.read.schema(T.StructType(fields)).parquet(path)
+    if partition is None:
+        value, touched = F.lit(None).cast("string"), [None]
+    else:
+        value, stored = F.col(partition).cast("string"), stored.filter(_in_partitions(partition, list(touched)))
+    loaded = F.col("_extracted_at").cast("timestamp")
+    entries = stored.groupBy(value.alias("partition_value"), F.to_date(loaded).alias("load_day")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.max(loaded).alias("last_loaded")
+    )
+    _replace_entries(spark, ledger, table, touched, entries)
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """Entries of all tables; none if nothing was loaded yet."""
+    schema = T._parse_datatype_string(LEDGER)
+    entries = read_table(spark, ledger, schema)
+    return spark.createDataFrame([], schema) if entries is None else entries
+
+
+def _replace_entries(spark: SparkSession, ledger: str, table: str, touched: Sequence, entries: DataFrame | None) -> None:
+    """Replace the entries of a table's touched partitions; other tables have folders of their own."""
+    gone = _in_partitions("partition_value", [None if v is None else str(v) for v in touched])
+    kept = read_ledger(spark, ledger).filter((F.col("table_name") == table) & ~F.coalesce(gone, F.lit(False)))
+    if entries is not None:
+        kept = kept.unionByName(entries.withColumn("table_name", F.lit(table)))
+    with staging(spark, "ledger") as stage:
+        kept.coalesce(1).write.parquet(stage)
+        result = spark.read.schema(kept.schema).parquet(stage)
+        if result.isEmpty():
+            remove_folder(spark, partition_folder(ledger, "table_name", table))
+        else:
+            overwrite_partitions(result, ledger, "table_name")
+
+
+def load_event_files(
+    spark: SparkSession, files: str, path: str, rejects: str, spec: SourceSpec, ledger: str | None = None
+) -> tuple[list, int, int]:
+    """Load event files; returns the partitions rewritten, the events and the rejected lines of the files.
+
+    The text is read and parsed once, into the stage. Events are merged into the table at ``path``; the rejected lines of
+    a day replace those that an earlier load of the day left at ``rejects``, so every line that is not blank ends up in one of
+    the two. Repeating a load changes nothing.
+    """
+    bad, seen = F.col("parsed").isNull(), Observation()
+    lines = product_events.parse_lines(product_events.read_lines(spark, files)).observe(
+        seen, F.count_if(~bad).alias("events"), F.count_if(bad).alias("rejects")
+    )
+    rows = lines.select(*product_events.event_columns(), F.when(bad, F.col("value")).alias("line"), bad.alias("rejected"))
+    with staging(spark, "events") as stage:
+        rows.write.partitionBy("rejected").parquet(stage)
+        if seen.get["events"] + seen.get["rejects"] == 0:
+            return [], 0, 0
+        staged = spark.read.schema(rows.schema).parquet(stage)
+        days = _partition_values(staged, "event_date")
+        refused = staged.filter("rejected").select("line", "event_date")
+        overwrite_partitions(laid_out(refused, "event_date"), rejects, "event_date")
+        for day in set(days) - set(_partition_values(refused, "event_date")):
+            remove_folder(spark, partition_folder(rejects, "event_date", day))
+        touched = load_source(staged.filter("NOT rejected").drop("line", "rejected"), path, spec, ledger=ledger)
+    return touched, seen.get["events"], seen.get["rejects"]
 
 
 def backfill(
@@ -342,8 +425,16 @@ def expire(df: DataFrame, column: str, as_of: date, layer: str) -> DataFrame:
     return df if days is None else df.filter(F.col(column) >= F.date_sub(F.lit(as_of), days))
 
 
-def expire_partitions(spark: SparkSession, path: str, partition: str, as_of: date, layer: str) -> list[date]:
-    """Remove the stored days that the layer no longer keeps on ``as_of``; returns them."""
+def expire_partitions(
+    spark: SparkSession,
+    path: str,
+    partition: str,
+    as_of: date,
+    layer: str,
+    table_name: str | None = None,
+    ledger: str | None = None,
+) -> list[date]:
+    """Remove the stored days that the layer no longer keeps on ``as_of``, with their ledger entries; returns them."""
     keep_days = RETENTION_DAYS[layer]
     table = read_table(spark, path)
     if keep_days is None or table is None:
@@ -352,6 +443,8 @@ def expire_partitions(spark: SparkSession, path: str, partition: str, as_of: dat
     gone = sorted(d for d in _partition_values(table.filter(F.col(partition) < F.lit(oldest)), partition) if d is not None)
     for day in gone:
         remove_folder(spark, partition_folder(path, partition, day))
+    if gone and ledger is not None:
+        _replace_entries(spark, ledger, table_name, gone, None)
     return gone
 
 

@@ -69,7 +69,10 @@ def freshness_breaches(
     tables: Mapping[str, DataFrame], as_of: datetime, limits: Mapping[str, int] = FRESHNESS_HOURS
 ) -> DataFrame:
     """Tables whose last load is more whole hours ago than allowed, or that were never loaded (null hours)."""
-    loads = _last_loads(tables, {t: (h,) for t, h in limits.items()}, ("max_hours",))
+    return _too_old(_last_loads(tables, {t: (h,) for t, h in limits.items()}, ("max_hours",)), as_of)
+
+
+def _too_old(loads: DataFrame, as_of: datetime) -> DataFrame:
     return loads.withColumn("hours_since_load", hours_between(F.col("last_loaded"), F.lit(as_of))).filter(
         (F.col("hours_since_load") > F.col("max_hours")) | F.col("last_loaded").isNull()
     )
@@ -80,16 +83,58 @@ def source_freshness(tables: Mapping[str, DataFrame], as_of: datetime) -> DataFr
     limits = {
         spec.table: (spec.warn_hours, spec.error_hours) for spec in SOURCES.values() if spec.warn_hours is not None
     }
+    return _with_status(_last_loads(tables, limits, ("warn_hours", "error_hours")), as_of)
+
+
+def _with_status(loads: DataFrame, as_of: datetime) -> DataFrame:
     age = (F.unix_timestamp(F.lit(as_of)) - F.unix_timestamp("last_loaded")) / 3600
     status = (
         F.when(age.isNull() | (age > F.col("error_hours")), "error").when(age > F.col("warn_hours"), "warn").otherwise("pass")
     )
-    loads = _last_loads(tables, limits, ("warn_hours", "error_hours"))
     return loads.withColumns(
         {"hours_since_load": hours_between(F.col("last_loaded"), F.lit(as_of)), "status": status}
     )
 
 
+# The same monitors over the ledger that loads write (see ``loading.record_load``): no table is read. A table with a limit
+# and without an entry was never loaded.
+
+
+def _beside_limits(entries: DataFrame, limits: Mapping[str, tuple[int, ...]], names: tuple[str, ...]) -> DataFrame:
+    """One row per table with limits, with what the ledger says of it."""
+    columns = ", ".join(["table_name string", *[f"{name} int" for name in names]])
+    listed = entries.sparkSession.createDataFrame([(t, *hours) for t, hours in limits.items()], columns)
+    return listed.join(entries, "table_name", "left").select("table_name", *entries.drop("table_name").columns, *names)
+
+
+def _last_entries(ledger: DataFrame) -> DataFrame:
+    return ledger.groupBy("table_name").agg(F.max("last_loaded").alias("last_loaded"))
+
+
+def ledger_freshness_breaches(
+    ledger: DataFrame, as_of: datetime, limits: Mapping[str, int] = FRESHNESS_HOURS
+) -> DataFrame:
+    """``freshness_breaches`` from the ledger."""
+    loads = _beside_limits(_last_entries(ledger), {t: (h,) for t, h in limits.items()}, ("max_hours",))
+    return _too_old(loads, as_of)
+
+
+def ledger_source_freshness(ledger: DataFrame, as_of: datetime) -> DataFrame:
+    """``source_freshness`` from the ledger."""
+    limits = {s.table: (s.warn_hours, s.error_hours) for s in SOURCES.values() if s.warn_hours is not None}
+    return _with_status(_beside_limits(_last_entries(ledger), limits, ("warn_hours", "error_hours")), as_of)
+
+
+def ledger_row_count_breaches(
+    ledger: DataFrame, day: date, minimums: Mapping[str, int] = ROW_MINIMUMS
+) -> DataFrame:
+    """``row_count_breaches`` from the ledger: rows loaded on ``day`` that are stored now."""
+    of_day = ledger.filter(F.col("load_day") == F.lit(day)).groupBy("table_name").agg(F.sum("row_count").alias("row_count"))
+    counts = _beside_limits(of_day, {t: (n,) for t, n in minimums.items()}, ("minimum_rows",))
+    counts = counts.withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
+    return counts.filter(F.col("row_count") < F.col("minimum_rows"))
+
+
 def row_count_breaches(
     tables: Mapping[str, DataFrame], day: date, minimums: Mapping[str, int] = ROW_MINIMUMS
 ) -> DataFrame:

@@ -151,3 +151,55 @@ def summarize_unique(models: Mapping[str, DataFrame]) -> DataFrame:
             for c in columns
         ]
     )
+
+
+def column_tests(model: str) -> dict[tuple[str, str], Column]:
+    """Condition of a failing row for every declared test of a model except uniqueness."""
+    tests = {("not_null", c): F.col(c).isNull() for c in NOT_NULL.get(model, ())}
+    tests |= {("accepted_values", c): ~F.col(c).isin(*v) for c, v in ACCEPTED_VALUES.get(model, {}).items()}
+    return tests | {("accepted_range", c): out_of_range(c, *v) for c, v in ACCEPTED_RANGE.get(model, {}).items()}
+
+
+def check_model(df: DataFrame, model: str, unique: Sequence[str] | None = None) -> DataFrame:
+    """Failing rows of every declared test of a model, all kinds in one scan; for uniqueness, values that repeat.
+
+    With unique columns, rows are first grouped by value, with the failing rows of the other tests counted beside, so one
+    shuffle of partial counts serves all tests. Several unique columns become one row each before it. Nulls pass all tests
+    but ``not_null`` and are never repeated values.
+    """
+    unique = UNIQUE.get(model, ()) if unique is None else unique
+    tests = column_tests(model)
+    failing = {f"f{i}": condition for i, condition in enumerate(tests.values())}
+    if unique:
+        if len(unique) == 1:
+            values = df.withColumns({"_column": F.lit(0), "_value": F.col(unique[0])})
+        else:
+            values = df.select("*", F.posexplode(F.array(*[F.col(c).cast("string") for c in unique])).alias("_column", "_value"))
+        first = F.col("_column") == 0
+        by_value = values.groupBy("_column", "_value").agg(
+            F.count(F.lit(1)).alias("_rows"), *[F.count_if(first & c).alias(f) for f, c in failing.items()]
+        )
+        repeated = F.col("_value").isNotNull() & (F.col("_rows") > 1)
+        totals = by_value.agg(
+            *[F.coalesce(F.sum(f), F.lit(0)).cast("bigint").alias(f) for f in failing],
+            *[F.count_if(repeated & (F.col("_column") == i)).alias(f"u{i}") for i in range(len(unique))],
+        )
+    else:
+        totals = df.agg(*[F.count_if(c).alias(f) for f, c in failing.items()])
+    named = [*zip(tests, failing), *((("unique", c), f"u{i}") for i, c in enumerate(unique))]
+    rows = [
+        F.struct(
+            F.lit(model).alias("model_name"),
+            F.lit(kind).alias("test_name"),
+            F.lit(column).alias("column_name"),
+            F.col(total).alias("failing_rows"),
+        )
+        for (kind, column), total in named
+    ]
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def check_models(models: Mapping[str, DataFrame]) -> DataFrame:
+    """All declared tests of all given models, one scan per model."""
+    declared = {**NOT_NULL, **UNIQUE, **ACCEPTED_VALUES, **ACCEPTED_RANGE}
+    return _union([check_model(models[m], m) for m in declared if m in models])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from growthmill.functions.text import surrogate_key
 
-EVENT_LINE = "event string, properties map<string, variant>, _corrupt_record string"
+EVENT_LINES = "objects array<struct<event: string, properties: map<string, variant>>>, seal bigint, _corrupt_record string"
 
 SEGMENTATION_PAYLOAD = "data struct<values: map<string, map<string, bigint>>>"
 
@@ -67,48 +67,74 @@ def custom_properties(properties: Column) -> Column:
     return F.coalesce(F.to_json(F.map_filter(properties, is_custom)), F.lit("{}"))
 
 
-def flatten_events(lines: DataFrame, event_date: Column) -> DataFrame:
-    """Parsed event lines to bronze rows; ``event_date`` is the day the export was made for."""
-    props = F.col("properties")
-    return lines.filter(F.col("_corrupt_record").isNull()).select(
-        "event",
+def read_lines(spark: SparkSession, path: str, export_day: date | None = None) -> DataFrame:
+    """Lines of the event files under ``path``; the export day comes from ``event_date=...`` folders unless given."""
+    if export_day is None:
+        return spark.read.schema("value string, event_date date").text(path)
+    return spark.read.schema("value string").text(path).withColumn("event_date", F.lit(export_day))
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Add ``parsed``, the event on the line, or null for a line that is rejected; blank lines are no lines.
+
+    This is the only rule by which lines are kept or rejected. A line is an event if it is exactly one JSON object whose
+    properties, if it has any, are an object too. Text that is cut off, other JSON values, properties of another
+    shape and several objects on one line are rejected. ``NaN`` and single quotes are read as numbers and quotes.
+    """
+    # As an element of an array, a second object on the line is a second element or an error, not ignored text. A line that
+    # closes the array itself does not reach the seal behind it, which it cannot know.
+    seal = F.xxhash64("value")
+    wrapped = F.from_json(F.concat(F.lit('{"objects":['), "value", F.lit('],"seal":'), seal, F.lit("}")), EVENT_LINES)
+
+    def only_object(line: Column) -> Column:
+        whole = line["_corrupt_record"].isNull() & line["seal"].eqNullSafe(seal) & (F.size(line["objects"]) == 1)
+        return F.when(whole, line["objects"][0])
+
+    # The lambda binds the parsed line, so that the text is parsed once.
+    parsed = F.explode_outer(F.transform(F.array(wrapped), only_object))
+    return lines.filter(F.trim("value") != "").select("*", parsed.alias("parsed"))
+
+
+def event_columns() -> list[Column]:
+    """Bronze columns of a parsed line; all but the day are null where the line is rejected."""
+    props = F.col("parsed.properties")
+    return [
+        F.col("parsed.event").alias("event"),
         *[props[name].cast("string").alias(column) for name, column in TEXT_PROPERTIES],
-        F.timestamp_seconds(F.expr("try_variant_get(properties['time'], '$', 'double')")).alias("time"),
+        F.timestamp_seconds(F.expr("try_variant_get(parsed.properties['time'], '$', 'double')")).alias("time"),
         *[
-            F.expr(f"try_variant_get(properties['{name}'], '$', 'bigint')").alias(column)
+            F.expr(f"try_variant_get(parsed.properties['{name}'], '$', 'bigint')").alias(column)
             for name, column in WHOLE_PROPERTIES
         ],
         custom_properties(props).alias("custom_properties"),
-        event_date.alias("event_date"),
-    )
+        F.col("event_date"),
+    ]
 
 
 def read_events(
     spark: SparkSession, path: str, events: Sequence[str] | None = None, export_day: date | None = None
 ) -> DataFrame:
-    """Newline-delimited event files under ``path``, malformed lines left out.
+    """Newline-delimited event files under ``path``, rejected lines left out.
 
-    The export day comes from ``event_date=...`` folders unless ``export_day`` gives it.
-    ``events`` keeps only the named events and is pushed into the scan.
+    ``events`` keeps only the named events; lines that do not mention one of them are passed over before they are parsed.
     """
-    if export_day is None:
-        lines = spark.read.schema(f"{EVENT_LINE}, event_date date").json(path)
-        day = F.col("event_date")
-    else:
-        lines = spark.read.schema(EVENT_LINE).json(path)
-        day = F.lit(export_day)
+    lines = read_lines(spark, path, export_day)
+    if events is not None:
+        # A name may also be written with escapes.
+        mentioned = F.col("value").contains("\\")
+        for name in events:
+            mentioned = mentioned | F.col("value").contains(name)
+        lines = lines.filter(mentioned)
+    kept = parse_lines(lines).filter(F.col("parsed").isNotNull())
     if events is not None:
-        lines = lines.filter(F.col("event").isin(*events))
-    return flatten_events(lines, day)
+        kept = kept.filter(F.col("parsed.event").isin(*events))
+    return kept.select(*event_columns())
 
 
 def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Malformed lines per export day, for the run log; ``read_events`` leaves them out. Blank lines are no lines."""
-    lines = spark.read.schema("value string, event_date date").text(path).filter(F.trim("value") != "")
-    # A line is an event if it is one JSON object.
-    parsed = F.try_parse_json("value")
-    broken = parsed.isNull() | ~F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT"))
-    return lines.filter(broken).groupBy("event_date").agg(F.count(F.lit(1)).alias("rejected_lines"))
+    """Rejected lines per export day, for the run log: the lines that ``read_events`` leaves out."""
+    rejected = parse_lines(read_lines(spark, path)).filter(F.col("parsed").isNull())
+    return rejected.groupBy("event_date").agg(F.count(F.lit(1)).alias("rejected_lines"))
 
 
 def with_event_key(df: DataFrame) -> DataFrame:

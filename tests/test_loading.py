@@ -5,7 +5,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from growthmill.operators import loading, skew
+from growthmill.operators import loading, monitors, skew
 from growthmill.sources import specs
 
 ROW = "id bigint, day date, v string, n int"
@@ -253,3 +253,73 @@ def test_merge_returns_what_it_rewrote_and_marts_follow(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(mart).select("day", "n").collect()), key=repr) == sorted(map(tuple, counts().collect()), key=repr)
     assert loading.days_to_refresh([DAYS[5], None], before=2, after=1) == [DAYS[4], DAYS[5], DAYS[6], DAYS[7], None]
     assert loading.merge(frame(spark), path, ["id"], ["n"], "day") == [] and loading.refresh_touched(counts(), mart, "day", []) == []
+
+
+def event_folder(tmp_path, day, *lines):
+    folder = tmp_path / "files" / f"event_date={day}"
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "part.json").write_text("\n".join(lines) + "\n")
+
+
+def test_event_files_split_into_table_and_rejects(spark, tmp_path):
+    files, table, rejects = (str(tmp_path / n) for n in ("files", "table", "rejects"))
+    good = ['{"event":"A","properties":{"$insert_id":"%d","time":1704067200}}' % i for i in range(3)]
+    event_folder(tmp_path, "2024-01-01", *good, "broken", "broken")
+    event_folder(tmp_path, "2024-01-02", "broken")
+    for _ in range(2):
+        touched, events, refused = loading.load_event_files(spark, files, table, rejects, specs.MIXPANEL_EVENTS)
+        assert (touched, events, refused) == ([date(2024, 1, 1)], 3, 3)
+        assert spark.read.parquet(table).count() == 3
+        stored = spark.read.parquet(rejects).groupBy("event_date").count().collect()
+        assert {r.event_date.day: r["count"] for r in stored} == {1: 2, 2: 1}
+    # A corrected export of a day takes its rejects away.
+    event_folder(tmp_path, "2024-01-02", good[0])
+    assert loading.load_event_files(spark, files, table, rejects, specs.MIXPANEL_EVENTS)[1:] == (4, 2)
+    assert [r.event_date.day for r in spark.read.parquet(rejects).select("event_date").distinct().collect()] == [1]
+    event_folder(tmp_path / "none", "2024-01-01", "")
+    assert loading.load_event_files(spark, f"{tmp_path}/none/files", table, rejects, specs.MIXPANEL_EVENTS) == ([], 0, 0)
+    assert spark.read.parquet(table).count() == 4
+
+
+def ledger_rows(spark, ledger):
+    entries = loading.read_ledger(spark, ledger).collect()
+    return sorted((r.table_name, r.partition_value, r.load_day.day, r.row_count) for r in entries)
+
+
+def test_ledger_follows_loads_and_expiry(spark, tmp_path):
+    path, other, ledger = (str(tmp_path / n) for n in ("segments", "objects", "ledger"))
+    columns = "event string, segment_property string, segment_value string, date date, event_count bigint, _extracted_at timestamp"
+
+    def load(*rows):
+        frame = spark.createDataFrame([("e", "p", v, date(2024, 1, d), n, datetime(2024, 2, at)) for v, d, n, at in rows], columns)
+        loading.load_source(frame, path, specs.MIXPANEL_SEGMENTATION, ledger=ledger)
+
+    assert ledger_rows(spark, ledger) == []
+    load(("a", 1, 1, 1), ("b", 1, 1, 1), ("a", 2, 1, 1))
+    objects = spark.createDataFrame([("1", "lead", datetime(2024, 2, 9))], "Id string, object_type string, _extracted_at timestamp")
+    loading.load_source(objects, other, specs.SALESFORCE, ledger=ledger)
+    bucket = next(row[1] for row in ledger_rows(spark, ledger) if row[0] == "salesforce_objects")
+    for _ in range(2):
+        load(("a", 1, 5, 3), ("c", 3, 1, 3))
+        assert ledger_rows(spark, ledger) == [
+            ("mixpanel_segmentation", "2024-01-01", 1, 1),
+            ("mixpanel_segmentation", "2024-01-01", 3, 1),
+            ("mixpanel_segmentation", "2024-01-02", 1, 1),
+            ("mixpanel_segmentation", "2024-01-03", 3, 1),
+            ("salesforce_objects", bucket, 9, 1),
+        ]
+    stored = loading.read_table(spark, path)
+    for now in (datetime(2024, 2, 3, 15), datetime(2024, 2, 9)):
+        scanned = monitors.freshness_breaches({"mixpanel_segmentation": stored}, now, {"mixpanel_segmentation": 12}).collect()
+        noted = monitors.ledger_freshness_breaches(loading.read_ledger(spark, ledger), now, {"mixpanel_segmentation": 12})
+        assert sorted(noted.collect()) == sorted(scanned)
+        assert path not in noted._jdf.queryExecution().executedPlan().toString()
+    (never,) = monitors.ledger_freshness_breaches(loading.read_ledger(spark, ledger), now, {"ga4_sessions": 6}).collect()
+    assert never.last_loaded is None and never.hours_since_load is None
+    low = monitors.ledger_row_count_breaches(
+        loading.read_ledger(spark, ledger), date(2024, 2, 3), {"mixpanel_segmentation": 3, "ga4_sessions": 1}
+    )
+    assert sorted((r.table_name, r.row_count) for r in low.collect()) == [("ga4_sessions", 0), ("mixpanel_segmentation", 2)]
+    gone = loading.expire_partitions(spark, path, "date", date(2025, 1, 2), "raw", "mixpanel_segmentation", ledger)
+    assert gone == [date(2024, 1, 1), date(2024, 1, 2)]
+    assert [row[1] for row in ledger_rows(spark, ledger)] == ["2024-01-03", bucket]

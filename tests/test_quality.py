@@ -92,3 +92,25 @@ def test_column_tests(spark, rows):
     assert rows(schema_tests.failing_accepted_range(df, "v", 0, 1.5), "v") == [(-1.0,), (2.0,)]
     summary = schema_tests.summarize_unique({"stg_hubspot_contacts": df.withColumn("contact_id", F.col("k"))})
     assert rows(summary) == [("stg_hubspot_contacts", "contact_id", 1)]
+
+
+def test_all_kinds_of_column_tests_in_one_scan(spark, rows):
+    events = spark.createDataFrame(
+        [("1", "a", "u", DAY, "direct"), ("1", "a", None, DAY, "wrong"), (None, "a", "u", DAY, None), (None, None, None, None, "wrong")],
+        "event_id string, event_name string, distinct_id string, event_date date, channel_normalized string",
+    )
+    checked = schema_tests.check_model(events, "stg_mixpanel_events")
+    got = {(r.test_name, r.column_name): r.failing_rows for r in checked.collect()}
+    assert got == {
+        ("not_null", "event_id"): 2, ("not_null", "event_name"): 1, ("not_null", "distinct_id"): 2, ("not_null", "event_date"): 1,
+        ("accepted_values", "channel_normalized"): 2, ("unique", "event_id"): 1,
+    }
+    assert checked._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    several = schema_tests.check_model(events, "stg_mixpanel_events", ("event_id", "event_name", "event_date"))
+    more = {(r.test_name, r.column_name): r.failing_rows for r in several.collect()}
+    assert more == {**got, ("unique", "event_name"): 1, ("unique", "event_date"): 1}
+    empty = schema_tests.check_model(events.limit(0), "stg_mixpanel_events")
+    assert {r.failing_rows for r in empty.collect()} == {0}
+    parts = {"stg_mixpanel_events": events}
+    both = schema_tests.summarize_not_null(parts).unionByName(schema_tests.summarize_unique(parts))
+    assert {(r.column_name, r.failing_rows) for r in both.collect()} <= {(c, n) for (_, c), n in got.items()}

@@ -32,6 +32,44 @@ def test_event_lines_with_malformed_and_partial_input(spark, tmp_path, rows):
     assert rows(only, "event") == [("A",)]
 
 
+ODD_LINES = (
+    ('{"event":"A","properties":{"distinct_id":"u"}}', True),
+    ('  {"event":"B","properties":null}  ', True),
+    ('{"event":"C"}', True),
+    ('{"event":"D","properties":{"n":NaN}}', True),
+    ("{'event':'E','properties':{}}", True),
+    ("{}", True),
+    ('{"event":"F","properties":"text"}', False),
+    ('{"event":"G","properties":[1]}', False),
+    ('{"event":"H"}{"event":"I"}', False),
+    ('{"event":"J"},{"event":"K"}', False),
+    ('{"event":"L"} trailing', False),
+    ('{"event":"M", "prop', False),
+    ('["event"]', False),
+    ("null", False),
+    ("7", False),
+    ('],"objects":[', False),
+    ('{"event":"N"}]}', False),
+    ('{"event":"N"}],"seal":1}', False),
+)
+
+
+def test_every_line_is_an_event_or_rejected_by_one_rule(spark, tmp_path):
+    folder = tmp_path / "files" / "event_date=2024-01-02"
+    folder.mkdir(parents=True)
+    (folder / "day.json").write_text("\n\n".join(line for line, _ in ODD_LINES) + "\n")
+    parsed = product_events.parse_lines(product_events.read_lines(spark, str(tmp_path / "files"))).collect()
+    assert [(r["value"], r["parsed"] is not None) for r in parsed] == list(ODD_LINES)
+    assert product_events.read_events(spark, str(tmp_path / "files")).count() == 6
+    (count,) = product_events.rejected_lines(spark, str(tmp_path / "files")).collect()
+    assert (count.event_date, count.rejected_lines) == (date(2024, 1, 2), 12)
+
+
+def test_names_with_escapes_pass_the_name_filter(spark, tmp_path):
+    (tmp_path / "e.json").write_text('{"event":"A"}\n{"event":"\\u0041"}\n{"event":"B","properties":{"x":"A"}}\n')
+    assert product_events.read_events(spark, str(tmp_path), ["A"], date(2024, 1, 2)).count() == 2
+
+
 def test_events_without_insert_id_get_a_stable_key(spark):
     df = spark.createDataFrame([("u", "e", None, datetime(2024, 1, 1)), ("u", "e", "i", datetime(2024, 1, 1))],
                                "distinct_id string, event string, insert_id string, time timestamp")

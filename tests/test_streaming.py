@@ -61,3 +61,27 @@ def test_dropped_late_rows_are_counted(spark, tmp_path):
         stream = streams.read_event_stream(spark, source, SCHEMA)
         dropped.append(streams.append_to(streams.deduplicate(stream), sink, state))
     assert sum(dropped) == 1
+
+
+def test_closed_days_have_exact_users_and_late_rows_are_counted(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = [("ab"[i % 2], None if i % 11 == 0 else f"u{i % 5}", str(i), START + timedelta(hours=i % 60)) for i in range(90)]
+    late = ("a", "u9", "late", START)
+    steps = [rows[::3], rows[1::3], rows[2::3], [("z", "z", "z", START + timedelta(days=9))], [late]]
+    dropped = 0
+    for arriving in steps:
+        arrive(spark, source, arriving)
+        stream = streams.read_event_stream(spark, source, SCHEMA, files_per_batch=1)
+        shaped = stream.selectExpr("event AS event_name", "distinct_id", "time AS event_timestamp", "'direct' AS channel_normalized")
+        dropped += streams.append_to(streams.closed_daily_counts(shaped, "3 days"), sink, state)
+    got = {(r.event_date, r.event_name): (r.event_count, r.unique_users) for r in spark.read.parquet(sink).collect()}
+    days = {(r[3].date(), r[0]) for r in rows}
+    expected = {
+        (day, name): (
+            sum(r[0] == name and r[3].date() == day for r in rows),
+            len({r[1] for r in rows if r[0] == name and r[3].date() == day} - {None}),
+        )
+        for day, name in days
+    }
+    assert got == expected
+    assert dropped == 1

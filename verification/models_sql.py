@@ -92,8 +92,8 @@ SELECT coalesce(insert_id, md5(concat_ws('-', distinct_id, event, CAST(time AS V
        nullif(lower(utm_campaign), '') AS utm_campaign, nullif(lower(utm_content), '') AS utm_content,
        nullif(lower(utm_term), '') AS utm_term,
        CASE WHEN lower(utm_medium) IN ('cpc', 'ppc', 'paidsearch') THEN 'paid_search'
-            WHEN lower(utm_medium) IN ('cpm', 'cpv', 'paid_social', 'social_paid')
-              OR lower(utm_source) IN ('facebook', 'instagram', 'linkedin', 'meta', 'tiktok', 'twitter') THEN 'paid_social'
+            WHEN lower(utm_medium) IN ('paid_social', 'social_paid', 'cpm', 'cpv')
+              OR lower(utm_source) IN ('facebook', 'instagram', 'linkedin', 'twitter', 'tiktok', 'meta') THEN 'paid_social'
             WHEN lower(utm_medium) = 'organic' THEN 'organic_search'
             WHEN lower(utm_medium) IN ('email', 'referral', 'affiliate', 'display') THEN lower(utm_medium)
             WHEN coalesce(utm_source, utm_medium) IS NULL THEN 'direct' ELSE 'other' END AS channel_normalized,
@@ -102,8 +102,8 @@ FROM raw_mixpanel_events WHERE event IS NOT NULL AND distinct_id IS NOT NULL AND
     "stg_mixpanel_segmentation": """
 SELECT date, event AS event_name, segment_property, nullif(lower(segment_value), '') AS segment_value, event_count,
        CASE WHEN segment_property <> 'utm_source' THEN NULL
-            WHEN lower(segment_value) IN ('bing', 'google') THEN 'paid_search'
-            WHEN lower(segment_value) IN ('facebook', 'instagram', 'linkedin', 'meta', 'tiktok', 'twitter') THEN 'paid_social'
+            WHEN lower(segment_value) IN ('google', 'bing') THEN 'paid_search'
+            WHEN lower(segment_value) IN ('facebook', 'instagram', 'linkedin', 'twitter', 'tiktok', 'meta') THEN 'paid_social'
             ELSE lower(segment_value) END AS channel_normalized, _extracted_at
 FROM raw_mixpanel_segmentation WHERE date IS NOT NULL AND event IS NOT NULL""",
     "stg_mixpanel_funnels": """

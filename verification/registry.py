@@ -452,6 +452,24 @@ def _(m):
     return product_events.rejected_lines(m.spark, landing.event_lines(m.spark, m.sf_dir))
 
 
+@register(
+    "load_event_files",
+    f"""SELECT event_date, 'event' AS kind, count(*) AS rows FROM (
+       SELECT DISTINCT event_date, coalesce(insert_id, distinct_id || '-' || event || '-' || time) AS event_key FROM ({EVENT_SQL}) e) k GROUP BY 1
+       UNION ALL SELECT CAST(ts AS DATE), 'rejected', count(*) FROM events WHERE event_id % 50 IN (0, 1) GROUP BY 1""",
+)
+def _(m):
+    """Event files loaded twice: events in the table, all other lines among the rejects."""
+    files, path = landing.event_lines(m.spark, m.sf_dir), m.work("event-files-load")
+    for _ in range(2):
+        loading.load_event_files(m.spark, files, f"{path}/table", f"{path}/rejects", specs.MIXPANEL_EVENTS)
+    counts = [
+        m.spark.read.parquet(f"{path}/{folder}").groupBy("event_date", F.lit(kind).alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
+        for folder, kind in (("table", "event"), ("rejects", "rejected"))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @register(
     "src_custom_properties",
     """SELECT CAST(user_id AS VARCHAR) AS distinct_id, event_type AS event,
@@ -1401,6 +1419,55 @@ def _(m):
     return monitors.row_count_breaches(m.bronze, date(2024, 1, 1))
 
 
+def _ledger(m: Models) -> DataFrame:
+    """The ledger after loads of four bronze tables, the events in two loads."""
+    path = m.work("ledger")
+    loads = [
+        ("google_ads_campaigns", specs.GOOGLE_ADS, None),
+        ("ga4_sessions", specs.GA4, None),
+        ("mixpanel_events", specs.MIXPANEL_EVENTS, "second(time) < 20"),
+        ("mixpanel_events", specs.MIXPANEL_EVENTS, "second(time) >= 20"),
+        ("mixpanel_segmentation", specs.MIXPANEL_SEGMENTATION, None),
+    ]
+    for name, spec, part in loads:
+        rows = m.bronze[name]
+        if part is not None:
+            rows = rows.filter(part)
+        loading.load_source(rows, f"{path}/{name}", spec, ledger=f"{path}/ledger")
+    return loading.read_ledger(m.spark, f"{path}/ledger")
+
+
+LOADED = "'google_ads_campaigns', 'ga4_sessions', 'mixpanel_events', 'mixpanel_segmentation'"
+
+
+@register(
+    "mon_freshness_ledger",
+    f"""SELECT table_name, last_loaded, warn_hours, error_hours, date_sub('hour', last_loaded, TIMESTAMP '{NOW}') AS hours_since_load,
+       CASE WHEN last_loaded IS NULL OR TIMESTAMP '{NOW}' > last_loaded + INTERVAL 1 HOUR * error_hours THEN 'error'
+            WHEN TIMESTAMP '{NOW}' > last_loaded + INTERVAL 1 HOUR * warn_hours THEN 'warn' ELSE 'pass' END AS status
+       FROM (SELECT table_name, CASE WHEN table_name IN ({LOADED}) THEN last_loaded END AS last_loaded, warn_hours, error_hours FROM ({LOADS_SQL}) l) n""",
+)
+def _(m):
+    """Freshness from the ledger that loads write; tables not loaded are errors."""
+    return monitors.ledger_source_freshness(_ledger(m), NOW)
+
+
+@register(
+    "mon_row_counts_ledger",
+    """SELECT table_name, row_count, CAST(minimum_rows AS INTEGER) AS minimum_rows FROM (
+       SELECT 'google_ads_campaigns' AS table_name, count(DISTINCT (campaign_id, ad_group_id, date, device)) AS row_count, 1000000 AS minimum_rows
+         FROM raw_google_ads WHERE CAST(_extracted_at AS DATE) = DATE '2024-01-16'
+       UNION ALL SELECT 'mixpanel_events', count(*), 1000000 FROM raw_mixpanel_events WHERE CAST(_extracted_at AS DATE) = DATE '2024-01-16'
+       UNION ALL SELECT 'mixpanel_segmentation', count(*), 0 FROM raw_mixpanel_segmentation
+       UNION ALL SELECT 'meta_ads_insights', 0, 10) c
+       WHERE row_count < minimum_rows""",
+)
+def _(m):
+    """Rows loaded on one day, from the ledger; a table that was never loaded has none."""
+    minimums = {"google_ads_campaigns": 1_000_000, "mixpanel_events": 1_000_000, "mixpanel_segmentation": 0, "meta_ads_insights": 10}
+    return monitors.ledger_row_count_breaches(_ledger(m), date(2024, 1, 16), minimums)
+
+
 WATCHED = {"fct_campaign_performance": ("date", ("campaign_id", "cvr", "roas")), "fct_revenue": ("order_date", ("order_date", "gross_revenue"))}
 
 
@@ -1442,65 +1509,115 @@ def _(m):
     return monitors.kpi_alerts(m.roi, m.bronze, m.checked, NOW, DAY, WATCHED)
 
 
-def _summary_sql(parts: list[tuple[str, str, str]]) -> str:
-    return " UNION ALL ".join(
-        f"SELECT '{t}' AS model_name, '{c}' AS column_name, count(*) FILTER (WHERE {bad}) AS failing_rows FROM {t}"
-        for t, c, bad in parts
-    )
-
-
-def _range_sql(column: str, low, high) -> str:
-    return " OR ".join([f"{column} < {low}"] * (low is not None) + [f"{column} > {high}"] * (high is not None))
-
-
-@register(
-    "test_not_null",
-    _summary_sql([(t, c, f"{c} IS NULL") for t, columns in schema_tests.NOT_NULL.items() for c in columns]),
-)
+# Expected conditions of failing rows: model, kind, column, condition. Uniqueness has no condition.
+COLUMN_TESTS_SQL = [
+    tuple(part.strip() for part in line.split("|"))
+    for line in """
+    stg_google_ads | not_null | campaign_id | campaign_id IS NULL
+    stg_google_ads | not_null | date | date IS NULL
+    stg_google_ads | accepted_range | impressions | impressions < 0
+    stg_google_ads | accepted_range | cost_usd | cost_usd < 0
+    stg_google_ads | accepted_range | roas | roas < 0
+    stg_meta_ads | not_null | ad_id | ad_id IS NULL
+    stg_meta_ads | not_null | date | date IS NULL
+    stg_meta_ads | accepted_range | cost_usd | cost_usd < 0
+    stg_ga4_sessions | not_null | date | date IS NULL
+    stg_ga4_sessions | accepted_range | sessions | sessions < 0
+    stg_hubspot_contacts | not_null | contact_id | contact_id IS NULL
+    stg_hubspot_contacts | unique | contact_id |
+    stg_shopify_orders | not_null | order_id | order_id IS NULL
+    stg_shopify_orders | unique | order_id |
+    stg_shopify_orders | accepted_range | gross_revenue | gross_revenue < 0
+    stg_mixpanel_events | not_null | event_id | event_id IS NULL
+    stg_mixpanel_events | not_null | event_name | event_name IS NULL
+    stg_mixpanel_events | not_null | distinct_id | distinct_id IS NULL
+    stg_mixpanel_events | not_null | event_date | event_date IS NULL
+    stg_mixpanel_events | unique | event_id |
+    stg_mixpanel_events | accepted_values | channel_normalized | channel_normalized NOT IN ('paid_search', 'paid_social', 'email', 'organic_search', 'referral', 'affiliate', 'display', 'direct', 'other')
+    stg_mixpanel_segmentation | not_null | event_name | event_name IS NULL
+    stg_mixpanel_segmentation | not_null | date | date IS NULL
+    stg_mixpanel_segmentation | accepted_range | event_count | event_count < 0
+    stg_mixpanel_funnels | not_null | funnel_id | funnel_id IS NULL
+    stg_mixpanel_funnels | not_null | date | date IS NULL
+    stg_mixpanel_funnels | not_null | step_index | step_index IS NULL
+    stg_mixpanel_funnels | accepted_range | entered_count | entered_count < 0
+    fct_campaign_performance | not_null | date | date IS NULL
+    fct_campaign_performance | not_null | campaign_id | campaign_id IS NULL
+    fct_campaign_performance | accepted_range | cost_usd | cost_usd < 0
+    fct_campaign_performance | accepted_range | roas | roas < 0
+    fct_ad_spend_roi | not_null | date | date IS NULL
+    fct_ad_spend_roi | accepted_values | performance_tier | performance_tier NOT IN ('high_performer', 'mid_performer', 'break_even', 'underperformer')
+    fct_funnel_conversion | not_null | week_start | week_start IS NULL
+    fct_funnel_conversion | accepted_range | lead_to_mql_rate | lead_to_mql_rate NOT BETWEEN 0 AND 1
+    fct_funnel_conversion | accepted_range | overall_conversion_rate | overall_conversion_rate NOT BETWEEN 0 AND 1
+    fct_revenue | not_null | order_date | order_date IS NULL
+    fct_revenue | accepted_range | gross_revenue | gross_revenue < 0
+    fct_revenue | accepted_range | avg_order_value | avg_order_value < 0
+    fct_attribution | not_null | date | date IS NULL
+    fct_attribution | not_null | channel | channel IS NULL
+    fct_mixpanel_events | not_null | event_date | event_date IS NULL
+    fct_mixpanel_events | not_null | event_name | event_name IS NULL
+    fct_mixpanel_events | not_null | channel_normalized | channel_normalized IS NULL
+    fct_mixpanel_events | accepted_range | event_count | event_count < 0
+    fct_mixpanel_events | accepted_range | unique_users | unique_users < 0
+    fct_mixpanel_events | accepted_range | events_per_user | events_per_user < 0
+    fct_mixpanel_funnel | not_null | date | date IS NULL
+    fct_mixpanel_funnel | not_null | funnel_id | funnel_id IS NULL
+    fct_mixpanel_funnel | not_null | step_index | step_index IS NULL
+    fct_mixpanel_funnel | accepted_range | step_conversion_rate | step_conversion_rate NOT BETWEEN 0 AND 1
+    fct_mixpanel_funnel | accepted_range | cumulative_drop_off_rate | cumulative_drop_off_rate NOT BETWEEN 0 AND 1
+    fct_mixpanel_funnel | accepted_range | overall_funnel_conversion_rate | overall_funnel_conversion_rate NOT BETWEEN 0 AND 1
+    fct_mixpanel_campaign_attribution | not_null | event_date | event_date IS NULL
+    fct_mixpanel_campaign_attribution | not_null | channel_normalized | channel_normalized IS NULL
+    fct_mixpanel_campaign_attribution | accepted_range | orders | orders < 0
+    fct_mixpanel_campaign_attribution | accepted_range | cart_to_checkout_rate | cart_to_checkout_rate NOT BETWEEN 0 AND 1
+    fct_mixpanel_campaign_attribution | accepted_range | checkout_to_order_rate | checkout_to_order_rate NOT BETWEEN 0 AND 1
+    """.strip().splitlines()
+]
+
+
+def _column_tests_sql(kind: str | None = None) -> str:
+    """Failing rows of the tests of one kind, or of all with the name of the kind."""
+    parts = []
+    for model_name, test, column, condition in COLUMN_TESTS_SQL:
+        if kind not in (None, test):
+            continue
+        name = f"'{test}' AS test_name, " if kind is None else ""
+        failing = f"count(*) FILTER (WHERE {condition})"
+        rows = model_name
+        if test == "unique":
+            failing = "count(*)"
+            rows = f"(SELECT {column} FROM {model_name} WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) d"
+        parts.append(f"SELECT '{model_name}' AS model_name, {name}'{column}' AS column_name, {failing} AS failing_rows FROM {rows}")
+    return " UNION ALL ".join(parts)
+
+
+@register("test_not_null", _column_tests_sql("not_null"))
 def _(m):
     return schema_tests.summarize_not_null(m.tested)
 
 
-@register(
-    "test_unique",
-    " UNION ALL ".join(
-        f"SELECT '{t}' AS model_name, '{c}' AS column_name, count(*) AS failing_rows FROM (SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1) d"
-        for t, columns in schema_tests.UNIQUE.items()
-        for c in columns
-    ),
-)
+@register("test_unique", _column_tests_sql("unique"))
 def _(m):
     return schema_tests.summarize_unique(m.tested)
 
 
-@register(
-    "test_accepted_values",
-    _summary_sql(
-        [
-            (t, c, f"{c} NOT IN ({', '.join(repr(v) for v in values)})")
-            for t, columns in schema_tests.ACCEPTED_VALUES.items()
-            for c, values in columns.items()
-        ]
-    ),
-)
+@register("test_accepted_values", _column_tests_sql("accepted_values"))
 def _(m):
     return schema_tests.summarize_accepted_values(m.tested)
 
 
-@register(
-    "test_accepted_range",
-    _summary_sql(
-        [
-            (t, c, _range_sql(c, *limits))
-            for t, columns in schema_tests.ACCEPTED_RANGE.items()
-            for c, limits in columns.items()
-        ]
-    ),
-)
+@register("test_accepted_range", _column_tests_sql("accepted_range"))
 def _(m):
     return schema_tests.summarize_accepted_range(m.tested)
 
 
+@register("test_all_columns", _column_tests_sql())
+def _(m):
+    """All kinds of tests, each model read once."""
+    return schema_tests.check_models(m.tested)
+
+
 # --- KPIs and business questions --------------------------------------------------------------
 
 
@@ -1708,11 +1825,18 @@ def _event_stream(m: Models) -> DataFrame:
     return streams.read_event_stream(m.spark, m.sf_dir, schema, glob="events.parquet")
 
 
-def _event_files(m: Models, *expressions: str) -> DataFrame:
-    """The events as files in shuffled order, one of which makes a batch."""
+def _event_files(m: Models, *expressions: str, closing: str | None = None) -> DataFrame:
+    """The events as files in shuffled order, one of which makes a batch.
+
+    With ``closing``, the last file holds one row, years after all others by the column of that name.
+    """
     path = m.work("event-files")
     rows = m.table("events").selectExpr(*expressions)
     rows.orderBy(F.xxhash64(*rows.columns)).repartition(4).write.parquet(path)
+    if closing is not None:
+        last = rows.agg((F.max(closing) + F.expr("INTERVAL 3 YEARS")).alias(closing))
+        others = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema if f.name != closing]
+        last.select(closing, *others).select(*rows.columns).write.mode("append").parquet(path)
     return streams.read_event_stream(m.spark, path, rows.schema, files_per_batch=1)
 
 
@@ -1767,6 +1891,31 @@ def _(m):
     return m.spark.read.parquet(f"{path}/table").drop("approx_users")
 
 
+@register(
+    "stream_closed_days",
+    """SELECT event_date, event_name, channel_normalized, count(*) AS event_count, count(DISTINCT distinct_id) AS unique_users
+       FROM stg_mixpanel_events GROUP BY 1, 2, 3""",
+)
+def _(m):
+    """Exact users per day: events in any order in several batches, then one much later event that closes all their days."""
+    name = """CASE event_type WHEN 'view' THEN 'Page Viewed' WHEN 'click' THEN 'Add to Cart' WHEN 'signup' THEN 'Signed Up'
+           WHEN 'purchase' THEN 'Order Completed' ELSE 'Checkout Started' END AS event_name"""
+    arriving = _event_files(
+        m,
+        "CAST(user_id AS STRING) AS distinct_id",
+        "CAST(ts AS TIMESTAMP) AS event_timestamp",
+        name,
+        """CASE event_id % 6 WHEN 0 THEN 'Google' WHEN 1 THEN 'facebook' WHEN 2 THEN 'newsletter' WHEN 3 THEN ''
+           WHEN 4 THEN 'partner' END AS utm_source""",
+        """CASE event_id % 6 WHEN 0 THEN 'CPC' WHEN 1 THEN 'social' WHEN 2 THEN 'email' WHEN 3 THEN ''
+           WHEN 4 THEN 'affiliate' END AS utm_medium""",
+        closing="event_timestamp",
+    ).withColumn("channel_normalized", channel_utm(F.col("utm_source"), F.col("utm_medium")))
+    path = m.work("stream-closed")
+    streams.append_to(streams.closed_daily_counts(arriving, "366 days"), f"{path}/table", f"{path}/checkpoint")
+    return m.spark.read.parquet(f"{path}/table")
+
+
 @register(
     "stream_upsert",
     """SELECT event_id AS insert_id, CAST(ts AS DATE) AS event_date, event_type AS event,
