@@ -4,7 +4,8 @@ Symbols start as single characters. All adjacent pairs whose concatenation is a
 ordered by piece score, ties by position; the best pair is merged, its new neighbours join the agenda, and
 pairs that have since changed are skipped. Pieces cannot span a word start, and a line feed is
 in no piece, so words can be encoded one by one and remembered. Every word that a task encodes
-for the first time is checked against the sentencepiece library, a batch of words per call.
+for the first time is checked against the sentencepiece library, a batch of words per call. Where the two differ,
+the text gets the library's ids for that word.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 
 # Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
 MEMORY_WORDS = 400_000
+# Longer words are not remembered, so that a corpus of unbroken strings cannot fill a task.
+REMEMBERED_CHARS = 64
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean"
 
@@ -37,11 +40,12 @@ class Words(dict):
         self.unchecked: dict[str, list[int]] = {}
 
     def __missing__(self, word: str) -> tuple[int, str, bytes]:
-        if len(self) >= MEMORY_WORDS:
-            for old in list(islice(reversed(self), len(self) // 2)):
-                del self[old]
         coded = self.codec.coded(word)
-        self[word] = coded
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= MEMORY_WORDS:
+                for old in list(islice(reversed(self), len(self) // 2)):
+                    del self[old]
+            self[word] = coded
         return coded
 
 
@@ -74,7 +78,8 @@ class PieceCodec:
         self.decimals = [str(i) for i in range(size)]
         self.unknown = self.library.unk_id()
         self.split = self._splitter()
-        self.wrong: set[str] = set()
+        # The library's ids of words that the agenda encodes otherwise.
+        self.wrong: dict[str, list[int]] = {}
         # Characters that stand side by side in some piece; no merge reaches over any other pair.
         self.adjacent = {pair for piece in self.ids for pair in zip(piece, piece[1:])}
         self.memory = Words(self)
@@ -143,17 +148,29 @@ class PieceCodec:
         if parts is not None:
             (n, ids, surface), (n2, ids2, surface2) = self.memory[parts[0]], self.memory[parts[1]]
             return n + n2, f"{ids},{ids2}", surface + surface2
-        ids = self.merge(word)
-        self.memory.unchecked[word] = ids
+        ids = self.wrong.get(word)
+        if ids is None:
+            ids = self.merge(word)
+            self.memory.unchecked[word] = ids
         return len(ids), ",".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.surfaces.__getitem__, ids))
 
     def disagreeing(self) -> set[str]:
-        """Compare what was encoded since the last call with the library; words that it encodes otherwise."""
+        """Compare what was encoded since the last call with the library; words that it encodes otherwise.
+
+        What is remembered of such words is forgotten, so that they have the library's ids from now on.
+        """
         words, self.memory.unchecked = self.memory.unchecked, {}
         # A line feed before the word keeps the library from putting a space there.
         theirs = self.library.encode(["\n" + w.replace(SPACE, " ") for w in words], num_threads=1)
-        self.wrong |= {w for (w, ids), expected in zip(words.items(), theirs) if ids != expected[2:]}
-        return self.wrong
+        found = {w: expected[2:] for (w, ids), expected in zip(words.items(), theirs) if ids != expected[2:]}
+        if found:
+            self.wrong.update(found)
+            self.memory.clear()
+        return set(self.wrong)
+
+    def touched(self, words: list[str]) -> bool:
+        """Whether a text holds a word that the agenda encodes otherwise than the library."""
+        return bool(self.wrong) and not self.wrong.keys().isdisjoint(chain.from_iterable((w, *(self.parts(w) or ())) for w in words))
 
     def words(self, text: str) -> list[str]:
         """The text as the library normalises it for such a vocabulary, cut into words."""
@@ -195,7 +212,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
     """Encode and decode every whole text.
 
     Returns ``doc_id``, ``n_tokens``, ``ids_sha256`` (decimal ids joined by commas), ``decoded_sha256`` and
-    ``agrees`` (the library gives the same ids for every word). A null or empty text has no tokens and
+    ``agrees`` (the agenda gave the library's ids for every word; if not, the row has the library's). A null or empty text has no tokens and
     the digests of nothing; repeated rows give repeated rows; an empty table gives none; other columns are ignored.
     """
 
@@ -204,14 +221,20 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
 
         def apply(doc_ids, texts):
             words = [model.words(t) for t in texts]
-            n_tokens, ids_sha256, decoded_sha256 = zip(*map(model.digests, words))
-            wrong = model.disagreeing()
+            rows = list(map(model.digests, words))
+            model.disagreeing()
+            wrong = list(map(model.touched, words))
+            for i in [i for i, found in enumerate(wrong) if found]:
+                rows[i] = model.digests(words[i])
+            # Words that the second round encoded anew were checked in the first.
+            model.memory.unchecked.clear()
+            n_tokens, ids_sha256, decoded_sha256 = zip(*rows)
             return {
                 "doc_id": doc_ids,
                 "n_tokens": n_tokens,
                 "ids_sha256": ids_sha256,
                 "decoded_sha256": decoded_sha256,
-                "agrees": [not wrong or wrong.isdisjoint(chain.from_iterable((w, *(model.parts(w) or ())) for w in t)) for t in words],
+                "agrees": [not found for found in wrong],
             }
 
         return apply

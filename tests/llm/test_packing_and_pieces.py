@@ -142,3 +142,32 @@ def test_word_ids_of_odd_texts_equal_the_library(library):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(1, 14)))
         ids = np.frombuffer(coder.ids(packing.WORD.findall(text)), "<u4").tolist()
         assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_where_the_agenda_differs_the_library_decides(spark):
+    path = vocabulary("pieces")
+    texts = ["some words, and others", "other text", "and words!", None, "", "others"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert all(r["agrees"] for r in sentence_pieces.encode_documents(docs, path).collect())
+    codec = sentence_pieces.PieceCodec(path)
+    merge = codec.merge
+    codec.merge = lambda word: [5] if "words" in word else merge(word)
+    for some in (texts[:3], texts[3:]):
+        split = [codec.words(t or "") for t in some]
+        for words in split:
+            codec.digests(words)
+        codec.disagreeing()
+        assert [codec.touched(w) for w in split] == ["words" in (t or "") for t in some]
+        for text, words in zip(some, split):
+            ids = codec.library.encode(text or "")
+            digest = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+            assert codec.digests(words)[:2] == (len(ids), digest)
+
+
+def test_long_words_are_encoded_and_not_remembered():
+    word = "x" * 50 + "Q" * 5000 + ".%"
+    codec = sentence_pieces.PieceCodec(vocabulary("pieces"))
+    count, digest, _ = codec.digests(codec.words(f"a {word} b"))
+    ids = codec.library.encode(f"a {word} b")
+    assert (count, digest) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+    assert max(map(len, codec.memory)) <= sentence_pieces.REMEMBERED_CHARS
