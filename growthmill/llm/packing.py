@@ -27,6 +27,8 @@ CAPACITY = 4096
 END_ID = 2
 # Words a task remembers; beyond it the newest half, which is the rarer one, is forgotten.
 MEMORY_WORDS = 600_000
+# Longer words are not remembered, so that a corpus of unbroken strings cannot fill a task.
+REMEMBERED_CHARS = 64
 CLOSING = ".,;:!?&%$#*)"
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -55,11 +57,12 @@ class WordTokenizer(dict):
                 self.byte_chars[b] = c
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMORY_WORDS:
-            for old in list(islice(reversed(self), len(self) // 2)):
-                del self[old]
         ids = self._ids(word)
-        self[word] = ids
+        if len(word) <= REMEMBERED_CHARS:
+            if len(self) >= MEMORY_WORDS:
+                for old in list(islice(reversed(self), len(self) // 2)):
+                    del self[old]
+            self[word] = ids
         return ids
 
     def _ids(self, word: str) -> bytes:
