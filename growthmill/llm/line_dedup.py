@@ -263,12 +263,14 @@ def compare_lines(rows: DataFrame, edits: int) -> DataFrame:
     """``a`` with its representative ``b`` of a spanning forest and its number of links, per key and tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, text = None, 5
         for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()
-            if not table:
+            # Offsets of 64 bits: the text of one key may be larger than a chunk with 32-bit offsets can hold.
+            batch = batch.set_column(text, "text", batch.column(text).cast(pa.large_string()))
+            joined = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()
+            if not joined:
                 continue
-            whole = table[0]
+            (whole,) = joined
             key, tile = whole.column("key").to_numpy(), whole.column("tile").to_numpy()
             first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])])
             for start, stop in zip(first, first[1:]):
