@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 from itertools import chain
 from zlib import crc32
 
@@ -41,9 +42,10 @@ TOXIC_WEIGHT = 0.3
 # Small samples are gone through more often, to make this many steps.
 LEAST_STEPS = 470
 
-# Windows scored at once, and words a task remembers.
+# Windows scored at once, words a task remembers, and words embedded at once.
 WINDOWS_AT_ONCE = 1024
 MEMORY_WORDS = 150_000
+WORDS_AT_ONCE = 4096
 
 LABEL_WORDS = re.compile(r"[^\W_]+")
 SCHEMA = "doc_id long, score double, n_windows long"
@@ -338,9 +340,15 @@ class Scorer:
         if new:
             new = sorted(new)
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
-            self.gates = np.concatenate([self.gates, self._gates(new)])
+            held = len(self.gates)
+            gates = np.empty((len(self.rows), *self.gates.shape[1:]), np.float32)
+            gates[:held] = self.gates
+            for at in range(0, len(new), WORDS_AT_ONCE):
+                some = new[at : at + WORDS_AT_ONCE]
+                gates[held + at : held + at + len(some)] = self._gates(some)
+            self.gates = gates
         counts = [len(window_starts(len(words))) for words in split]
-        ids = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in split]
+        ids = [np.fromiter(map(self.rows.__getitem__, words), np.int32, len(words)) for words in split]
         out: list = [None] * len(split)
         short = [i for i, x in enumerate(ids) if len(x) < WINDOW]
         for at in range(0, len(short), WINDOWS_AT_ONCE):
@@ -374,11 +382,19 @@ def train_network(spark: SparkSession, docs: DataFrame, sf_dir: str, allowed=Non
     chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"))
 
     def make():
-        return lambda ids, texts: {"doc_id": ids, "words": [words_of(text) for text in texts]}
+        return lambda ids, texts: {"doc_id": ids, "words": [" ".join(words_of(text)) for text in texts]}
 
-    rows = map_texts(chosen, ["doc_id", "text"], make, "doc_id long, words array<string>").collect()
+    rows = map_texts(chosen, ["doc_id", "text"], make, "doc_id long, words string").collect()
     label = {r["doc_id"]: r["label"] for r in sample.collect()}
-    return train([(r["words"], label[r["doc_id"]]) for r in sorted(rows, key=lambda r: r["doc_id"])])
+    rows.sort(key=lambda r: r["doc_id"])
+    texts = shared_words(r["words"] for r in rows)
+    return train([(words, label[r["doc_id"]]) for words, r in zip(texts, rows)])
+
+
+def shared_words(lines: Iterable[str]) -> list[list[str]]:
+    """The words of lines that ``words_of`` made, each distinct word held once for all of them."""
+    held: dict[str, str] = {}
+    return [[held.setdefault(w, w) for w in line.split()] for line in lines]
 
 
 def score_documents(docs: DataFrame, network: Network) -> DataFrame:

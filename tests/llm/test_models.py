@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -284,6 +285,26 @@ def test_training_separates_held_out_texts():
     assert right >= 190
 
 
+def test_training_holds_words_once_and_embeds_them_in_parts():
+    texts = ["Some words, some more words", "", "More_words"]
+    lines = [" ".join(toxicity.words_of(t)) for t in texts]
+    shared = toxicity.shared_words(lines)
+    assert shared == [toxicity.words_of(t) for t in texts]
+    assert shared[0][3] is shared[2][0] and shared[0][1] is shared[0][4]
+
+    network = toxicity.Network(toxicity.WordInputs(["known"]))
+    words = [f"averagelylongword{i}" for i in range(40_000)]
+    scorer = toxicity.Scorer(network)
+    tracemalloc.start()
+    scorer.logits([words])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The gates of a word are 192 bytes.
+    assert peak < 800 * len(words)
+    expected = network.enter(network.embed(*network.inputs.of(words[4090:4100])))
+    assert np.allclose(scorer.gates[[scorer.rows[w] for w in words[4090:4100]]], expected, atol=1e-6)
+
+
 def test_windows_to_learn_from_are_the_most_toxic_and_random_ones():
     rng = np.random.default_rng(3)
     few = toxicity.HARD_WINDOWS + toxicity.RANDOM_WINDOWS
