@@ -222,16 +222,19 @@ def merge(
     """
     spark = source.sparkSession
     rows, partition = day_partition(stringify_complex(source), partition_field)
+    # Versions of a key are sorted out once, together with the stored ones, unless they can lie in several partitions.
+    at_once = bool(order) and (partition is None or partition in keys)
     seen = Observation()
     with staging(spark, "merge") as stage:
-        latest = latest_per_key(rows, keys, order, null_safe).observe(seen, F.count(F.lit(1)).alias("rows"))
-        latest.write.parquet(f"{stage}/source")
+        given = rows if at_once else latest_per_key(rows, keys, order, null_safe)
+        given.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{stage}/source")
         if seen.get["rows"] == 0:
             return []
         updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
         target = read_table(spark, path, _stored_schema(schema, rows.schema))
         if target is None:
-            _write(updates, path, "overwrite", partition, cluster_by)
+            first = latest_per_key(updates, keys, order, null_safe) if at_once else updates
+            _write(first, path, "overwrite", partition, cluster_by)
             return [] if partition is None else _partition_values(updates, partition)
         days = None
         if partition is not None:
@@ -244,14 +247,12 @@ def merge(
                 days = list({*days, *_partition_values(matched, partition)})
             target = target.filter(_in_partitions(partition, days))
         merged = _merged(target, updates, keys, order, null_safe)
-        arranged = laid_out(merged, partition, cluster_by)
-        writer = arranged.write if partition is None else arranged.write.partitionBy(partition)
-        writer.parquet(f"{stage}/merged")
+        merged.write.parquet(f"{stage}/merged")
         result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
         if partition is None:
-            result.write.mode("overwrite").parquet(path)
+            _write(result, path, "overwrite", None, cluster_by)
             return []
-        overwrite_partitions(result, path, partition)
+        overwrite_partitions(laid_out(result, partition, cluster_by), path, partition)
         if partition not in keys:
             for day in set(days) - set(_partition_values(result, partition)):
                 # Every row of this day moved elsewhere.
@@ -261,10 +262,12 @@ def merge(
 
 def _merged(target: DataFrame, updates: DataFrame, keys, order, null_safe: bool) -> DataFrame:
     if order:
-        both = target.withColumn("_new", F.lit(0)).unionByName(
-            updates.withColumn("_new", F.lit(1)), allowMissingColumns=True
+        # Columns of the updates come first, so ties among them are settled as without a stored table.
+        both = updates.withColumn("_new", F.lit(1)).unionByName(
+            target.withColumn("_new", F.lit(0)), allowMissingColumns=True
         )
-        return latest_per_key(both, keys, [*order, "_new"], null_safe).drop("_new")
+        columns = [*target.columns, *[c for c in updates.columns if c not in target.columns]]
+        return latest_per_key(both, keys, [*order, "_new"], null_safe).select(*columns)
     if null_safe:
         kept = target.join(updates, _same_key(target, updates, keys), "left_anti")
     else:

@@ -323,3 +323,42 @@ def test_ledger_follows_loads_and_expiry(spark, tmp_path):
     gone = loading.expire_partitions(spark, path, "date", date(2025, 1, 2), "raw", "mixpanel_segmentation", ledger)
     assert gone == [date(2024, 1, 1), date(2024, 1, 2)]
     assert [row[1] for row in ledger_rows(spark, ledger)] == ["2024-01-03", bucket]
+
+
+def test_merge_writes_partitions_once_and_settles_ties_alike(spark, tmp_path, monkeypatch):
+    stages = []
+    monkeypatch.setattr(loading, "remove_folder", lambda spark, path: stages.append(Path(path)))
+    path = str(tmp_path / "t")
+    update = frame(spark, (1, 1, "a", 5), (1, 1, "b", 5), (2, 2, "c", 1))
+    for rows in (update, update.select("v", "n", "day", "id")):
+        loading.merge(rows, path, ["id", "day"], ["n"], "day")
+        assert table(spark, path) == [(1, 1, "b"), (2, 2, "c")]
+    # Versions are sorted out once, beside the stored ones, and the staged result has no folder per day.
+    assert [spark.read.parquet(str(s / "source")).count() for s in stages] == [3, 3]
+    merged = stages[-1] / "merged"
+    assert spark.read.parquet(str(merged)).count() == 2 and not list(merged.glob("day=*"))
+
+
+def test_a_key_that_changes_its_day_moves_only_between_the_days_of_its_newest_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    loading.merge(frame(spark, (1, 1, "a", 1), (7, 4, "x", 1)), path, ["id"], ["n"], "day")
+    touched = loading.merge(frame(spark, (1, 4, "lost", 2), (1, 3, "moved", 3)), path, ["id"], ["n"], "day")
+    assert sorted(touched) == [DAYS[1], DAYS[3]]
+    assert table(spark, path) == [(1, 3, "moved"), (7, 4, "x")]
+
+
+def test_late_rows_are_picked_before_their_copies_are_numbered(spark, monkeypatch):
+    from verification.registry import QUERIES
+
+    plans, merge = [], loading.merge
+
+    def watched(rows, *args, **kwargs):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        assert rows.schema["row_key"].dataType.simpleString() == "binary"
+        return merge(rows, *args, **kwargs)
+
+    monkeypatch.setattr(loading, "merge", watched)
+    QUERIES["incremental_mart_from_merge"](spark, "/root/testdata/sf0.001")
+    assert len(plans) == 2
+    for plan in plans:
+        assert "dayofmonth" in plan and plan.index("Window [") < plan.index("dayofmonth")

@@ -1051,19 +1051,21 @@ def _(m):
     path = m.work("mart-from-merge")
     late = F.coalesce((F.dayofmonth("date") == 11) & (F.length("campaign_id") > 0), F.lit(False))
     rows = loading.stringify_complex(m.performance)
-    # Rows of the input have no key of their own.
-    keyed = rows.withColumn("row_key", F.sha2(F.to_json(F.struct(*rows.columns)), 256))
-    copies = Window.partitionBy("date", "row_key").orderBy(F.lit(1))
-    keyed = keyed.withColumn("copy", F.row_number().over(copies))
+
+    def keyed(part):
+        # Rows of the input have no key of their own. Equal rows are in one part, where copies are numbered.
+        named = part.withColumn("row_key", F.unhex(F.md5(F.to_json(F.struct(*rows.columns)))))
+        copies = Window.partitionBy("date", "row_key").orderBy(F.lit(1))
+        return named.withColumn("copy", F.row_number().over(copies))
 
     def mart(performance):
         columns = ("date", "channel_source", "campaign_id", "campaign_name", "total_spend", "roas")
         return marketing.fct_ad_spend_roi(performance).select(*columns)
 
     keys, touched = ["row_key", "copy", "date"], []
-    for part in (keyed.filter(~late), keyed.filter(late)):
+    for part in (keyed(rows.filter(~late)), keyed(rows.filter(late))):
         touched.append(loading.merge(part, f"{path}/input", keys, [], "date", null_safe=True))
-        stored = mart(loading.read_table(m.spark, f"{path}/input", keyed.schema))
+        stored = mart(loading.read_table(m.spark, f"{path}/input", part.schema))
         if len(touched) == 1:
             loading.write_table(stored, f"{path}/mart", "overwrite", "date")
     loading.refresh_touched(stored, f"{path}/mart", "date", touched[-1])
