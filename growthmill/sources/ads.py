@@ -62,18 +62,25 @@ def flatten_google_ads(df: DataFrame, start: date | None = None, end: date | Non
     )
 
 
-def action_map(entries: str) -> Column:
-    """Value by action type, dots in types as underscores: the last entry of a type counts, 0.0 when it has no number."""
-    named = F.transform(
-        F.filter(entries, lambda e: e["action_type"].isNotNull()),
-        lambda e: F.struct(
-            F.translate(e["action_type"], ".", "_").alias("key"),
-            F.coalesce(e["value"].try_cast("double"), F.lit(0.0)).alias("value"),
-        ),
-    )
-    latest_first = F.reverse(named)
-    types = F.transform(latest_first, lambda e: e["key"])
-    return F.map_from_entries(F.filter(latest_first, lambda e, i: F.array_position(types, e["key"]) == i + 1))
+def with_action_maps(df: DataFrame, *names: str) -> DataFrame:
+    """Entries as a map, value by action type, dots in types as underscores: the last entry of a type counts, 0.0 when it has no number.
+
+    Entries and types are columns of their own on the way, so that a function over entries does not work them out again
+    for each of them.
+    """
+    latest_first = {f"_{n}": F.reverse(F.filter(n, lambda e: e["action_type"].isNotNull())) for n in names}
+    types = {
+        f"_{n}_types": F.transform(f"_{n}", lambda e: F.translate(e["action_type"], ".", "_")) for n in names
+    }
+
+    def last_of_each_type(name: str) -> Column:
+        at = F.col(f"_{name}_types")
+        last = F.filter(f"_{name}", lambda e, i: F.array_position(at, F.get(at, i)) == i + 1)
+        values = F.transform(last, lambda e: F.coalesce(e["value"].try_cast("double"), F.lit(0.0)))
+        return F.map_from_arrays(F.array_distinct(at), values)
+
+    maps = {n: last_of_each_type(n) for n in names}
+    return df.withColumns(latest_first).withColumns(types).withColumns(maps).drop(*latest_first, *types)
 
 
 def flatten_meta(df: DataFrame, action_types: Sequence[str] = META_ACTION_TYPES) -> DataFrame:
@@ -81,7 +88,7 @@ def flatten_meta(df: DataFrame, action_types: Sequence[str] = META_ACTION_TYPES)
 
     A column is null when its action is absent.
     """
-    df = df.withColumns({name: action_map(name) for name in ("actions", "cost_per_action_type")})
+    df = with_action_maps(df, "actions", "cost_per_action_type")
     plain = [
         "campaign_id",
         "campaign_name",

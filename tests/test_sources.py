@@ -169,3 +169,15 @@ def test_metadata_and_contract(spark):
     assert set(specs.GOOGLE_ADS.schema.names) <= set(full.columns)
     with pytest.raises(ValueError, match="campaign_id"):
         specs.conform(df.drop("campaign_id"), specs.GOOGLE_ADS)
+
+
+def test_action_types_are_translated_once_per_entry(spark, tmp_path):
+    entry = "action_type: string, value: string"
+    rows = [("a", [("x.y", "1"), (None, "5"), ("z", "n/a"), ("x_y", "2")], None), ("b", [], [("z", "3")]), ("c", None, None)]
+    path = str(tmp_path / "actions")
+    spark.createDataFrame(rows, f"ad_id string, actions array<struct<{entry}>>, costs array<struct<{entry}>>").write.parquet(path)
+    mapped = ads.with_action_maps(spark.read.parquet(path), "actions", "costs")
+    got = {r.ad_id: (r.actions, r.costs) for r in mapped.collect()}
+    assert got == {"a": ({"x_y": 2.0, "z": 0.0}, None), "b": ({}, {"z": 3.0}), "c": (None, None)}
+    assert mapped.columns == ["ad_id", "actions", "costs"]
+    assert mapped._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 2
