@@ -4,7 +4,8 @@ Documents are linked when the sets of their word shingles have a Jaccard similar
 with equal sets are one node from the start. Nodes that agree on all hashes of a band of smallest shingle hashes meet in a
 bucket. In a bucket the SimHash fingerprints lie as bit planes and carry-save counters find the pairs within ``RADIUS``, which is
 wide enough for the similarity; a pair is linked if its shingles, counted exactly, are similar enough. Pairs
-that links already join are not looked at, and buckets return spanning forests.
+that links already join are not looked at, and buckets return spanning forests. Shingle sets are larger than the text, so
+only those of nodes in a bucket are sent anywhere.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthmill.llm.common import map_texts, partitions, staged
@@ -35,7 +36,9 @@ TILE = 2048
 # Shingle hashes worked on at once.
 HASHES_AT_ONCE = 1 << 16
 
-PRINTS = "doc_id long, text_hash long, shingle_set binary, fp long, bands array<long>, shingles binary"
+PRINTS = "doc_id long, text_hash long, shingle_set binary, fp long, bands array<long>"
+# A node and the buckets it is in.
+MEETINGS = "struct<node: long, fp: long, met: array<struct<key: long, side: int, tiles: int>>>"
 
 
 class Prints:
@@ -89,11 +92,18 @@ class Prints:
             out["shingle_set"].append(self.digest_of_set(hashes.tobytes()))
             out["fp"].append(self.fingerprint(hashes))
             out["bands"].append(self.bands(hashes))
-            out["shingles"].append(hashes.tobytes())
         out["text_hash"] = np.array(out["text_hash"], np.uint64).view(np.int64)
         return out
 
 
+class Shingles(Prints):
+    """Shingle sets themselves, for documents that meet others."""
+
+    def __call__(self, ids, texts):
+        bodies = (text.encode("utf-8", "replace").lower() for text in texts)
+        return {"of": ids, "shingles": [self.shingles(body).tobytes() for body in bodies]}
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sets in order are as similar as ``SIMILARITY``."""
     up, down = SIMILARITY
@@ -161,8 +171,12 @@ def compare_buckets(rows: DataFrame) -> DataFrame:
     return rows.select("key", "tile", "side", "node", "fp", "shingles").mapInArrow(run, "a long, b long")
 
 
-def near_copy_edges(nodes: DataFrame) -> DataFrame:
-    """Edges between similar ``nodes`` (``node``, ``fp``, ``bands``, ``shingles``): spanning forests of all buckets."""
+def near_copy_edges(nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """Edges between similar ``nodes`` (``node``, ``place``, ``fp``, ``bands``): spanning forests of all buckets.
+
+    Shingles are made again from the text of ``docs``, and only of nodes that are in a bucket with others; they go to their
+    buckets in one shuffle.
+    """
     parts = partitions(nodes.sparkSession)
     keys = staged(nodes.select("node", F.explode("bands").alias("key")), "band-keys")
     buckets = keys.groupBy("key").agg(
@@ -170,21 +184,33 @@ def near_copy_edges(nodes: DataFrame) -> DataFrame:
     )
     # Buckets of the same nodes would find the same links.
     buckets = buckets.where("n > 1").groupBy("n", "members", "least").agg(F.min("key").alias("key"))
-    buckets = staged(buckets.select("key", "n"), "buckets")
-    tiles = F.ceil(F.col("n") / TILE).cast("int")
-    met = keys.join(buckets, "key").withColumn("tiles", tiles)
-    met = met.withColumn("side", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    buckets = staged(buckets.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles")), "buckets")
+    met = keys.join(buckets, "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    # A node has at most as many as there are bands.
+    met = met.groupBy("node").agg(F.collect_list(F.struct("key", "side", "tiles")).alias("met"))
+    met = met.join(nodes, "node").select(F.struct("node", "fp", "met").alias("of"), *_place_keys("place.doc_id", "place.text_hash"))
+    # Rows that share their id and text are one document, so its text is sent once.
+    texts = docs.select(*_place_keys("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))), "text")
+    texts = texts.groupBy("_id", "_no_id", "_text").agg(F.any_value("text").alias("text"))
+    meeting = met.join(texts, ["_id", "_no_id", "_text"])
+    whole = map_texts(meeting, ["of", "text"], lambda: Shingles(width), f"of {MEETINGS}, shingles binary")
+    whole = whole.select("of.node", "of.fp", "shingles", F.inline("of.met"))
     # A pair of tiles has a number from 0; a tile by itself, or a bucket that is not dealt out, a negative one.
     tile = F.transform(
         F.sequence(F.lit(0), F.col("tiles") - 1),
         lambda t: F.when(t == F.col("side"), -1 - t).otherwise(F.least(t, "side") * F.col("tiles") + F.greatest(t, "side")),
     )
-    met = met.select("key", "node", "side", F.explode(tile).alias("tile"))
-    whole = met.join(nodes.select("node", "fp", "shingles"), "node")
+    whole = whole.select("key", F.explode(tile).alias("tile"), "side", "node", "fp", "shingles")
     whole = whole.repartition(parts, "key", "tile").sortWithinPartitions("key", "tile", "node")
     return compare_buckets(whole)
 
 
+def _place_keys(doc_id: str, text_hash: str | Column) -> list[Column]:
+    """The id and text hash of a document as columns that join by plain equality, also without an id."""
+    text_hash = F.col(text_hash) if isinstance(text_hash, str) else text_hash
+    return [F.coalesce(doc_id, F.lit(0)).alias("_id"), F.col(doc_id).isNull().alias("_no_id"), text_hash.alias("_text")]
+
+
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents, all columns, with the smallest doc_id of each group of near copies.
 
@@ -195,12 +221,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     prints = staged(map_texts(docs, ["doc_id", "text"], lambda: Prints(width), PRINTS), "shingle-prints")
     # The document that would stay if the node were alone.
     place = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_hash")
-    first = prints.groupBy("shingle_set").agg(F.min(place).alias("place"))
-    first = staged(first.select("shingle_set", "place", F.monotonically_increasing_id().alias("node")), "nodes")
-    # The first row of a node brings its shingles.
-    bring = prints.select("shingle_set", place.alias("place"), "fp", "bands", "shingles").dropDuplicates(["shingle_set", "place"])
-    nodes = staged(first.join(bring, ["shingle_set", "place"]).select("node", "place", "fp", "bands", "shingles"), "node-shingles")
-    roots = connected_components(staged(near_copy_edges(nodes), "near-copy-edges"))
+    # Equal sets have equal fingerprints and bands.
+    nodes = prints.groupBy("shingle_set").agg(
+        F.min(place).alias("place"), F.any_value("fp").alias("fp"), F.any_value("bands").alias("bands")
+    )
+    nodes = staged(nodes.select(F.monotonically_increasing_id().alias("node"), "place", "fp", "bands"), "nodes")
+    roots = connected_components(staged(near_copy_edges(nodes, docs, width), "near-copy-edges"))
     member = nodes.select("node", "place").join(roots, "node", "left").select(F.coalesce("root", "node").alias("root"), "place")
     kept = member.groupBy("root").agg(F.min("place").alias("place")).select(
         F.col("place.doc_id").alias("_kept_id"), F.col("place.text_hash").alias("_kept_text")

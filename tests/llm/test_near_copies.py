@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from growthmill.llm import near_copies, simhash
+from growthmill.llm import common, near_copies, simhash
 
 from .conftest import low
 from .test_near_duplicates import WORD, classes
@@ -57,6 +57,29 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, tile):
     assert len([d for d in got if 1000 <= d < 2000]) == 1
 
 
+def test_shingles_are_stored_and_sent_only_for_documents_that_meet(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**5)}" for _ in range(300)) for _ in range(200)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, f"{t} end") for i, t in enumerate(texts[:5])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    stored, sent = {}, []
+
+    def staged(df, label):
+        stored[label] = df.columns
+        return common.staged(df, label)
+
+    def compare(rows):
+        sent.extend(rows.select("node").distinct().collect())
+        return compare_buckets(rows)
+
+    compare_buckets = near_copies.compare_buckets
+    monkeypatch.setattr(near_copies, "staged", staged)
+    monkeypatch.setattr(near_copies, "compare_buckets", compare)
+    assert sorted(r["doc_id"] for r in near_copies.one_of_each(frame).collect()) == list(range(200))
+    assert len(sent) == 10
+    assert [label for label, columns in stored.items() if "shingles" in columns] == []
+
+
 def test_ids_that_are_null_or_used_twice(spark):
     rows = [(1, "same text of some words here"), (None, "same text of some words here"), (None, "a text alone"), (7, "one text"), (7, "another"), (7, "another")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
