@@ -215,7 +215,8 @@ def merge(
     Matched rows are replaced, new rows added, all others kept; a second run changes nothing. With an
     ``order`` the greatest of the stored and the new row stays, ties going to the new one, so
     the result does not depend on how rows are dealt to batches. ``null_safe`` lets nulls in keys match.
-    Only partitions that receive or lose a row are read and rewritten. The new state is written in full to the shared
+    Only partitions that receive or lose a row are rewritten, and read if they keep one. Copies of a key are looked for
+    by the keys alone, and rows are sorted out only if there are any. The new state is written in full to the shared
     work folder before the table is touched, so a lost executor or a failed overwrite leaves a copy to repeat
     it from; the folder is named in the error and removed after success. With a ``schema`` of the table no
     file footers are looked at. An unpartitioned table has no partitions to return.
@@ -226,11 +227,13 @@ def merge(
     at_once = bool(order) and (partition is None or partition in keys)
     seen = Observation()
     with staging(spark, "merge") as stage:
-        given = rows if at_once else latest_per_key(rows, keys, order, null_safe)
-        given.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{stage}/source")
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{stage}/source")
         if seen.get["rows"] == 0:
             return []
         updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
+        if not at_once and _has_versions(updates, keys, null_safe):
+            latest_per_key(updates, keys, order, null_safe).write.parquet(f"{stage}/latest")
+            updates = spark.read.schema(rows.schema).parquet(f"{stage}/latest")
         target = read_table(spark, path, _stored_schema(schema, rows.schema))
         if target is None:
             first = latest_per_key(updates, keys, order, null_safe) if at_once else updates
@@ -238,17 +241,20 @@ def merge(
             return [] if partition is None else _partition_values(updates, partition)
         days = None
         if partition is not None:
-            days = _partition_values(updates, partition)
+            days = reads = _partition_values(updates, partition)
             if partition not in keys:
-                if null_safe:
-                    matched = target.join(updates, _same_key(target, updates, keys), "left_semi")
-                else:
-                    matched = target.join(updates.select(*keys), list(keys), "left_semi")
-                days = list({*days, *_partition_values(matched, partition)})
-            target = target.filter(_in_partitions(partition, days))
-        merged = _merged(target, updates, keys, order, null_safe)
-        merged.write.parquet(f"{stage}/merged")
-        result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+                replaced = _replaced_rows(target, updates, keys, order, partition, null_safe)
+                days = list({*days, *replaced})
+                stored = _rows_by_partition(target, partition)
+                # A partition of which every row is replaced need not be read.
+                reads = [day for day in days if stored.get(day, 0) > replaced.get(day, 0)]
+            target = target.filter(_in_partitions(partition, reads)) if reads else spark.createDataFrame([], target.schema)
+        if partition is not None and not reads:
+            result = updates.unionByName(target, allowMissingColumns=True).select(*_merged_columns(target, updates))
+        else:
+            merged = _merged(target, updates, keys, order, null_safe)
+            merged.write.parquet(f"{stage}/merged")
+            result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
         if partition is None:
             _write(result, path, "overwrite", None, cluster_by)
             return []
@@ -260,14 +266,42 @@ def merge(
         return days
 
 
+def _has_versions(rows: DataFrame, keys: Sequence[str], null_safe: bool) -> bool:
+    """Whether a key has several rows. Only keys are shuffled."""
+    known = rows.select(*keys) if null_safe else rows.select(*keys).dropna()
+    return (known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0) > 1
+
+
+def _replaced_rows(target: DataFrame, updates: DataFrame, keys, order, partition: str, null_safe: bool) -> dict:
+    """Stored rows that an update replaces, by partition; 0 where all stored rows with an update are the greater ones.
+
+    ``updates`` has one row per key. Only keys and the columns of ``order`` are shuffled.
+    """
+    olds = [(F.col(c) if c in target.columns else F.lit(None)).alias(f"_old{i}") for i, c in enumerate(order)]
+    news = [F.col(c).alias(f"_new{i}") for i, c in enumerate(order)]
+    old = target.select(*keys, F.col(partition).alias("_of"), *olds)
+    new = updates.select(*keys, *news)
+    both = old.join(new, _same_key(old, new, keys) if null_safe else [old[key] == new[key] for key in keys])
+    # As in ``latest_per_key`` a null is less than any value; ties go to the update.
+    stays = F.lit(False)
+    for i in reversed(range(len(order))):
+        a, b = F.col(f"_old{i}"), F.col(f"_new{i}")
+        stays = F.coalesce(a > b, a.isNotNull() & b.isNull()) | (a.eqNullSafe(b) & stays)
+    return dict(map(tuple, both.groupBy("_of").agg(F.count_if(~stays)).collect()))
+
+
+def _rows_by_partition(df: DataFrame, column: str) -> dict:
+    """Rows of each partition: as many as the table has folders."""
+    return dict(map(tuple, df.groupBy(column).agg(F.count(F.lit(1))).collect()))
+
+
 def _merged(target: DataFrame, updates: DataFrame, keys, order, null_safe: bool) -> DataFrame:
     if order:
         # Columns of the updates come first, so ties among them are settled as without a stored table.
         both = updates.withColumn("_new", F.lit(1)).unionByName(
             target.withColumn("_new", F.lit(0)), allowMissingColumns=True
         )
-        columns = [*target.columns, *[c for c in updates.columns if c not in target.columns]]
-        return latest_per_key(both, keys, [*order, "_new"], null_safe).select(*columns)
+        return latest_per_key(both, keys, [*order, "_new"], null_safe).select(*_merged_columns(target, updates))
     if null_safe:
         kept = target.join(updates, _same_key(target, updates, keys), "left_anti")
     else:
@@ -275,6 +309,10 @@ def _merged(target: DataFrame, updates: DataFrame, keys, order, null_safe: bool)
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def _merged_columns(target: DataFrame, updates: DataFrame) -> list[str]:
+    return [*target.columns, *[c for c in updates.columns if c not in target.columns]]
+
+
 def _stored_schema(schema: T.StructType | None, incoming: T.StructType) -> T.StructType | None:
     """Columns of a stored table: those declared and those that rows bring along."""
     if schema is None:

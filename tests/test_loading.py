@@ -1,4 +1,5 @@
 import os
+import random
 from datetime import date, datetime, timedelta
 from pathlib import Path
 
@@ -347,6 +348,51 @@ def test_a_key_that_changes_its_day_moves_only_between_the_days_of_its_newest_ve
     assert table(spark, path) == [(1, 3, "moved"), (7, 4, "x")]
 
 
+def test_a_repeated_load_without_copies_sorts_no_rows_and_reads_no_stored_ones(spark, tmp_path, monkeypatch):
+    sorted_out, joined, path = [], [], str(tmp_path / "t")
+    latest, merged = loading.latest_per_key, loading._merged
+    monkeypatch.setattr(loading, "latest_per_key", lambda *args: sorted_out.append(args) or latest(*args))
+    monkeypatch.setattr(loading, "_merged", lambda *args: joined.append(args[0].select("day").distinct().collect()) or merged(*args))
+    rows = frame(spark, (1, 1, "a", 1), (2, 1, "b", 1), (3, 2, "c", 1), (None, 2, "d", 1))
+    for update in (rows, rows, frame(spark, (1, 3, "moved", 2), (2, 1, "z", 1))):
+        loading.merge(update, path, ["id"], ["n"], "day", null_safe=True)
+    assert table(spark, path) == sorted([(1, 3, "moved"), (2, 1, "z"), (3, 2, "c"), (None, 2, "d")], key=repr)
+    assert sorted_out == [] and joined == []
+    # One day keeps a row; the other, with the greater stored row, too.
+    loading.merge(frame(spark, (3, 2, "z", 0), (2, 1, "new", 5), (9, 1, "i", 1)), path, ["id"], ["n"], "day", null_safe=True)
+    assert table(spark, path) == sorted(
+        [(1, 3, "moved"), (2, 1, "new"), (3, 2, "c"), (9, 1, "i"), (None, 2, "d")], key=repr
+    )
+    assert [[r.day for r in days] for days in joined] == [[DAYS[2]]]
+
+
+def test_versions_in_moved_and_replaced_partitions_equal_a_plain_merge(spark, tmp_path):
+    """Many small merges against a dictionary: null orders and days, ties, moves between days, rows that stay."""
+    rng, path, state = random.Random(3), str(tmp_path / "t"), {}
+    for _ in range(8):
+        part = [(rng.randrange(9), rng.choice([None, 1, 2, 3]), f"v{rng.random()}", rng.choice([None, 1, 2, 3])) for _ in range(5)]
+        loading.merge(frame(spark, *part), path, ["id"], ["n"], "day")
+        best = {}
+        for row in part:
+            rank = (row[3] or 0, row[1] or 0, row[2])
+            if row[0] not in best or rank > best[row[0]][0]:
+                best[row[0]] = (rank, row)
+        for key, (rank, row) in best.items():
+            if key not in state or rank[0] >= (state[key][3] or 0):
+                state[key] = row
+        assert table(spark, path) == sorted(((i, d, v) for i, d, v, _ in state.values()), key=repr)
+
+
+def test_replaced_partitions_keep_the_columns_and_types_of_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    old = frame(spark, (1, 1, "a", 1), (2, 2, "b", 1)).withColumn("more", F.lit("m"))
+    loading.merge(old.withColumn("n", F.col("n").cast("bigint")), path, ["id"], ["n"], "day")
+    loading.merge(frame(spark, (1, 1, "z", 2)), path, ["id"], ["n"], "day")
+    got = spark.read.option("mergeSchema", "true").parquet(path)
+    assert dict(got.dtypes)["n"] == "bigint"
+    assert sorted((r.id, r.v, r.n, r.more) for r in got.collect()) == [(1, "z", 2, None), (2, "b", 1, "m")]
+
+
 def test_late_rows_are_picked_before_their_copies_are_numbered(spark, monkeypatch):
     from verification.registry import QUERIES
 
