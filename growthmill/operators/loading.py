@@ -20,6 +20,8 @@ from growthmill.sources.specs import RETENTION_DAYS, SourceSpec, with_metadata
 
 # A merge or refresh of more partitions than this is refused: the table is partitioned too finely.
 MOST_PARTITIONS = 10_000
+# Up to so many keys with copies are looked up in a list, 8 bytes each; with more all rows are sorted out.
+MOST_REPEATED = 1_000_000
 
 
 def run_query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
@@ -216,45 +218,58 @@ def merge(
     ``order`` the greatest of the stored and the new row stays, ties going to the new one, so
     the result does not depend on how rows are dealt to batches. ``null_safe`` lets nulls in keys match.
     Only partitions that receive or lose a row are rewritten, and read if they keep one. Copies of a key are looked for
-    by the keys alone, and rows are sorted out only if there are any. The new state is written in full to the shared
+    by the keys alone, and only rows of keys that have some are sorted out. The new state is written in full to the shared
     work folder before the table is touched, so a lost executor or a failed overwrite leaves a copy to repeat
     it from; the folder is named in the error and removed after success. With a ``schema`` of the table no
     file footers are looked at. An unpartitioned table has no partitions to return.
     """
     spark = source.sparkSession
     rows, partition = day_partition(stringify_complex(source), partition_field)
-    # Versions of a key are sorted out once, together with the stored ones, unless they can lie in several partitions.
-    at_once = bool(order) and (partition is None or partition in keys)
     seen = Observation()
     with staging(spark, "merge") as stage:
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(f"{stage}/source")
         if seen.get["rows"] == 0:
             return []
-        updates = spark.read.schema(rows.schema).parquet(f"{stage}/source")
-        if not at_once and _has_versions(updates, keys, null_safe):
-            latest_per_key(updates, keys, order, null_safe).write.parquet(f"{stage}/latest")
-            updates = spark.read.schema(rows.schema).parquet(f"{stage}/latest")
+        updates = given = spark.read.schema(rows.schema).parquet(f"{stage}/source")
         target = read_table(spark, path, _stored_schema(schema, rows.schema))
+        # Versions of an unpartitioned table, or of very many keys, are sorted out once, together with the stored ones,
+        # unless they can lie in several partitions.
+        together = bool(order) and target is not None and (partition is None or partition in keys)
+        if not together or partition is not None:
+            repeated = _repeated_keys(given, keys, null_safe, f"{stage}/repeated")
+            together = together and repeated > MOST_REPEATED
+            if repeated and not together:
+                updates = _one_per_key(given, keys, order, null_safe, stage, repeated)
         if target is None:
-            first = latest_per_key(updates, keys, order, null_safe) if at_once else updates
-            _write(first, path, "overwrite", partition, cluster_by)
+            _write(updates, path, "overwrite", partition, cluster_by)
             return [] if partition is None else _partition_values(updates, partition)
-        days = None
+        days = reads = None
         if partition is not None:
-            days = reads = _partition_values(updates, partition)
+            # A partition of which every row is replaced need not be read.
             if partition not in keys:
+                days = _partition_values(updates, partition)
                 replaced = _replaced_rows(target, updates, keys, order, partition, null_safe)
                 days = list({*days, *replaced})
                 stored = _rows_by_partition(target, partition)
-                # A partition of which every row is replaced need not be read.
                 reads = [day for day in days if stored.get(day, 0) > replaced.get(day, 0)]
+            else:
+                days = reads = _partition_values(given, partition)
+                kind = given.schema[partition].dataType
+                # Types that differ, or NaN, cannot be counted by value.
+                if order and not together and target.schema[partition].dataType == kind and not isinstance(kind, T.FractionalType):
+                    reads = _kept_partitions(target, given, updates, keys, order, partition, days, null_safe)
             target = target.filter(_in_partitions(partition, reads)) if reads else spark.createDataFrame([], target.schema)
         if partition is not None and not reads:
             result = updates.unionByName(target, allowMissingColumns=True).select(*_merged_columns(target, updates))
+        elif order and partition in keys:
+            read = F.coalesce(_in_partitions(partition, reads), F.lit(False))
+            merged = _merged(target, updates.filter(read), keys, order, null_safe)
+            result = merged.unionByName(updates.filter(~read), allowMissingColumns=True)
         else:
-            merged = _merged(target, updates, keys, order, null_safe)
-            merged.write.parquet(f"{stage}/merged")
-            result = spark.read.schema(merged.schema).parquet(f"{stage}/merged")
+            result = _merged(target, updates, keys, order, null_safe)
+        if reads != [] or updates is not given:
+            result.write.parquet(f"{stage}/merged")
+            result = spark.read.schema(result.schema).parquet(f"{stage}/merged")
         if partition is None:
             _write(result, path, "overwrite", None, cluster_by)
             return []
@@ -266,10 +281,45 @@ def merge(
         return days
 
 
-def _has_versions(rows: DataFrame, keys: Sequence[str], null_safe: bool) -> bool:
-    """Whether a key has several rows. Only keys are shuffled."""
-    known = rows.select(*keys) if null_safe else rows.select(*keys).dropna()
-    return (known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0) > 1
+def _repeated_keys(rows: DataFrame, keys: Sequence[str], null_safe: bool, path: str) -> int:
+    """Write the hashes of keys with several rows and count them. Only a hash of the keys is shuffled."""
+    seen = Observation()
+    known = rows if null_safe else rows.filter(~any_null(keys))
+    counts = known.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    several = counts.filter("_rows > 1").select("_hash")
+    several.observe(seen, F.count(F.lit(1)).alias("keys")).write.parquet(path)
+    return seen.get["keys"]
+
+
+def _one_per_key(rows: DataFrame, keys: Sequence[str], order, null_safe: bool, stage: str, repeated: int) -> DataFrame:
+    """The newest row of each key, given the number of ``_repeated_keys``.
+
+    Their rows alone are sorted out, those of all other keys stay where they are. A hash that two keys share only sends
+    some more rows to be sorted out.
+    """
+    spark = rows.sparkSession
+    hashes = spark.read.schema("_hash bigint").parquet(f"{stage}/repeated")
+    marked = rows.withColumn("_hash", F.xxhash64(*keys))
+    few = repeated <= MOST_REPEATED
+    copies = marked.join(hashes, "_hash", "left_semi").drop("_hash") if few else rows
+    latest_per_key(copies, keys, order, null_safe).write.parquet(f"{stage}/latest")
+    latest = spark.read.schema(rows.schema).parquet(f"{stage}/latest")
+    return marked.join(hashes, "_hash", "left_anti").drop("_hash").unionByName(latest) if few else latest
+
+
+def _kept_partitions(target, given, updates, keys, order, partition: str, days: list, null_safe: bool) -> list:
+    """Of the partitions ``days``, those of which a stored row stays; the partition is one of the keys.
+
+    One with more stored rows than given ones keeps some, so keys are compared only in the others.
+    """
+    stored = _rows_by_partition(target.filter(_in_partitions(partition, days)), partition)
+    coming = _rows_by_partition(given, partition)
+    open_ = [day for day in days if 0 < stored.get(day, 0) <= coming[day]]
+    replaced = {}
+    if open_:
+        inside = _in_partitions(partition, open_)
+        replaced = _replaced_rows(target.filter(inside), updates.filter(inside), keys, order, partition, null_safe)
+    return [day for day in days if stored.get(day, 0) > replaced.get(day, 0)]
 
 
 def _replaced_rows(target: DataFrame, updates: DataFrame, keys, order, partition: str, null_safe: bool) -> dict:

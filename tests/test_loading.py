@@ -408,3 +408,69 @@ def test_late_rows_are_picked_before_their_copies_are_numbered(spark, monkeypatc
     assert len(plans) == 2
     for plan in plans:
         assert "dayofmonth" in plan and plan.index("Window [") < plan.index("dayofmonth")
+
+
+def test_only_copies_of_a_key_are_sorted_out_and_replaced_days_are_not_read(spark, tmp_path, monkeypatch):
+    sorted_out, joined, path = [], [], str(tmp_path / "t")
+    latest, merged = loading.latest_per_key, loading._merged
+    monkeypatch.setattr(loading, "latest_per_key", lambda *args: sorted_out.append(args[0].count()) or latest(*args))
+    monkeypatch.setattr(loading, "_merged", lambda *args: joined.append({r.day for r in args[0].collect()}) or merged(*args))
+
+    def load(*data):
+        loading.merge(frame(spark, *data), path, ["id", "day"], ["n"], "day", null_safe=True)
+
+    for _ in range(2):
+        load((1, 1, "a", 1), (1, 1, "b", 1), (2, 1, "c", 1), (3, 2, "d", 1), (None, 2, "e", 1), (4, None, "x", 1))
+        assert table(spark, path) == sorted(
+            [(1, 1, "b"), (2, 1, "c"), (3, 2, "d"), (None, 2, "e"), (4, None, "x")], key=repr
+        )
+    assert sorted_out == [2, 2] and joined == []
+    # A day keeps a row that no update has and one a greater row; others are replaced or new and stay apart.
+    load((2, 1, "z", 2), (3, 2, "older", 0), (None, 2, "f", 1), (9, 3, "new", 1), (4, None, "y", 1))
+    assert table(spark, path) == sorted(
+        [(1, 1, "b"), (2, 1, "z"), (3, 2, "d"), (None, 2, "f"), (9, 3, "new"), (4, None, "y")], key=repr
+    )
+    assert sorted_out == [2, 2, 7] and joined == [{DAYS[1], DAYS[2]}]
+
+
+@pytest.mark.parametrize("most", [loading.MOST_REPEATED, 0])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_merges_with_the_day_in_the_key_equal_a_plain_merge(spark, tmp_path, monkeypatch, null_safe, most):
+    """Many small merges against a dictionary: null keys, days and orders, ties, copies, stored rows that stay."""
+    monkeypatch.setattr(loading, "MOST_REPEATED", most)
+    rng, path, state = random.Random(5), str(tmp_path / "t"), {}
+    for turn in range(4):
+        part = [(rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 2]), f"v{rng.random()}", rng.choice([None, 1, 2])) for _ in range(6)]
+        loading.merge(frame(spark, *part), path, ["id", "day"], ["n"], "day", null_safe=null_safe)
+        for i, row in enumerate(part):
+            key = row[:2] if null_safe or None not in row[:2] else ("alone", turn, i)
+            # Of equal orders the row of the later merge stays, within a merge the one of the greater text.
+            rank = (row[3] or 0, turn, row[2])
+            if key not in state or rank > state[key][0]:
+                state[key] = (rank, row)
+        assert table(spark, path) == sorted((row[:3] for _, row in state.values()), key=repr)
+
+
+def test_keys_of_one_hash_stay_apart(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(None, "a", 1, 1), ("a", None, 1, 2), ("a", None, 1, 1)], "k string, l string, p int, n int")
+    for _ in range(2):
+        loading.merge(rows, path, ["k", "l", "p"], ["n"], "p", null_safe=True)
+        assert sorted((r.k or "", r.l or "", r.n) for r in spark.read.parquet(path).collect()) == [("", "a", 1), ("a", "", 2)]
+
+
+def test_landed_insights_are_compressed_in_files_of_bounded_rows(spark, tmp_path, monkeypatch):
+    from verification import landing
+
+    monkeypatch.setattr(landing, "FILE_ROWS", 40)
+    spark.range(100, numPartitions=1).selectExpr(
+        "id AS l_orderkey",
+        "1 AS l_linenumber",
+        "id % 7 AS l_suppkey",
+        "id % 11 AS l_partkey",
+        "CAST(id % 50 AS DOUBLE) AS l_quantity",
+        "'F' AS l_linestatus",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    landed = landing.meta_ads(spark, str(tmp_path))
+    assert [name.endswith(".json.gz") for name in landed.inputFiles()] == [True] * 3
+    assert sorted(r.ad_id for r in landed.collect()) == sorted(f"{i}-1" for i in range(100))

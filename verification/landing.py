@@ -14,11 +14,16 @@ from growthmill.sources import ads, commerce, crm, product_events, web
 from verification.adapters import raw, table
 
 
-def as_landed(nested: DataFrame, payload: str) -> DataFrame:
+# Rows of a compressed landed file: such a file is read by one task.
+FILE_ROWS = 50_000
+
+
+def as_landed(nested: DataFrame, payload: str, compression: str = "none") -> DataFrame:
     """The rows after a trip through JSON files in a landing folder."""
     spark = nested.sparkSession
     path = work_dir(spark, "landing")
-    nested.write.json(path)
+    most = 0 if compression == "none" else FILE_ROWS
+    nested.write.option("maxRecordsPerFile", most).json(path, compression=compression)
     return spark.read.schema(payload).json(path)
 
 
@@ -61,7 +66,7 @@ def meta_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN l_orderkey % 2 = 0 THEN array(
              named_struct('action_type', 'purchase', 'value', CAST(l_quantity / 4D AS STRING))) END AS cost_per_action_type""",
     )
-    return as_landed(nested, ads.META_PAYLOAD)
+    return as_landed(nested, ads.META_PAYLOAD, "gzip")
 
 
 def linkedin(spark: SparkSession, sf_dir: str) -> DataFrame:
